@@ -64,7 +64,13 @@ from basketry.session import fresh_dir
 from basketry.sinks.writers import write_csv
 from basketry.sources.files import read_catalog_csv, read_csv_report, read_parquet_dataset, read_raw_events
 from basketry.sources.streams import decode_events, encode_events, text_source
-from basketry.sources.testdata import part_catalog_rows, shop_events, table_path, uncategorized_events
+from basketry.sources.testdata import (
+    part_catalog_rows,
+    raw_events,
+    shop_events,
+    table_path,
+    uncategorized_events,
+)
 from basketry.streaming.jobs import (
     StreamSettings,
     await_all,
@@ -99,7 +105,9 @@ def _ntz(df: DataFrame) -> DataFrame:
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shop_events(spark, sf_dir)
+    # Reports read the raw dataset ingested once from the tables (partitioned
+    # by event_date and category), as they would read the stream's output.
+    return raw_events(spark, sf_dir)
 
 
 def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,7 +117,8 @@ def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- batch report (funnel) -------------------------------------------------
 
 def q_shop_events(spark, sf_dir):
-    return _ntz(_events(spark, sf_dir))
+    # The ingest mapping itself, computed from the tables.
+    return _ntz(shop_events(spark, sf_dir))
 
 
 def q_record_counts(spark, sf_dir):
@@ -123,7 +132,7 @@ def q_events_by_date(spark, sf_dir):
 def q_event_union(spark, sf_dir):
     # Older events as written before the category column existed, newer ones
     # with it: a union by name leaves category null for the older set.
-    ev = _events(spark, sf_dir)
+    ev = _events(spark, sf_dir).drop("event_date")
     cutoff = F.lit(UNION_CUTOFF).cast("timestamp")
     older = ev.filter(F.col("timestamp") < cutoff).drop("category")
     newer = ev.filter(F.col("timestamp") >= cutoff)
@@ -183,7 +192,7 @@ def q_report_validation(spark, sf_dir):
 # --- daily segmentation and ranking ---------------------------------------
 
 def q_daily_events(spark, sf_dir):
-    return _ntz(_daily(spark, sf_dir))
+    return _ntz(_daily(spark, sf_dir).drop("event_date"))
 
 
 def q_user_event_lists(spark, sf_dir):
