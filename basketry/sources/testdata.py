@@ -16,7 +16,9 @@
 from __future__ import annotations
 
 import hashlib
+import inspect
 import os
+import sys
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,9 +87,23 @@ def shop_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 _INGESTED: dict[str, str] = {}
 
 
+def _code_version() -> str:
+    """Digest of the code that shapes the ingested rows, so a table written
+    by an older mapping is never reused."""
+    import basketry.functions.text as text_mod
+    import basketry.operators.catalog as catalog_mod
+    import basketry.sinks.writers as writers_mod
+
+    h = hashlib.sha1()
+    for mod in (sys.modules[__name__], text_mod, catalog_mod, writers_mod):
+        h.update(inspect.getsource(mod).encode())
+    return h.hexdigest()[:12]
+
+
 def _signature(sf_dir: str) -> str:
-    """Identity of the input tables: path plus size and mtime when local."""
-    parts = [sf_dir.rstrip("/")]
+    """Identity of the input tables (path plus size and mtime when local)
+    and of the mapping code."""
+    parts = [sf_dir.rstrip("/"), _code_version()]
     for name in ("events", "part"):
         p = local_path(table_path(sf_dir, name))
         if p and os.path.exists(p):
@@ -103,17 +119,18 @@ def _committed(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(marker))
 
 
-def raw_dataset(spark: SparkSession, sf_dir: str) -> str:
+def raw_dataset(spark: SparkSession, sf_dir: str, refresh: bool = False) -> str:
     """Path of the raw event dataset ingested from the test tables.
 
     The batch counterpart of the ingest stream: shop events written once as
     Parquet partitioned by ``event_date`` and ``category`` into the shared
     folder, then reused by every report (a committed table is found again
     by its input signature, also by later runs on the same shared folder).
+    ``refresh`` rewrites it regardless.
     """
     sig = _signature(sf_dir)
     path = _INGESTED.get(sig) or f"{shared_dir(spark)}/raw-{sig}"
-    if sig not in _INGESTED and not _committed(spark, path):
+    if refresh or (sig not in _INGESTED and not _committed(spark, path)):
         events = shop_events(spark, sf_dir).withColumn("event_date", F.to_date("timestamp"))
         # Rebalance lets AQE size the output files and split a hot
         # (date, category) partition over several writers.
