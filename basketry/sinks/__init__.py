@@ -2,10 +2,11 @@
 lost executor or a failed job converges to the same output."""
 
 from basketry.sinks.writers import (
+    publish_events,
     write_csv,
     write_lines,
     write_raw_events,
     write_segments,
 )
 
-__all__ = ["write_csv", "write_lines", "write_raw_events", "write_segments"]
+__all__ = ["publish_events", "write_csv", "write_lines", "write_raw_events", "write_segments"]

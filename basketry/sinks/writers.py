@@ -36,3 +36,17 @@ def write_raw_events(events: DataFrame, path: str, mode: str = "append") -> None
     daily job reads one date folder."""
     out = events if "event_date" in events.columns else events.withColumn("event_date", F.to_date("timestamp"))
     out.write.mode(mode).partitionBy("event_date", "category").parquet(path)
+
+
+def publish_events(events: DataFrame, bootstrap_servers: str, topic: str,
+                   extra_options: dict[str, str] | None = None) -> None:
+    """Typed events as JSON messages (no key) on a Kafka topic; needs the
+    Kafka connector on the classpath. Encoding is
+    :func:`basketry.sources.streams.encode_events`."""
+    from basketry.sources.streams import encode_events
+
+    writer = (encode_events(events).write.format("kafka")
+              .option("kafka.bootstrap.servers", bootstrap_servers).option("topic", topic))
+    for key, value in (extra_options or {}).items():
+        writer = writer.option(key, value)
+    writer.save()

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.functions.codec import decode_value, encode_value, parse_timestamp
+from basketry.schemas import EVENT
 
 
 def kafka_source(
@@ -39,6 +40,16 @@ def text_source(spark: SparkSession, path: str, max_files_per_trigger: int | Non
     return reader.text(path)
 
 
+def parquet_event_source(spark: SparkSession, path: str, glob: str = "*.parquet",
+                         max_files_per_trigger: int | None = None) -> DataFrame:
+    """Folder of typed event Parquet files as a stream (already decoded rows
+    with the event schema, e.g. a replay of a raw dataset)."""
+    reader = spark.readStream.schema(EVENT).option("pathGlobFilter", glob)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.parquet(path)
+
+
 def decode_events(messages: DataFrame, value_col: str = "value") -> DataFrame:
     """Message rows to typed events (user_id, product_id, category,
     event_type, timestamp). Malformed messages become rows of nulls and are
