@@ -85,23 +85,28 @@ def conversion_report(
     keys: Sequence[str] = ("category",),
     as_of: dt.date | str | None = None,
     scale: int | None = 4,
+    ordered: bool = True,
 ) -> DataFrame:
     """Funnel counts with conversion (purchases/views) and cart-to-purchase
     (purchases/cart_adds) rates, best conversion first, ties by key.
 
-    All-time by default; ``as_of`` restricts to one day."""
+    All-time by default; ``as_of`` restricts to one day. Pass
+    ``ordered=False`` when the report feeds another aggregate or a top-k:
+    the global sort costs a sampling job and a range shuffle that Catalyst
+    does not always remove under a later aggregate."""
     keys = list(keys)
     if as_of is not None:
         events = daily_events(events, as_of)
     report = with_rates(funnel_counts(events, keys), scale)
-    return report.select(
+    report = report.select(
         *keys,
         F.col("views").cast("long").alias("views"),
         F.col("purchases").cast("long").alias("purchases"),
         F.col("cart_adds").cast("long").alias("cart_adds"),
         "conversion_rate",
         "cart_to_purchase_rate",
-    ).orderBy(F.desc("conversion_rate"), *keys)
+    )
+    return report.orderBy(F.desc("conversion_rate"), *keys) if ordered else report
 
 
 def top_by_rate(report: DataFrame, k: int = 3, keys: Sequence[str] = ("category",), rate: str = "conversion_rate") -> DataFrame:

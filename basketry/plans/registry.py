@@ -164,16 +164,16 @@ def q_conversion_report(spark, sf_dir):
 
 
 def q_avg_conversion_rate(spark, sf_dir):
-    return average_rate(conversion_report(_events(spark, sf_dir)))
+    return average_rate(conversion_report(_events(spark, sf_dir), ordered=False))
 
 
 def q_top_categories(spark, sf_dir):
-    return top_by_rate(conversion_report(_events(spark, sf_dir)), k=3)
+    return top_by_rate(conversion_report(_events(spark, sf_dir), ordered=False), k=3)
 
 
 def q_low_performers(spark, sf_dir):
     keys = ("product_id", "event_date")
-    report = conversion_report(with_event_date(_events(spark, sf_dir)), keys=keys)
+    report = conversion_report(with_event_date(_events(spark, sf_dir)), keys=keys, ordered=False)
     return low_performers(report, min_views=LOW_PERFORMER_MIN_VIEWS, k=3, keys=keys)
 
 

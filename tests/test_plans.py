@@ -51,3 +51,8 @@ def test_scan_reads_only_needed_columns(spark):
     text = _formatted(QUERIES["segment_summary"](spark, SF_SMALL))
     read_schema = [l for l in text.splitlines() if l.startswith("ReadSchema")][0]
     assert "product_id" not in read_schema and "user_id" in read_schema
+
+
+def test_average_does_not_sort_the_report(spark):
+    df = QUERIES["avg_conversion_rate"](spark, SF_SMALL)
+    assert "rangepartitioning" not in _plan(df)
