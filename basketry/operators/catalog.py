@@ -10,18 +10,37 @@ from basketry.functions.rates import safe_rate
 from basketry.operators.vocab import UNKNOWN_CATEGORY
 
 # A dimension is broadcast only after checking it has at most this many rows;
-# larger ones go through Spark's regular join selection (sort-merge with AQE
-# skew handling, or a runtime broadcast if AQE measures it small).
+# larger ones are joined with a salted shuffle join (below).
 MAX_BROADCAST_ROWS = 1_000_000
+# Salt buckets for a shuffled lookup: a hot product (say a third of all
+# events) is spread over this many join tasks; the dimension is replicated
+# this many times, which is cheap next to the fact side.
+SALT_BUCKETS = 16
+
+
+def fits_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """Whether ``dim`` has at most ``max_rows`` rows: a bounded job
+    (``limit(max_rows + 1).count()``) on the dimension only."""
+    return dim.limit(max_rows + 1).count() <= max_rows
 
 
 def bounded_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(dim)`` if it has at most ``max_rows`` rows, else ``dim``.
+    """``broadcast(dim)`` if it has at most ``max_rows`` rows, else ``dim``."""
+    return F.broadcast(dim) if fits_broadcast(dim, max_rows) else dim
+
+
+def salted_left_join(facts: DataFrame, dim: DataFrame, key: str, buckets: int = SALT_BUCKETS) -> DataFrame:
+    """``facts LEFT JOIN dim USING (key)`` for a ``dim`` too large to
+    broadcast, robust to hot keys without AQE (also in streaming).
 
-    The check is a bounded job (``limit(max_rows + 1).count()``) on the
-    dimension only."""
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
+    Each fact row gets a salt in ``[0, buckets)`` from a hash of the whole
+    row; the dimension is replicated once per salt value. Rows of one hot
+    key therefore land in ``buckets`` different join partitions."""
+    cols = facts.columns
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(buckets)).cast("int")
+    salted = facts.withColumn("_salt", salt)
+    replicated = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    return salted.join(replicated, [key, "_salt"], "left").drop("_salt")
 
 
 def normalize_catalog(catalog: DataFrame, order_col: str | None = None) -> DataFrame:
@@ -46,12 +65,16 @@ def enrich_with_catalog(
 ) -> DataFrame:
     """Sets ``category`` from the catalog by ``product_id``; products not in
     the catalog get ``default``. ``catalog`` must have one row per product
-    (see :func:`normalize_catalog`), so no event is duplicated.
+    (see :func:`normalize_catalog`), so no event is duplicated. A catalog
+    over ``max_broadcast_rows`` rows is joined with :func:`salted_left_join`.
 
     Works for batch and streaming ``events`` (stream-static join)."""
     facts = events.drop("category") if "category" in events.columns else events
-    dim = bounded_broadcast(catalog.select("product_id", F.col("category").alias("_catalog_category")), max_broadcast_rows)
-    joined = facts.join(dim, "product_id", "left")
+    dim = catalog.select("product_id", F.col("category").alias("_catalog_category"))
+    if fits_broadcast(dim, max_broadcast_rows):
+        joined = facts.join(F.broadcast(dim), "product_id", "left")
+    else:
+        joined = salted_left_join(facts, dim, "product_id")
     out = joined.withColumn("category", F.coalesce(F.col("_catalog_category"), F.lit(default))).drop("_catalog_category")
     ordered = [c for c in events.columns if c != "category"]
     at = events.columns.index("category") if "category" in events.columns else len(ordered)

@@ -19,6 +19,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from basketry.operators.catalog import enrich_with_catalog
@@ -41,6 +42,12 @@ class StreamSettings:
     # ``None`` = Spark's default micro-batch trigger; e.g.
     # ``{"processingTime": "10 seconds"}`` or ``{"availableNow": True}``.
     trigger: dict | None = None
+    # Writers per (event_date, category) folder in each micro-batch of the
+    # raw sink. ``None`` writes from the input tasks directly (no shuffle;
+    # up to tasks x folders files per batch). A number shuffles each batch
+    # by (date, category, salt): at most that many files per folder, and a
+    # hot category is spread over that many writers.
+    raw_writers: int | None = None
     extra: dict = field(default_factory=dict)
 
 
@@ -78,7 +85,11 @@ def start_raw_ingest(events: DataFrame, base_dir: str, settings: StreamSettings,
     """Every decoded event (late and malformed ones included) as Parquet
     partitioned by event date and category."""
     paths = layout(base_dir)
-    return _start(event_date(events), "parquet", paths["raw"], f"{paths['checkpoints']}/raw", name,
+    rows = event_date(events)
+    if settings.raw_writers:
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(settings.raw_writers))
+        rows = rows.repartition(F.col("event_date"), F.col("category"), salt)
+    return _start(rows, "parquet", paths["raw"], f"{paths['checkpoints']}/raw", name,
                   settings.trigger, partition_by=("event_date", "category"))
 
 

@@ -47,3 +47,21 @@ def test_category_conversion_keeps_unmapped_group_and_ignores_metric_category(sp
     )
     got = {r.category: (r.views, r.purchases, r.conversion_rate) for r in category_conversion(metrics, raw).collect()}
     assert got == {"a": (15, 3, 0.2), None: (4, 0, 0.0)}
+
+
+def test_salted_lookup_equals_broadcast_lookup_under_skew(spark):
+    hot = [("u%d" % i, "P0001", None, "view", T) for i in range(300)]
+    cold = [("u%d" % i, "P%04d" % (i % 7), None, "view", T) for i in range(100)]
+    events = spark.createDataFrame(hot + cold, SCHEMA)
+    cat = normalize_catalog(spark.createDataFrame([("P%04d" % i, "c%d" % (i % 3)) for i in range(5)],
+                                                  "product_id string, category string"))
+    small = enrich_with_catalog(events, cat)
+    salted = enrich_with_catalog(events, cat, max_broadcast_rows=0)
+    plan = salted._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan or "_salt" in plan
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, salted.collect()))
+    # the hot product is spread over several salt buckets
+    from pyspark.sql import functions as F
+    from basketry.operators.catalog import SALT_BUCKETS
+    buckets = events.select(F.pmod(F.xxhash64(*events.drop("category").columns), F.lit(SALT_BUCKETS)).alias("s"))
+    assert buckets.filter("true").distinct().count() > 1

@@ -69,3 +69,17 @@ def test_malformed_messages_reach_raw_with_null_partition(spark, workdir):
     raw = read_raw_events(spark, layout(base)["raw"]).collect()
     assert len(raw) == 2
     assert sum(1 for r in raw if r.user_id is None and r.category is None) == 1
+
+
+def test_raw_writers_bound_files_per_folder(spark, workdir):
+    import glob
+
+    src, base = f"{workdir}/in", f"{workdir}/out"
+    os.makedirs(src)
+    with open(os.path.join(src, "batch-001.json"), "w") as f:
+        f.write("\n".join(_event(m % 60, s) for m in range(20) for s in range(10)) + "\n")
+    settings = StreamSettings(raw_writers=2)
+    run_available_now(text_source(spark, src), base, settings)
+    folders = glob.glob(f"{layout(base)['raw']}/event_date=*/category=*")
+    assert folders and all(len(glob.glob(f"{d}/*.parquet")) <= 2 for d in folders)
+    assert read_raw_events(spark, layout(base)["raw"]).count() == 200
