@@ -121,9 +121,16 @@ def low_performers(report: DataFrame, min_views: int = 10, k: int = 3, keys: Seq
     return flagged.orderBy(F.desc("views"), *keys).limit(k)
 
 
-def average_rate(report: DataFrame, rate: str = "conversion_rate") -> DataFrame:
-    """Mean rate over groups; null (not an error) for an empty report."""
-    return report.agg(F.avg(rate).alias(f"avg_{rate}"))
+def average_rate(report: DataFrame, rate: str = "conversion_rate", scale: int | None = 4) -> DataFrame:
+    """Mean rate over groups; null (not an error) for an empty report.
+
+    Rates rounded to ``scale`` digits are summed exactly as decimals and
+    divided once, so the mean does not depend on partitioning or summation
+    order (a double sum can differ in the last bit between runs)."""
+    if scale is None:
+        return report.agg(F.avg(rate).alias(f"avg_{rate}"))
+    exact_sum = F.sum(F.col(rate).cast(f"decimal(38,{scale})")).cast("double")
+    return report.agg((exact_sum / F.count(rate)).alias(f"avg_{rate}"))
 
 
 def record_counts(events: DataFrame, keys: Sequence[str] = ("category",)) -> DataFrame:

@@ -163,7 +163,9 @@ ORACLE_SQL: dict[str, str] = {
         "c AS (SELECT category, count(*) AS cart_adds FROM shop WHERE category IS NOT NULL "
         "AND event_type = 'add_to_cart' GROUP BY 1)"),
     "conversion_report": _q("SELECT * FROM report ORDER BY conversion_rate DESC, category", FUNNEL, REPORT),
-    "avg_conversion_rate": _q("SELECT avg(conversion_rate) AS avg_conversion_rate FROM report", FUNNEL, REPORT),
+    "avg_conversion_rate": _q(
+        "SELECT CAST(sum(CAST(conversion_rate AS DECIMAL(38, 4))) AS DOUBLE) / count(conversion_rate) "
+        "AS avg_conversion_rate FROM report", FUNNEL, REPORT),
     "top_categories": _q("SELECT * FROM report ORDER BY conversion_rate DESC, category LIMIT 3", FUNNEL, REPORT),
     "low_performers": _q(
         "SELECT product_id, event_date, views, purchases, cart_adds, "
