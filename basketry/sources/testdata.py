@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import hashlib
 import inspect
-import os
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +25,7 @@ from pyspark.sql import functions as F
 from basketry.functions.text import padded_id
 from basketry.operators.catalog import enrich_with_catalog, normalize_catalog
 from basketry.operators.vocab import ADD_TO_CART
-from basketry.session import local_path, shared_dir
+from basketry.session import shared_dir
 from basketry.sinks.writers import write_raw_events
 from basketry.sources.files import read_raw_events
 
@@ -100,22 +99,28 @@ def _code_version() -> str:
     return h.hexdigest()[:12]
 
 
-def _signature(sf_dir: str) -> str:
-    """Identity of the input tables (path plus size and mtime when local)
-    and of the mapping code."""
+def _hadoop_fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _signature(spark: SparkSession, sf_dir: str) -> str:
+    """Identity of the input tables (path, total bytes, file count and
+    modification time, through the Hadoop file system so any storage scheme
+    works) and of the mapping code."""
     parts = [sf_dir.rstrip("/"), _code_version()]
     for name in ("events", "part"):
-        p = local_path(table_path(sf_dir, name))
-        if p and os.path.exists(p):
-            st = os.stat(p)
-            parts.append(f"{name}:{st.st_size}:{st.st_mtime_ns}")
+        p, fs = _hadoop_fs(spark, table_path(sf_dir, name))
+        if fs.exists(p):
+            summary = fs.getContentSummary(p)
+            mtime = fs.getFileStatus(p).getModificationTime()
+            parts.append(f"{name}:{summary.getLength()}:{summary.getFileCount()}:{mtime}")
     return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 
 
 def _committed(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    marker = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    fs = marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    marker, fs = _hadoop_fs(spark, f"{path}/_SUCCESS")
     return bool(fs.exists(marker))
 
 
@@ -128,7 +133,7 @@ def raw_dataset(spark: SparkSession, sf_dir: str, refresh: bool = False) -> str:
     by its input signature, also by later runs on the same shared folder).
     ``refresh`` rewrites it regardless.
     """
-    sig = _signature(sf_dir)
+    sig = _signature(spark, sf_dir)
     path = _INGESTED.get(sig) or f"{shared_dir(spark)}/raw-{sig}"
     if refresh or (sig not in _INGESTED and not _committed(spark, path)):
         events = shop_events(spark, sf_dir).withColumn("event_date", F.to_date("timestamp"))
