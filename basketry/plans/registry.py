@@ -315,7 +315,8 @@ def _message_folder(spark: SparkSession, events: DataFrame) -> str:
 
 
 def _run_stream(starter, events: DataFrame, base: str, settings: StreamSettings) -> None:
-    query = starter(events, base, settings)
+    # Active query names must be unique in a session; the base folder is.
+    query = starter(events, base, settings, name=f"{starter.__name__}-{base.rsplit('-', 1)[-1]}")
     try:
         await_all([query])
     finally:
@@ -395,7 +396,20 @@ def q_output_audit(spark, sf_dir):
     return _ntz(combine_audits(audits))
 
 
-QUERIES: dict[str, Query] = {
+def _in_utc(fn: Query) -> Query:
+    """The data's timestamps are UTC wall-clock times; event dates, day
+    boundaries and the ``timestamp_ntz`` output assume a UTC session."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return fn(spark, sf_dir)
+
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
+_QUERIES: dict[str, Query] = {
     "shop_events": q_shop_events,
     "record_counts": q_record_counts,
     "events_by_date": q_events_by_date,
@@ -438,3 +452,5 @@ QUERIES: dict[str, Query] = {
     "output_audit": q_output_audit,
     "report_validation": q_report_validation,
 }
+
+QUERIES: dict[str, Query] = {name: _in_utc(fn) for name, fn in _QUERIES.items()}

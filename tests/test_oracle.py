@@ -39,3 +39,15 @@ def test_entry_runs(spark):
     df = contract.entry(spark)
     assert df.columns == ["category", "views", "purchases", "cart_adds", "conversion_rate", "cart_to_purchase_rate"]
     assert df.count() >= 0
+
+
+def test_queries_pin_utc_in_a_foreign_zone_session(spark):
+    import __spark_entry__ as contract
+
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        rows = contract.queries()["events_by_date"](spark, SF_SMALL).collect()
+        assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+        assert len(rows) == 30
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
