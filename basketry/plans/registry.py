@@ -65,6 +65,7 @@ from basketry.sinks.writers import write_csv
 from basketry.sources.files import read_catalog_csv, read_csv_report, read_parquet_dataset, read_raw_events
 from basketry.sources.streams import decode_events, encode_events, text_source
 from basketry.sources.testdata import (
+    message_folder,
     part_catalog_rows,
     raw_events,
     shop_events,
@@ -308,12 +309,6 @@ def q_timestamp_parse(spark, sf_dir):
 
 # --- streaming ---------------------------------------------------------------
 
-def _message_folder(spark: SparkSession, events: DataFrame) -> str:
-    path = fresh_dir(spark, "messages")
-    encode_events(events).write.text(path)
-    return path
-
-
 def _run_stream(starter, events: DataFrame, base: str, settings: StreamSettings) -> None:
     # Active query names must be unique in a session; the base folder is.
     query = starter(events, base, settings, name=f"{starter.__name__}-{base.rsplit('-', 1)[-1]}")
@@ -324,10 +319,7 @@ def _run_stream(starter, events: DataFrame, base: str, settings: StreamSettings)
 
 
 def _stream_events(spark: SparkSession, sf_dir: str, categorized: bool = True) -> DataFrame:
-    source = uncategorized_events(spark, sf_dir) if not categorized else _events(spark, sf_dir)
-    if not categorized:
-        source = source.withColumn("category", F.lit(None).cast("string"))
-    return decode_events(text_source(spark, _message_folder(spark, source)))
+    return decode_events(text_source(spark, message_folder(spark, sf_dir, categorized)))
 
 
 _AVAILABLE_NOW = StreamSettings(
@@ -379,7 +371,7 @@ def q_stream_catalog_enrich(spark, sf_dir):
 
 def q_output_audit(spark, sf_dir):
     base = fresh_dir(spark, "stream")
-    messages = text_source(spark, _message_folder(spark, _events(spark, sf_dir)))
+    messages = text_source(spark, message_folder(spark, sf_dir))
     paths = run_available_now(messages, base, _AVAILABLE_NOW)
     raw = read_raw_events(spark, paths["raw"])
     audits = [

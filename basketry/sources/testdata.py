@@ -28,6 +28,7 @@ from basketry.operators.vocab import ADD_TO_CART
 from basketry.session import shared_dir
 from basketry.sinks.writers import write_raw_events
 from basketry.sources.files import read_raw_events
+from basketry.sources.streams import encode_events
 
 # Fixed values of the mapping.
 CATALOG_KEY_LIMIT = 90
@@ -82,19 +83,20 @@ def shop_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enriched.select("user_id", "product_id", "category", "event_type", "timestamp")
 
 
-# Raw datasets already written by this process: signature -> path.
-_INGESTED: dict[str, str] = {}
+# Tables already written by this process: (kind, signature) -> path.
+_WRITTEN: dict[tuple[str, str], str] = {}
 
 
 def _code_version() -> str:
-    """Digest of the code that shapes the ingested rows, so a table written
+    """Digest of the code that shapes the derived rows, so a table written
     by an older mapping is never reused."""
+    import basketry.functions.codec as codec_mod
     import basketry.functions.text as text_mod
     import basketry.operators.catalog as catalog_mod
     import basketry.sinks.writers as writers_mod
 
     h = hashlib.sha1()
-    for mod in (sys.modules[__name__], text_mod, catalog_mod, writers_mod):
+    for mod in (sys.modules[__name__], text_mod, codec_mod, catalog_mod, writers_mod):
         h.update(inspect.getsource(mod).encode())
     return h.hexdigest()[:12]
 
@@ -124,24 +126,33 @@ def _committed(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(marker))
 
 
+def _derived_table(spark: SparkSession, sf_dir: str, kind: str, write, refresh: bool) -> str:
+    """Path of a table derived from the test tables, written once into the
+    shared folder by ``write(path)`` and found again by its signature (also
+    by later runs on the same shared folder). ``refresh`` rewrites it."""
+    key = (kind, _signature(spark, sf_dir))
+    path = _WRITTEN.get(key) or f"{shared_dir(spark)}/{kind}-{key[1]}"
+    if refresh or (key not in _WRITTEN and not _committed(spark, path)):
+        write(path)
+    _WRITTEN[key] = path
+    return path
+
+
 def raw_dataset(spark: SparkSession, sf_dir: str, refresh: bool = False) -> str:
     """Path of the raw event dataset ingested from the test tables.
 
     The batch counterpart of the ingest stream: shop events written once as
     Parquet partitioned by ``event_date`` and ``category`` into the shared
-    folder, then reused by every report (a committed table is found again
-    by its input signature, also by later runs on the same shared folder).
-    ``refresh`` rewrites it regardless.
+    folder, then reused by every report.
     """
-    sig = _signature(spark, sf_dir)
-    path = _INGESTED.get(sig) or f"{shared_dir(spark)}/raw-{sig}"
-    if refresh or (sig not in _INGESTED and not _committed(spark, path)):
+
+    def write(path: str) -> None:
         events = shop_events(spark, sf_dir).withColumn("event_date", F.to_date("timestamp"))
         # Rebalance lets AQE size the output files and split a hot
         # (date, category) partition over several writers.
         write_raw_events(events.hint("rebalance", "event_date", "category"), path, mode="overwrite")
-    _INGESTED[sig] = path
-    return path
+
+    return _derived_table(spark, sf_dir, "raw", write, refresh)
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,3 +160,20 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``event_date`` partition column kept for pruning."""
     raw = read_raw_events(spark, raw_dataset(spark, sf_dir))
     return raw.select("user_id", "product_id", "category", "event_type", "timestamp", "event_date")
+
+
+def message_folder(spark: SparkSession, sf_dir: str, categorized: bool = True, refresh: bool = False) -> str:
+    """Folder of JSON-lines messages, one per event: the retained topic the
+    streaming queries consume (a file-source stand-in for Kafka). Without
+    ``categorized`` the messages carry a null category, for streams that
+    look it up in the catalog."""
+
+    def write(path: str) -> None:
+        if categorized:
+            events = raw_events(spark, sf_dir)
+        else:
+            events = uncategorized_events(spark, sf_dir).withColumn("category", F.lit(None).cast("string"))
+        encode_events(events).write.mode("overwrite").text(path)
+
+    kind = "messages" if categorized else "messages-uncategorized"
+    return _derived_table(spark, sf_dir, kind, write, refresh)
