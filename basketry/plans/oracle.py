@@ -255,6 +255,9 @@ ORACLE_SQL: dict[str, str] = {
     "timestamp_parse": _q(f'SELECT {ISO} AS timestamp_text, "timestamp" FROM shop'),
     "stream_raw_ingest": _q(RAW),
     "stream_category_metrics": _q(f"SELECT * FROM category_metrics WHERE {CLOSED}", CATEGORY_METRICS),
+    "stream_category_rates": _q(
+        "SELECT *, CASE WHEN views > 0 THEN round(CAST(purchases AS DOUBLE) / views, 4) ELSE 0.0 END "
+        f"AS conversion_rate FROM category_metrics WHERE {CLOSED}", CATEGORY_METRICS),
     "stream_product_alerts": _q(f"SELECT * FROM alerts WHERE {CLOSED}", ALERTS),
     "stream_product_metrics": _q(f"SELECT * FROM product_metrics WHERE {CLOSED}", PRODUCT_METRICS),
     "stream_catalog_enrich": _q(RAW),

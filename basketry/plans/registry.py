@@ -68,6 +68,7 @@ from basketry.sources.testdata import (
     message_folder,
     part_catalog_rows,
     raw_events,
+    read_part_table,
     shop_events,
     table_path,
     uncategorized_events,
@@ -275,7 +276,7 @@ def _write_catalog_csv(spark: SparkSession, lines: DataFrame) -> str:
 def q_catalog_normalize(spark, sf_dir):
     # The whole part table as a hand-kept catalog file: ids lower-case and
     # padded with blanks, categories padded; normalising restores them.
-    part = spark.read.parquet(table_path(sf_dir, "part"))
+    part = read_part_table(spark, sf_dir)
     lines = part.select(
         F.concat(F.lit(" "), F.format_string("p%04d", "p_partkey"), F.lit(" ")).alias("product_id"),
         F.concat(F.lit(" "), F.col("p_type"), F.lit(" ")).alias("category"),
@@ -347,6 +348,13 @@ def q_stream_category_metrics(spark, sf_dir):
     return _ntz(read_parquet_dataset(spark, layout(base)["category_metrics"], schemas.CATEGORY_WINDOW_METRICS))
 
 
+def q_stream_category_rates(spark, sf_dir):
+    base = fresh_dir(spark, "stream")
+    settings = StreamSettings(**{**_AVAILABLE_NOW.__dict__, "with_rates": True})
+    _run_stream(start_category_metrics, _stream_events(spark, sf_dir), base, settings)
+    return _ntz(read_parquet_dataset(spark, layout(base)["category_metrics"], schemas.CATEGORY_WINDOW_RATES))
+
+
 def q_stream_product_alerts(spark, sf_dir):
     base = fresh_dir(spark, "stream")
     _run_stream(start_product_alerts, _stream_events(spark, sf_dir), base, _AVAILABLE_NOW)
@@ -438,6 +446,7 @@ _QUERIES: dict[str, Query] = {
     "timestamp_parse": q_timestamp_parse,
     "stream_raw_ingest": q_stream_raw_ingest,
     "stream_category_metrics": q_stream_category_metrics,
+    "stream_category_rates": q_stream_category_rates,
     "stream_product_alerts": q_stream_product_alerts,
     "stream_product_metrics": q_stream_product_metrics,
     "stream_catalog_enrich": q_stream_catalog_enrich,

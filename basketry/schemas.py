@@ -58,6 +58,10 @@ CATEGORY_WINDOW_METRICS = _struct(
     ("views", LongType()),
 )
 
+CATEGORY_WINDOW_RATES = StructType(
+    CATEGORY_WINDOW_METRICS.fields + [StructField("conversion_rate", DoubleType(), True)]
+)
+
 PRODUCT_ALERT = _struct(
     ("window_start", TimestampType()),
     ("window_end", TimestampType()),

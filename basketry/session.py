@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -20,17 +19,26 @@ BASE_CONF = {
 }
 
 
+STATE_STORE_PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "basketry",
     shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
+    rocksdb_state_store: bool = False,
 ) -> SparkSession:
     """Create (or fetch) a session with the settings the operators assume.
 
     ``master`` is only set when given: on a cluster the launcher decides it.
     ``shuffle_partitions`` should be sized so one partition fits an executor
     core's memory at the target scale; AQE coalesces small ones at run time.
+    ``rocksdb_state_store`` keeps streaming state in RocksDB (off-heap,
+    incremental checkpoints) instead of executor heap maps: use it when the
+    number of (window, key) groups per batch is large. It applies to new
+    checkpoints only.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -38,6 +46,8 @@ def build_session(
     conf = dict(BASE_CONF)
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if rocksdb_state_store:
+        conf[STATE_STORE_PROVIDER_KEY] = ROCKSDB_PROVIDER
     conf.update(extra_conf or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -66,12 +76,3 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new, unused sub-folder of :func:`shared_dir` for one run."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str | None:
-    """Filesystem path for ``file:`` / plain paths, else ``None``."""
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    if "://" in path:
-        return None
-    return path if os.path.isabs(path) else os.path.abspath(path)

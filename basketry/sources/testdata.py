@@ -35,6 +35,7 @@ CATALOG_KEY_LIMIT = 90
 CLICK = "click"
 
 EVENTS_SCHEMA = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
+PART_SCHEMA = "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
 
 
 def table_path(sf_dir: str, name: str) -> str:
@@ -48,6 +49,10 @@ def read_events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS_SCHEMA).parquet(table_path(sf_dir, "events"))
 
 
+def read_part_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(PART_SCHEMA).parquet(table_path(sf_dir, "part"))
+
+
 def uncategorized_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shop events before the catalog lookup (no ``category``)."""
     e = read_events_table(spark, sf_dir)
@@ -63,7 +68,7 @@ def uncategorized_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def part_catalog_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Catalog lines ``(product_id, category, line_no)`` from ``part``."""
-    part = spark.read.parquet(table_path(sf_dir, "part"))
+    part = read_part_table(spark, sf_dir)
     return part.filter(F.col("p_partkey") < CATALOG_KEY_LIMIT).select(
         padded_id("P", "p_partkey").alias("product_id"),
         F.upper(F.col("p_type")).alias("category"),

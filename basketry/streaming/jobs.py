@@ -16,7 +16,7 @@ so state lives off-heap and checkpoints incrementally.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +27,7 @@ from basketry.operators.windows import (
     category_window_metrics,
     product_alerts,
     product_window_metrics,
+    window_rates,
     with_watermark,
 )
 from basketry.sources.streams import decode_events, event_date
@@ -48,7 +49,9 @@ class StreamSettings:
     # by (date, category, salt): at most that many files per folder, and a
     # hot category is spread over that many writers.
     raw_writers: int | None = None
-    extra: dict = field(default_factory=dict)
+    # Add the windowed conversion rate (purchases / views, 4 digits) to the
+    # category metrics output (a stateless projection, valid in append mode).
+    with_rates: bool = False
 
 
 def layout(base_dir: str) -> dict[str, str]:
@@ -98,6 +101,8 @@ def start_category_metrics(events: DataFrame, base_dir: str, settings: StreamSet
     paths = layout(base_dir)
     metrics = category_window_metrics(with_watermark(events, settings.delay), settings.window,
                                       literal_counts=settings.literal_counts)
+    if settings.with_rates:
+        metrics = window_rates(metrics)
     return _start(metrics, "parquet", paths["category_metrics"], f"{paths['checkpoints']}/category_metrics",
                   name, settings.trigger)
 

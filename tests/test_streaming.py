@@ -83,3 +83,21 @@ def test_raw_writers_bound_files_per_folder(spark, workdir):
     folders = glob.glob(f"{layout(base)['raw']}/event_date=*/category=*")
     assert folders and all(len(glob.glob(f"{d}/*.parquet")) <= 2 for d in folders)
     assert read_raw_events(spark, layout(base)["raw"]).count() == 200
+
+
+def test_windowed_stream_on_rocksdb_state(spark, workdir):
+    from basketry.session import ROCKSDB_PROVIDER, STATE_STORE_PROVIDER_KEY
+
+    before = spark.conf.get(STATE_STORE_PROVIDER_KEY, None)
+    spark.conf.set(STATE_STORE_PROVIDER_KEY, ROCKSDB_PROVIDER)
+    try:
+        src, base = f"{workdir}/in", f"{workdir}/out"
+        os.makedirs(src)
+        _round(spark, src, base, 1, [_event(1), _event(2), _event(12)])
+        rows = _metrics(spark, base)
+        assert [(r.window_start.minute, r.total_events) for r in rows] == [(0, 2)]
+    finally:
+        if before:
+            spark.conf.set(STATE_STORE_PROVIDER_KEY, before)
+        else:
+            spark.conf.unset(STATE_STORE_PROVIDER_KEY)
