@@ -53,7 +53,9 @@ def main(argv: list[str] | None = None) -> int:
         from basketry.streaming.jobs import StreamSettings, await_all, start_all, stop_all
 
         messages = kafka_source(spark, args.kafka, args.topic) if args.kafka else text_source(spark, args.text_dir)
-        catalog = spark.read.parquet(args.catalog) if args.catalog else None
+        from basketry.schemas import CATALOG
+
+        catalog = spark.read.schema(CATALOG).parquet(args.catalog) if args.catalog else None
         settings = StreamSettings(window=args.window, delay=args.delay, alert_threshold=args.alert_threshold,
                                   trigger={"availableNow": True} if args.available_now else None)
         queries = start_all(messages, args.base_dir, settings, catalog)
