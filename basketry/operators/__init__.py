@@ -6,8 +6,10 @@ from basketry.operators.catalog import (
     bounded_broadcast,
     category_conversion,
     enrich_with_catalog,
+    fits_broadcast,
     normalize_catalog,
     product_category_map,
+    salted_left_join,
 )
 from basketry.operators.funnel import (
     average_rate,
