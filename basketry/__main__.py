@@ -22,7 +22,7 @@ def _parser() -> argparse.ArgumentParser:
     src = s.add_mutually_exclusive_group(required=True)
     src.add_argument("--kafka", metavar="SERVERS")
     src.add_argument("--text-dir", metavar="DIR", help="folder of JSON-lines files (same value column)")
-    s.add_argument("--topic", default="clickstream-events")
+    s.add_argument("--topic", help="Kafka topic (with --kafka)")
     s.add_argument("--window", default="5 minutes")
     s.add_argument("--delay", default="5 minutes")
     s.add_argument("--alert-threshold", type=int, default=100)
@@ -52,6 +52,8 @@ def main(argv: list[str] | None = None) -> int:
         from basketry.sources.streams import kafka_source, text_source
         from basketry.streaming.jobs import StreamSettings, await_all, start_all, stop_all
 
+        if args.kafka and not args.topic:
+            raise SystemExit("--topic is required with --kafka")
         messages = kafka_source(spark, args.kafka, args.topic) if args.kafka else text_source(spark, args.text_dir)
         from basketry.schemas import CATALOG
 
