@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from basketry.functions.text import padded_id
 from basketry.operators.catalog import enrich_with_catalog, normalize_catalog
 from basketry.operators.vocab import ADD_TO_CART
-from basketry.session import shared_dir
+from basketry.session import fresh_dir, shared_dir
 from basketry.sinks.writers import write_raw_events
 from basketry.sources.files import read_raw_events
 from basketry.sources.streams import encode_events
@@ -134,10 +134,14 @@ def _committed(spark: SparkSession, path: str) -> bool:
 def _derived_table(spark: SparkSession, sf_dir: str, kind: str, write, refresh: bool) -> str:
     """Path of a table derived from the test tables, written once into the
     shared folder by ``write(path)`` and found again by its signature (also
-    by later runs on the same shared folder). ``refresh`` rewrites it."""
+    by later runs on the same shared folder). ``refresh`` writes a new copy
+    in a new folder, so a reader of the current one is never disturbed."""
     key = (kind, _signature(spark, sf_dir))
     path = _WRITTEN.get(key) or f"{shared_dir(spark)}/{kind}-{key[1]}"
-    if refresh or (key not in _WRITTEN and not _committed(spark, path)):
+    if refresh:
+        path = fresh_dir(spark, f"{kind}-{key[1]}")
+        write(path)
+    elif key not in _WRITTEN and not _committed(spark, path):
         write(path)
     _WRITTEN[key] = path
     return path
