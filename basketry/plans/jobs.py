@@ -39,18 +39,19 @@ def _day(as_of: dt.date | str | None) -> str:
     return as_of.strftime("%Y-%m-%d") if isinstance(as_of, (dt.date, dt.datetime)) else str(as_of)
 
 
-def reports_dir(base_dir: str) -> str:
-    return f"{base_dir.rstrip('/')}/reports"
+def reports_dir(base_dir: str, reports_to: str | None = None) -> str:
+    """``reports_to`` if given (e.g. one folder per run), else ``<base>/reports``."""
+    return (reports_to or f"{base_dir.rstrip('/')}/reports").rstrip("/")
 
 
 def conversion_report_job(spark: SparkSession, base_dir: str, as_of: dt.date | str | None = None,
-                          min_views: int = 10) -> dict[str, DataFrame]:
+                          min_views: int = 10, reports_to: str | None = None) -> dict[str, DataFrame]:
     """Category conversion report (all-time, or one day with ``as_of``)
     written as one CSV; returns the report, its mean rate, the top 3 and the
     low performers, all over the written report. No raw data yet gives a
     header-only report."""
     raw = read_raw_events(spark, layout(base_dir)["raw"])
-    path = f"{reports_dir(base_dir)}/conversion_rate_report"
+    path = f"{reports_dir(base_dir, reports_to)}/conversion_rate_report"
     write_csv(conversion_report(raw, as_of=as_of), path, single_file=True)
     report = read_csv_report(spark, path)
     return {
@@ -61,36 +62,38 @@ def conversion_report_job(spark: SparkSession, base_dir: str, as_of: dt.date | s
     }
 
 
-def validate_report_job(spark: SparkSession, base_dir: str) -> DataFrame:
+def validate_report_job(spark: SparkSession, base_dir: str, reports_to: str | None = None) -> DataFrame:
     """Checks over the written conversion report (one row per check)."""
-    path = f"{reports_dir(base_dir)}/conversion_rate_report"
+    path = f"{reports_dir(base_dir, reports_to)}/conversion_rate_report"
     return validate_report(read_csv_report(spark, path), schemas.CONVERSION_REPORT)
 
 
-def user_segmentation_job(spark: SparkSession, base_dir: str, as_of: dt.date | str | None = None) -> DataFrame:
+def user_segmentation_job(spark: SparkSession, base_dir: str, as_of: dt.date | str | None = None,
+                          reports_to: str | None = None) -> DataFrame:
     """Segments of the users active on ``as_of`` (default today, UTC),
     written per run date; returns the segment summary."""
     day = _day(as_of)
     events = daily_events(read_raw_events(spark, layout(base_dir)["raw"]), day)
-    path = write_segments(user_segments(events), reports_dir(base_dir), day)
+    path = write_segments(user_segments(events), reports_dir(base_dir, reports_to), day)
     return segment_summary(read_csv_report(spark, path, schemas.USER_SEGMENT))
 
 
-def top_products_job(spark: SparkSession, base_dir: str, as_of: dt.date | str | None = None, k: int = 5) -> DataFrame:
+def top_products_job(spark: SparkSession, base_dir: str, as_of: dt.date | str | None = None, k: int = 5,
+                     reports_to: str | None = None) -> DataFrame:
     """The ``k`` most viewed products of ``as_of`` as a text report."""
     day = _day(as_of)
     events = daily_events(read_raw_events(spark, layout(base_dir)["raw"]), day)
     top = top_products(events, k)
-    write_lines(top_products_lines(top, day, k), f"{reports_dir(base_dir)}/top_products/run_date={day}")
+    write_lines(top_products_lines(top, day, k), f"{reports_dir(base_dir, reports_to)}/top_products/run_date={day}")
     return top
 
 
-def category_conversion_job(spark: SparkSession, base_dir: str) -> DataFrame:
+def category_conversion_job(spark: SparkSession, base_dir: str, reports_to: str | None = None) -> DataFrame:
     """Product-grain stream metrics rolled up to categories, one CSV."""
     paths = layout(base_dir)
     metrics = read_parquet_dataset(spark, paths["product_metrics"], schemas.PRODUCT_WINDOW_METRICS)
     report = category_conversion(metrics, read_raw_events(spark, paths["raw"]))
-    out = f"{reports_dir(base_dir)}/category_conversion"
+    out = f"{reports_dir(base_dir, reports_to)}/category_conversion"
     write_csv(report, out, single_file=True)
     return read_csv_report(spark, out, schemas.CATEGORY_CONVERSION)
 

@@ -261,4 +261,19 @@ ORACLE_SQL: dict[str, str] = {
     "stream_product_alerts": _q(f"SELECT * FROM alerts WHERE {CLOSED}", ALERTS),
     "stream_product_metrics": _q(f"SELECT * FROM product_metrics WHERE {CLOSED}", PRODUCT_METRICS),
     "stream_catalog_enrich": _q(RAW),
+    # Batch jobs over the stream outputs: raw keeps every event; the product
+    # metrics hold closed windows only.
+    "job_conversion_report": _q("SELECT * FROM report", FUNNEL, REPORT),
+    "job_segment_summary": _q("SELECT segment, count(*) AS users FROM segments GROUP BY segment",
+                              DAILY, USER_COUNTS),
+    "job_top_products": _q("SELECT * FROM top", DAILY, TOP),
+    "job_category_conversion": _q(
+        "SELECT m.category, CAST(sum(pm.views) AS BIGINT) AS views, CAST(sum(pm.purchases) AS BIGINT) AS purchases, "
+        "CASE WHEN sum(pm.views) > 0 THEN CAST(sum(pm.purchases) AS DOUBLE) / sum(pm.views) ELSE 0.0 END "
+        "AS conversion_rate "
+        f"FROM (SELECT * FROM product_metrics WHERE {CLOSED}) pm LEFT JOIN m ON m.product_id = pm.product_id "
+        "GROUP BY m.category",
+        PRODUCT_METRICS,
+        "m AS (SELECT product_id, max(category) AS category FROM shop "
+        "WHERE product_id IS NOT NULL AND category IS NOT NULL GROUP BY product_id)"),
 }

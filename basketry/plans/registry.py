@@ -64,7 +64,10 @@ from basketry.session import fresh_dir
 from basketry.sinks.writers import write_csv
 from basketry.sources.files import read_catalog_csv, read_csv_report, read_parquet_dataset, read_raw_events
 from basketry.sources.streams import decode_events, encode_events, text_source
+from basketry.plans import jobs
 from basketry.sources.testdata import (
+    derived_table,
+    mark_committed,
     message_folder,
     part_catalog_rows,
     raw_events,
@@ -377,6 +380,40 @@ def q_stream_catalog_enrich(spark, sf_dir):
     return _raw_columns(read_raw_events(spark, layout(base)["raw"]))
 
 
+def _stream_outputs(spark: SparkSession, sf_dir: str) -> str:
+    """Base folder holding every stream output over the message folder,
+    produced once per input signature (like the other derived tables)."""
+
+    def write(base: str) -> None:
+        run_available_now(text_source(spark, message_folder(spark, sf_dir)), base, _AVAILABLE_NOW)
+        mark_committed(spark, base)
+
+    return derived_table(spark, sf_dir, "stream-outputs", write)
+
+
+# The jobs read the shared stream outputs and write each run's reports to a
+# new folder.
+
+def q_job_conversion_report(spark, sf_dir):
+    base = _stream_outputs(spark, sf_dir)
+    return jobs.conversion_report_job(spark, base, reports_to=fresh_dir(spark, "reports"))["report"]
+
+
+def q_job_segment_summary(spark, sf_dir):
+    base = _stream_outputs(spark, sf_dir)
+    return jobs.user_segmentation_job(spark, base, AS_OF, reports_to=fresh_dir(spark, "reports"))
+
+
+def q_job_top_products(spark, sf_dir):
+    base = _stream_outputs(spark, sf_dir)
+    return jobs.top_products_job(spark, base, AS_OF, TOP_K, reports_to=fresh_dir(spark, "reports"))
+
+
+def q_job_category_conversion(spark, sf_dir):
+    base = _stream_outputs(spark, sf_dir)
+    return jobs.category_conversion_job(spark, base, reports_to=fresh_dir(spark, "reports"))
+
+
 def q_output_audit(spark, sf_dir):
     base = fresh_dir(spark, "stream")
     messages = text_source(spark, message_folder(spark, sf_dir))
@@ -451,6 +488,10 @@ _QUERIES: dict[str, Query] = {
     "stream_product_metrics": q_stream_product_metrics,
     "stream_catalog_enrich": q_stream_catalog_enrich,
     "output_audit": q_output_audit,
+    "job_conversion_report": q_job_conversion_report,
+    "job_segment_summary": q_job_segment_summary,
+    "job_top_products": q_job_top_products,
+    "job_category_conversion": q_job_category_conversion,
     "report_validation": q_report_validation,
 }
 

@@ -16,8 +16,6 @@
 from __future__ import annotations
 
 import hashlib
-import inspect
-import sys
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,16 +91,15 @@ _WRITTEN: dict[tuple[str, str], str] = {}
 
 
 def _code_version() -> str:
-    """Digest of the code that shapes the derived rows, so a table written
-    by an older mapping is never reused."""
-    import basketry.functions.codec as codec_mod
-    import basketry.functions.text as text_mod
-    import basketry.operators.catalog as catalog_mod
-    import basketry.sinks.writers as writers_mod
+    """Digest of the package's code, so a table derived by older code (a
+    different mapping, window rule or stream job) is never reused."""
+    import pathlib
 
+    root = pathlib.Path(__file__).resolve().parent.parent
     h = hashlib.sha1()
-    for mod in (sys.modules[__name__], text_mod, codec_mod, catalog_mod, writers_mod):
-        h.update(inspect.getsource(mod).encode())
+    for path in sorted(root.rglob("*.py")):
+        h.update(path.relative_to(root).as_posix().encode())
+        h.update(path.read_bytes())
     return h.hexdigest()[:12]
 
 
@@ -131,7 +128,13 @@ def _committed(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(marker))
 
 
-def _derived_table(spark: SparkSession, sf_dir: str, kind: str, write, refresh: bool) -> str:
+def mark_committed(spark: SparkSession, path: str) -> None:
+    """Write the ``_SUCCESS`` marker for a folder filled by several jobs."""
+    marker, fs = _hadoop_fs(spark, f"{path}/_SUCCESS")
+    fs.create(marker, True).close()
+
+
+def derived_table(spark: SparkSession, sf_dir: str, kind: str, write, refresh: bool = False) -> str:
     """Path of a table derived from the test tables, written once into the
     shared folder by ``write(path)`` and found again by its signature (also
     by later runs on the same shared folder). ``refresh`` writes a new copy
@@ -161,7 +164,7 @@ def raw_dataset(spark: SparkSession, sf_dir: str, refresh: bool = False) -> str:
         # (date, category) partition over several writers.
         write_raw_events(events.hint("rebalance", "event_date", "category"), path, mode="overwrite")
 
-    return _derived_table(spark, sf_dir, "raw", write, refresh)
+    return derived_table(spark, sf_dir, "raw", write, refresh)
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,4 +188,4 @@ def message_folder(spark: SparkSession, sf_dir: str, categorized: bool = True, r
         encode_events(events).write.mode("overwrite").text(path)
 
     kind = "messages" if categorized else "messages-uncategorized"
-    return _derived_table(spark, sf_dir, kind, write, refresh)
+    return derived_table(spark, sf_dir, kind, write, refresh)
