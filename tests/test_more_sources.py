@@ -1,6 +1,7 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql.types import StructType
 
 from basketry.plans import jobs
@@ -45,3 +46,20 @@ def test_cli_runs_a_job(spark, workdir):
 
     assert main(["conversion-report", "--base-dir", workdir]) == 0
     assert main(["validate-report", "--base-dir", workdir]) == 1  # empty report: has_rows fails
+
+
+def test_cli_stream_then_audit(spark, workdir):
+    import json as _json
+
+    from basketry.__main__ import main
+
+    src = f"{workdir}/in"
+    os.makedirs(src)
+    with open(f"{src}/m.json", "w") as f:
+        for minute in (1, 2, 20):
+            f.write(_json.dumps({"user_id": "U1", "product_id": "P1", "category": "Toys", "event_type": "view",
+                                 "timestamp": f"2026-01-01T00:{minute:02d}:00+00:00"}) + "\n")
+    assert main(["stream", "--base-dir", f"{workdir}/out", "--text-dir", src, "--available-now"]) == 0
+    assert main(["audit", "--base-dir", f"{workdir}/out"]) == 0
+    with pytest.raises(SystemExit):
+        main(["stream", "--base-dir", f"{workdir}/out2", "--kafka", "broker:9092"])
