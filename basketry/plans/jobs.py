@@ -69,20 +69,22 @@ def validate_report_job(spark: SparkSession, base_dir: str, reports_to: str | No
 
 
 def user_segmentation_job(spark: SparkSession, base_dir: str, as_of: dt.date | str | None = None,
-                          reports_to: str | None = None) -> DataFrame:
+                          reports_to: str | None = None, tolerant: bool = False) -> DataFrame:
     """Segments of the users active on ``as_of`` (default today, UTC),
-    written per run date; returns the segment summary."""
+    written per run date; returns the segment summary. ``tolerant`` skips
+    unreadable raw files instead of failing."""
     day = _day(as_of)
-    events = daily_events(read_raw_events(spark, layout(base_dir)["raw"]), day)
+    events = daily_events(read_raw_events(spark, layout(base_dir)["raw"], tolerant), day)
     path = write_segments(user_segments(events), reports_dir(base_dir, reports_to), day)
     return segment_summary(read_csv_report(spark, path, schemas.USER_SEGMENT))
 
 
 def top_products_job(spark: SparkSession, base_dir: str, as_of: dt.date | str | None = None, k: int = 5,
-                     reports_to: str | None = None) -> DataFrame:
-    """The ``k`` most viewed products of ``as_of`` as a text report."""
+                     reports_to: str | None = None, tolerant: bool = False) -> DataFrame:
+    """The ``k`` most viewed products of ``as_of`` as a text report.
+    ``tolerant`` skips unreadable raw files instead of failing."""
     day = _day(as_of)
-    events = daily_events(read_raw_events(spark, layout(base_dir)["raw"]), day)
+    events = daily_events(read_raw_events(spark, layout(base_dir)["raw"], tolerant), day)
     top = top_products(events, k)
     write_lines(top_products_lines(top, day, k), f"{reports_dir(base_dir, reports_to)}/top_products/run_date={day}")
     return top
@@ -117,7 +119,7 @@ def output_audit_job(spark: SparkSession, base_dir: str) -> DataFrame:
         if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
             raise FileNotFoundError(paths[key])
     return combine_audits([
-        dataset_audit("raw", read_raw_events(spark, paths["raw"], tolerant=False), "timestamp",
+        dataset_audit("raw", read_raw_events(spark, paths["raw"]), "timestamp",
                       ("user_id", "product_id", "category", "event_type", "timestamp")),
         dataset_audit("category_metrics",
                       read_parquet_dataset(spark, paths["category_metrics"], schemas.CATEGORY_WINDOW_METRICS),

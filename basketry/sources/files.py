@@ -21,14 +21,15 @@ def read_parquet_dataset(
     spark: SparkSession,
     path: str,
     schema: StructType,
-    tolerant: bool = True,
+    tolerant: bool = False,
     recursive: bool = False,
 ) -> DataFrame:
     """Parquet dataset with an explicit schema.
 
     Reading the dataset root keeps hive partition columns and, for a
     streaming sink, lists only committed files (``_spark_metadata``).
-    ``tolerant`` skips unreadable files; ``recursive`` reads every parquet
+    ``tolerant`` skips unreadable files (their rows are lost, so it is opt-in;
+    the default fails on a corrupt file); ``recursive`` reads every parquet
     file below ``path`` regardless of folder names (partition columns are
     then not derived). A missing path gives an empty typed frame."""
     reader = spark.read.schema(schema).option("ignoreCorruptFiles", str(tolerant).lower())
@@ -42,7 +43,7 @@ def read_parquet_dataset(
         raise
 
 
-def read_raw_events(spark: SparkSession, path: str, tolerant: bool = True) -> DataFrame:
+def read_raw_events(spark: SparkSession, path: str, tolerant: bool = False) -> DataFrame:
     """The raw event dataset (partitioned by ``event_date`` and ``category``)."""
     return read_parquet_dataset(spark, path, RAW_EVENT, tolerant=tolerant)
 

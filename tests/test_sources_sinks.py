@@ -43,3 +43,15 @@ def test_corrupt_file_is_skipped_by_tolerant_scan(spark, workdir):
 
     schema = StructType.fromDDL(SCHEMA)
     assert read_parquet_dataset(spark, f"{workdir}/flat", schema, tolerant=True).count() == 1
+
+
+def test_corrupt_file_fails_the_default_scan(spark, workdir):
+    import pytest
+    from pyspark.sql.types import StructType
+
+    df = spark.createDataFrame([("u", "p", "a", "view", dt.datetime(2026, 1, 1))], SCHEMA)
+    df.write.parquet(f"{workdir}/flat")
+    with open(f"{workdir}/flat/junk.parquet", "wb") as f:
+        f.write(b"not a parquet file")
+    with pytest.raises(Exception):
+        read_parquet_dataset(spark, f"{workdir}/flat", StructType.fromDDL(SCHEMA)).count()
