@@ -16,6 +16,7 @@
 from __future__ import annotations
 
 import hashlib
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,8 +87,10 @@ def shop_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enriched.select("user_id", "product_id", "category", "event_type", "timestamp")
 
 
-# Tables already written by this process: (kind, signature) -> path.
+# Tables already written by this process: (kind, signature) -> path. The
+# lock keeps concurrent callers in one process from writing a table twice.
 _WRITTEN: dict[tuple[str, str], str] = {}
+_WRITE_LOCK = threading.RLock()
 
 
 def _code_version() -> str:
@@ -140,13 +143,14 @@ def derived_table(spark: SparkSession, sf_dir: str, kind: str, write, refresh: b
     by later runs on the same shared folder). ``refresh`` writes a new copy
     in a new folder, so a reader of the current one is never disturbed."""
     key = (kind, _signature(spark, sf_dir))
-    path = _WRITTEN.get(key) or f"{shared_dir(spark)}/{kind}-{key[1]}"
-    if refresh:
-        path = fresh_dir(spark, f"{kind}-{key[1]}")
-        write(path)
-    elif key not in _WRITTEN and not _committed(spark, path):
-        write(path)
-    _WRITTEN[key] = path
+    with _WRITE_LOCK:
+        path = _WRITTEN.get(key) or f"{shared_dir(spark)}/{kind}-{key[1]}"
+        if refresh:
+            path = fresh_dir(spark, f"{kind}-{key[1]}")
+            write(path)
+        elif key not in _WRITTEN and not _committed(spark, path):
+            write(path)
+        _WRITTEN[key] = path
     return path
 
 
