@@ -38,7 +38,7 @@ def main() -> None:
     spark = build_session("local[8]", shuffle_partitions=8)
     rows = []
     for name, fn in QUERIES.items():
-        if name.startswith("stream_") or name == "output_audit":
+        if name.startswith(("stream_", "job_")) or name == "output_audit":
             continue
         df = fn(spark, sf_dir)
         df._jdf.collectAsList()  # run this QueryExecution so AQE fixes its final plan (rows stay in the JVM)
