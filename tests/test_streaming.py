@@ -101,3 +101,29 @@ def test_windowed_stream_on_rocksdb_state(spark, workdir):
             spark.conf.set(STATE_STORE_PROVIDER_KEY, before)
         else:
             spark.conf.unset(STATE_STORE_PROVIDER_KEY)
+
+
+def test_continuous_trigger_runs_all_outputs_and_stops_cleanly(spark, workdir):
+    import time
+
+    from basketry.streaming.jobs import start_all, stop_all
+
+    src, base = f"{workdir}/in", f"{workdir}/out"
+    os.makedirs(src)
+    with open(os.path.join(src, "a.json"), "w") as f:
+        f.write("\n".join([_event(1), _event(2), _event(30)]) + "\n")
+    settings = StreamSettings(trigger={"processingTime": "1 second"})
+    queries = start_all(text_source(spark, src), base, settings, name_prefix="live-")
+    try:
+        deadline = time.time() + 120
+        while time.time() < deadline:
+            if all(q.lastProgress and q.lastProgress["batchId"] >= 1 for q in queries):
+                break
+            time.sleep(0.5)
+        assert all(q.isActive for q in queries)
+    finally:
+        stop_all(queries)
+    assert not any(q.isActive for q in queries)
+    assert not spark.sparkContext._jsc.sc().isStopped()
+    assert read_raw_events(spark, layout(base)["raw"]).count() == 3
+    assert [(r.window_start.minute, r.total_events) for r in _metrics(spark, base)] == [(0, 2)]
