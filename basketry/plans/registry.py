@@ -73,7 +73,6 @@ from basketry.sources.testdata import (
     raw_events,
     read_part_table,
     shop_events,
-    table_path,
     uncategorized_events,
 )
 from basketry.streaming.jobs import (

@@ -1,7 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from basketry.sources.streams import decode_events, encode_events
 from basketry.functions.text import padded_id
 

@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from basketry.functions.rates import safe_rate
 from basketry.operators.segments import classify, occurrences, render_event_list
 from basketry.operators.union import union_event_sets
