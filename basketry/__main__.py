@@ -9,12 +9,15 @@ from __future__ import annotations
 
 import argparse
 
-from basketry.session import build_session
+from basketry.session import build_session, scale_conf
 
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="basketry")
     p.add_argument("--master", default=None, help="only for local runs; clusters set it at submit")
+    p.add_argument("--input-bytes", type=int, default=None,
+                   help="size of the data the job scans; sizes splits and shuffle partitions (with --cores)")
+    p.add_argument("--cores", type=int, default=None, help="total executor cores of the cluster")
     sub = p.add_subparsers(dest="command", required=True)
 
     s = sub.add_parser("stream", help="ingest the event stream into raw/processed/alerts")
@@ -45,7 +48,8 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
-    spark = build_session(args.master, app_name=f"basketry-{args.command}")
+    extra = scale_conf(args.input_bytes, args.cores) if args.input_bytes and args.cores else None
+    spark = build_session(args.master, app_name=f"basketry-{args.command}", extra_conf=extra)
     from basketry.plans import jobs
 
     if args.command == "stream":

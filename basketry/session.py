@@ -19,6 +19,24 @@ BASE_CONF = {
 }
 
 
+def scale_conf(input_bytes: int, total_cores: int, split_bytes: int = 256 << 20) -> dict[str, str]:
+    """Partition sizing for a scan of ``input_bytes`` on ``total_cores``.
+
+    Scan splits of ``split_bytes`` (256 MB: a few hundred MB per task keeps
+    decoded batches well inside an executor core's memory share and the
+    task count manageable: ~400k splits for 100 TB). Shuffle partitions start
+    at one per split of input, at least twice the cores; AQE then coalesces
+    small post-aggregation partitions towards 128 MB and splits skewed ones,
+    so aggregations whose partials are tiny do not pay for the count."""
+    splits = max(1, -(-input_bytes // split_bytes))
+    shuffle = max(2 * total_cores, splits)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+    }
+
+
 STATE_STORE_PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 

@@ -12,3 +12,13 @@ def test_shared_dir_comes_from_the_session(spark):
     assert configured and shared_dir(spark) == configured.rstrip("/")
     a, b = fresh_dir(spark, "x"), fresh_dir(spark, "x")
     assert a != b and a.startswith(shared_dir(spark))
+
+
+def test_scale_conf_sizes_partitions_to_the_input():
+    from basketry.session import scale_conf
+
+    conf = scale_conf(100 * (1 << 40), 8000)  # 100 TB on 1000 executors x 8 cores
+    assert int(conf["spark.sql.files.maxPartitionBytes"]) == 256 << 20
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    small = scale_conf(5 << 20, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
