@@ -56,3 +56,12 @@ def test_scan_reads_only_needed_columns(spark):
 def test_average_does_not_sort_the_report(spark):
     df = QUERIES["avg_conversion_rate"](spark, SF_SMALL)
     assert "rangepartitioning" not in _plan(df)
+
+
+@pytest.mark.parametrize("name", [n for n in BATCH if n not in ("shop_events", "catalog_normalize", "catalog_enrich")])
+def test_event_scale_aggregates_are_hash_based(spark, name):
+    # Only the catalog normalisation (a dimension) may sort; every aggregate
+    # over events must be a hash / object-hash aggregate.
+    df = QUERIES[name](spark, SF_SMALL)
+    df._jdf.collectAsList()
+    assert "SortAggregate" not in df._jdf.queryExecution().executedPlan().toString()
