@@ -127,3 +127,27 @@ def test_continuous_trigger_runs_all_outputs_and_stops_cleanly(spark, workdir):
     assert not spark.sparkContext._jsc.sc().isStopped()
     assert read_raw_events(spark, layout(base)["raw"]).count() == 3
     assert [(r.window_start.minute, r.total_events) for r in _metrics(spark, base)] == [(0, 2)]
+
+
+def test_salted_catalog_lookup_on_a_stream(spark, workdir):
+    from basketry.operators.catalog import enrich_with_catalog, normalize_catalog
+    from basketry.sources.streams import decode_events
+    from basketry.streaming.jobs import await_all, start_raw_ingest, stop_all
+
+    src, base = f"{workdir}/in", f"{workdir}/out"
+    os.makedirs(src)
+    lines = [_event(m % 60, product="P0001") for m in range(30)] + [_event(1, product="P0002"), _event(2, product="P0009")]
+    with open(os.path.join(src, "a.json"), "w") as f:
+        f.write("\n".join(lines) + "\n")
+    catalog = normalize_catalog(spark.createDataFrame([("P0001", "Toys"), ("P0002", "Home")],
+                                                      "product_id string, category string"))
+    events = enrich_with_catalog(decode_events(text_source(spark, src)), catalog, max_broadcast_rows=0)
+    q = start_raw_ingest(events, base, StreamSettings(trigger={"availableNow": True}), name="salted")
+    try:
+        await_all([q])
+    finally:
+        stop_all([q])
+    got = {}
+    for r in read_raw_events(spark, layout(base)["raw"]).collect():
+        got[(r.product_id, r.category)] = got.get((r.product_id, r.category), 0) + 1
+    assert got == {("P0001", "Toys"): 30, ("P0002", "Home"): 1, ("P0009", "UNKNOWN"): 1}
