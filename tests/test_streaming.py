@@ -151,3 +151,24 @@ def test_salted_catalog_lookup_on_a_stream(spark, workdir):
     for r in read_raw_events(spark, layout(base)["raw"]).collect():
         got[(r.product_id, r.category)] = got.get((r.product_id, r.category), 0) + 1
     assert got == {("P0001", "Toys"): 30, ("P0002", "Home"): 1, ("P0009", "UNKNOWN"): 1}
+
+
+def test_stream_aggregation_is_partial_before_the_state_store(spark, workdir, capsys):
+    from basketry.sources.streams import decode_events
+    from basketry.streaming.jobs import await_all, start_category_metrics, stop_all
+
+    src = f"{workdir}/in"
+    os.makedirs(src)
+    with open(os.path.join(src, "a.json"), "w") as f:
+        f.write("\n".join([_event(1), _event(12)]) + "\n")
+    q = start_category_metrics(decode_events(text_source(spark, src)), f"{workdir}/out",
+                               StreamSettings(trigger={"availableNow": True}), name="explain")
+    try:
+        await_all([q])
+        capsys.readouterr()
+        q.explain()
+        plan = capsys.readouterr().out
+    finally:
+        stop_all([q])
+    assert plan.index("StateStoreSave") < plan.index("partial_count")  # partial is below the state store
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
