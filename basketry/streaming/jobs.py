@@ -8,10 +8,10 @@ a window is written once, when the watermark passes its end, and rows later
 than the watermark are dropped from the aggregates (they stay in raw, which
 has no watermark).
 
-State per window key is a few counters; for very many keys per window set
-``spark.sql.streaming.stateStore.providerClass`` to the RocksDB provider
-(``org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider``)
-so state lives off-heap and checkpoints incrementally.
+State per window key is a few counters, merged from map-side partial
+aggregates. For very many keys per window start the session with
+``build_session(rocksdb_state_store=True)`` (RocksDB state store provider) so
+state lives off-heap and checkpoints incrementally.
 """
 
 from __future__ import annotations
