@@ -29,10 +29,8 @@ from basketry.operators import (
     average_rate,
     category_conversion,
     category_window_metrics,
-    combine_audits,
     conversion_report,
     daily_events,
-    dataset_audit,
     enrich_with_catalog,
     events_by_date,
     funnel_counts,
@@ -414,22 +412,8 @@ def q_job_category_conversion(spark, sf_dir):
 
 
 def q_output_audit(spark, sf_dir):
-    base = fresh_dir(spark, "stream")
-    messages = text_source(spark, message_folder(spark, sf_dir))
-    paths = run_available_now(messages, base, _AVAILABLE_NOW)
-    raw = read_raw_events(spark, paths["raw"])
-    audits = [
-        dataset_audit("raw", raw, "timestamp", ("user_id", "product_id", "category", "event_type", "timestamp")),
-        dataset_audit("category_metrics",
-                      read_parquet_dataset(spark, paths["category_metrics"], schemas.CATEGORY_WINDOW_METRICS),
-                      "window_start", ("category",)),
-        dataset_audit("product_metrics",
-                      read_parquet_dataset(spark, paths["product_metrics"], schemas.PRODUCT_WINDOW_METRICS),
-                      "window_start", ("product_id",)),
-        dataset_audit("alerts", read_csv_report(spark, paths["alerts"], schemas.PRODUCT_ALERT),
-                      "window_start", ("product_id", "category")),
-    ]
-    return _ntz(combine_audits(audits))
+    # Audit the stream outputs the job queries read.
+    return _ntz(jobs.output_audit_job(spark, _stream_outputs(spark, sf_dir)))
 
 
 def _in_utc(fn: Query) -> Query:
