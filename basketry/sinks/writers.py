@@ -33,9 +33,18 @@ def write_segments(segments: DataFrame, base_dir: str, as_of: dt.date | str) ->
 
 def write_raw_events(events: DataFrame, path: str, mode: str = "append") -> None:
     """Typed events as Parquet partitioned by event date and category, so a
-    daily job reads one date folder."""
+    daily job reads one date folder.
+
+    ``mode="replace_partitions"`` rewrites only the (date, category) folders
+    present in ``events`` and keeps the others: re-running a day's ingest
+    after a failure or for a backfill neither duplicates nor loses rows."""
     out = events if "event_date" in events.columns else events.withColumn("event_date", F.to_date("timestamp"))
-    out.write.mode(mode).partitionBy("event_date", "category").parquet(path)
+    writer = out.write.partitionBy("event_date", "category")
+    if mode == "replace_partitions":
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    else:
+        writer = writer.mode(mode)
+    writer.parquet(path)
 
 
 def publish_events(events: DataFrame, bootstrap_servers: str, topic: str,

@@ -55,3 +55,13 @@ def test_corrupt_file_fails_the_default_scan(spark, workdir):
         f.write(b"not a parquet file")
     with pytest.raises(Exception):
         read_parquet_dataset(spark, f"{workdir}/flat", StructType.fromDDL(SCHEMA)).count()
+
+
+def test_replacing_one_day_keeps_the_others(spark, workdir):
+    day1 = [("u1", "p", "a", "view", dt.datetime(2026, 1, 1, 10))] * 2
+    day2 = [("u2", "p", "a", "view", dt.datetime(2026, 1, 2, 10))] * 3
+    write_raw_events(spark.createDataFrame(day1 + day2, SCHEMA), f"{workdir}/raw")
+    rerun = [("u3", "p", "a", "purchase", dt.datetime(2026, 1, 2, 11))]
+    write_raw_events(spark.createDataFrame(rerun, SCHEMA), f"{workdir}/raw", mode="replace_partitions")
+    got = sorted((str(r.event_date), r.user_id) for r in read_raw_events(spark, f"{workdir}/raw").collect())
+    assert got == [("2026-01-01", "u1"), ("2026-01-01", "u1"), ("2026-01-02", "u3")]
