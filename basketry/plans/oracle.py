@@ -126,7 +126,8 @@ CLOSED = "window_end <= (SELECT max(ts) FROM events) - INTERVAL '5 minutes'"
 
 ISO = "strftime(\"timestamp\", '%Y-%m-%dT%H:%M:%S.%f+00:00')"
 
-RAW = 'SELECT user_id, product_id, event_type, "timestamp", CAST("timestamp" AS DATE) AS event_date, category FROM shop'
+RAW = ('SELECT user_id, product_id, event_type, "timestamp", CAST(CAST("timestamp" AS DATE) AS VARCHAR) AS event_date, '
+       'category FROM shop')
 
 
 def _q(body: str, *ctes: str) -> str:
@@ -143,7 +144,8 @@ ORACLE_SQL: dict[str, str] = {
     "record_counts": _q(
         "SELECT count(*) AS loaded_events, "
         "CAST(count_if(category IS NOT NULL) AS BIGINT) AS retained_events FROM shop"),
-    "events_by_date": _q('SELECT CAST("timestamp" AS DATE) AS event_date, count(*) AS events FROM shop GROUP BY 1'),
+    "events_by_date": _q('SELECT CAST(CAST("timestamp" AS DATE) AS VARCHAR) AS event_date, count(*) AS events '
+                         'FROM shop GROUP BY 1'),
     "event_union": _q(
         f"SELECT user_id, product_id, CAST(NULL AS VARCHAR) AS category, event_type, \"timestamp\" FROM shop "
         f"WHERE \"timestamp\" < TIMESTAMP '{UNION_CUTOFF}' "
@@ -168,7 +170,7 @@ ORACLE_SQL: dict[str, str] = {
         "AS avg_conversion_rate FROM report", FUNNEL, REPORT),
     "top_categories": _q("SELECT * FROM report ORDER BY conversion_rate DESC, category LIMIT 3", FUNNEL, REPORT),
     "low_performers": _q(
-        "SELECT product_id, event_date, views, purchases, cart_adds, "
+        "SELECT product_id, CAST(event_date AS VARCHAR) AS event_date, views, purchases, cart_adds, "
         "CASE WHEN views > 0 THEN round(CAST(purchases AS DOUBLE) / views, 4) ELSE 0.0 END AS conversion_rate, "
         "CASE WHEN cart_adds > 0 THEN round(CAST(purchases AS DOUBLE) / cart_adds, 4) ELSE 0.0 END "
         "AS cart_to_purchase_rate "

@@ -11,8 +11,9 @@ Parameters that differ from the operators' defaults, and why:
 * low performers run at (product, day) grain with ``views > 1``: at category
   grain no category lacks purchases.
 
-Timestamps are returned as ``timestamp_ntz`` (UTC wall clock) so they compare
-directly with zone-less SQL engines.
+Timestamps are returned as ``timestamp_ntz`` (UTC wall clock) and dates as
+ISO text (see ``_portable``) so they compare directly with zone-less SQL
+engines and their client libraries.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampType
+from pyspark.sql.types import DateType, TimestampType
 
 from basketry import schemas
 from basketry.functions.codec import format_iso, parse_timestamp
@@ -98,12 +99,19 @@ LOW_PERFORMER_MIN_VIEWS = 1
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _ntz(df: DataFrame) -> DataFrame:
-    cols = [
-        F.col(f.name).cast("timestamp_ntz").alias(f.name) if isinstance(f.dataType, TimestampType) else F.col(f.name)
-        for f in df.schema.fields
-    ]
-    return df.select(*cols)
+def _portable(df: DataFrame) -> DataFrame:
+    """Result columns in a client-neutral form: timestamps as
+    ``timestamp_ntz`` (UTC wall clock) and dates as ISO ``yyyy-MM-dd`` text,
+    so a comparison does not depend on how a client library maps SQL DATE."""
+
+    def convert(f):
+        if isinstance(f.dataType, TimestampType):
+            return F.col(f.name).cast("timestamp_ntz").alias(f.name)
+        if isinstance(f.dataType, DateType):
+            return F.col(f.name).cast("string").alias(f.name)
+        return F.col(f.name)
+
+    return df.select(*[convert(f) for f in df.schema.fields])
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,7 +128,7 @@ def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_shop_events(spark, sf_dir):
     # The ingest mapping itself, computed from the tables.
-    return _ntz(shop_events(spark, sf_dir))
+    return _portable(shop_events(spark, sf_dir))
 
 
 def q_record_counts(spark, sf_dir):
@@ -128,7 +136,7 @@ def q_record_counts(spark, sf_dir):
 
 
 def q_events_by_date(spark, sf_dir):
-    return events_by_date(_events(spark, sf_dir))
+    return _portable(events_by_date(_events(spark, sf_dir)))
 
 
 def q_event_union(spark, sf_dir):
@@ -138,7 +146,7 @@ def q_event_union(spark, sf_dir):
     cutoff = F.lit(UNION_CUTOFF).cast("timestamp")
     older = ev.filter(F.col("timestamp") < cutoff).drop("category")
     newer = ev.filter(F.col("timestamp") >= cutoff)
-    return _ntz(union_event_sets([older, newer]))
+    return _portable(union_event_sets([older, newer]))
 
 
 def q_views_by_category(spark, sf_dir):
@@ -176,7 +184,7 @@ def q_top_categories(spark, sf_dir):
 def q_low_performers(spark, sf_dir):
     keys = ("product_id", "event_date")
     report = conversion_report(with_event_date(_events(spark, sf_dir)), keys=keys, ordered=False)
-    return low_performers(report, min_views=LOW_PERFORMER_MIN_VIEWS, k=3, keys=keys)
+    return _portable(low_performers(report, min_views=LOW_PERFORMER_MIN_VIEWS, k=3, keys=keys))
 
 
 def q_report_csv_roundtrip(spark, sf_dir):
@@ -194,7 +202,7 @@ def q_report_validation(spark, sf_dir):
 # --- daily segmentation and ranking ---------------------------------------
 
 def q_daily_events(spark, sf_dir):
-    return _ntz(_daily(spark, sf_dir).drop("event_date"))
+    return _portable(_daily(spark, sf_dir).drop("event_date"))
 
 
 def q_user_event_lists(spark, sf_dir):
@@ -235,23 +243,23 @@ def q_top_products_lines(spark, sf_dir):
 # --- window aggregates (batch) ---------------------------------------------
 
 def q_window_category_metrics(spark, sf_dir):
-    return _ntz(category_window_metrics(_events(spark, sf_dir), METRICS_WINDOW))
+    return _portable(category_window_metrics(_events(spark, sf_dir), METRICS_WINDOW))
 
 
 def q_window_category_metrics_literal(spark, sf_dir):
-    return _ntz(category_window_metrics(_events(spark, sf_dir), METRICS_WINDOW, literal_counts=True))
+    return _portable(category_window_metrics(_events(spark, sf_dir), METRICS_WINDOW, literal_counts=True))
 
 
 def q_window_product_alerts(spark, sf_dir):
-    return _ntz(product_alerts(_events(spark, sf_dir), ALERT_WINDOW, ALERT_THRESHOLD))
+    return _portable(product_alerts(_events(spark, sf_dir), ALERT_WINDOW, ALERT_THRESHOLD))
 
 
 def q_window_product_metrics(spark, sf_dir):
-    return _ntz(product_window_metrics(_events(spark, sf_dir), METRICS_WINDOW))
+    return _portable(product_window_metrics(_events(spark, sf_dir), METRICS_WINDOW))
 
 
 def q_window_category_rates(spark, sf_dir):
-    return _ntz(window_rates(category_window_metrics(_events(spark, sf_dir), METRICS_WINDOW)))
+    return _portable(window_rates(category_window_metrics(_events(spark, sf_dir), METRICS_WINDOW)))
 
 
 # --- catalog and category roll-up ------------------------------------------
@@ -289,7 +297,7 @@ def q_catalog_normalize(spark, sf_dir):
 def q_catalog_enrich(spark, sf_dir):
     path = _write_catalog_csv(spark, part_catalog_rows(spark, sf_dir))
     catalog = normalize_catalog(read_catalog_csv(spark, path, with_line_numbers=True), order_col="line_no")
-    return _ntz(enrich_with_catalog(uncategorized_events(spark, sf_dir), catalog))
+    return _portable(enrich_with_catalog(uncategorized_events(spark, sf_dir), catalog))
 
 
 # --- codec -----------------------------------------------------------------
@@ -300,12 +308,12 @@ def q_event_json_encode(spark, sf_dir):
 
 def q_event_json_decode(spark, sf_dir):
     messages = encode_events(_events(spark, sf_dir)).select(F.col("value").cast("binary").alias("value"))
-    return _ntz(decode_events(messages))
+    return _portable(decode_events(messages))
 
 
 def q_timestamp_parse(spark, sf_dir):
     text = _events(spark, sf_dir).select(format_iso("timestamp").alias("timestamp_text"))
-    return _ntz(text.select("timestamp_text", parse_timestamp("timestamp_text").alias("timestamp")))
+    return _portable(text.select("timestamp_text", parse_timestamp("timestamp_text").alias("timestamp")))
 
 
 # --- streaming ---------------------------------------------------------------
@@ -333,7 +341,7 @@ _AVAILABLE_NOW = StreamSettings(
 
 
 def _raw_columns(raw: DataFrame) -> DataFrame:
-    return _ntz(raw.select("user_id", "product_id", "event_type", "timestamp", "event_date", "category"))
+    return _portable(raw.select("user_id", "product_id", "event_type", "timestamp", "event_date", "category"))
 
 
 def q_stream_raw_ingest(spark, sf_dir):
@@ -345,26 +353,26 @@ def q_stream_raw_ingest(spark, sf_dir):
 def q_stream_category_metrics(spark, sf_dir):
     base = fresh_dir(spark, "stream")
     _run_stream(start_category_metrics, _stream_events(spark, sf_dir), base, _AVAILABLE_NOW)
-    return _ntz(read_parquet_dataset(spark, layout(base)["category_metrics"], schemas.CATEGORY_WINDOW_METRICS))
+    return _portable(read_parquet_dataset(spark, layout(base)["category_metrics"], schemas.CATEGORY_WINDOW_METRICS))
 
 
 def q_stream_category_rates(spark, sf_dir):
     base = fresh_dir(spark, "stream")
     settings = StreamSettings(**{**_AVAILABLE_NOW.__dict__, "with_rates": True})
     _run_stream(start_category_metrics, _stream_events(spark, sf_dir), base, settings)
-    return _ntz(read_parquet_dataset(spark, layout(base)["category_metrics"], schemas.CATEGORY_WINDOW_RATES))
+    return _portable(read_parquet_dataset(spark, layout(base)["category_metrics"], schemas.CATEGORY_WINDOW_RATES))
 
 
 def q_stream_product_alerts(spark, sf_dir):
     base = fresh_dir(spark, "stream")
     _run_stream(start_product_alerts, _stream_events(spark, sf_dir), base, _AVAILABLE_NOW)
-    return _ntz(read_csv_report(spark, layout(base)["alerts"], schemas.PRODUCT_ALERT))
+    return _portable(read_csv_report(spark, layout(base)["alerts"], schemas.PRODUCT_ALERT))
 
 
 def q_stream_product_metrics(spark, sf_dir):
     base = fresh_dir(spark, "stream")
     _run_stream(start_product_metrics, _stream_events(spark, sf_dir), base, _AVAILABLE_NOW)
-    return _ntz(read_parquet_dataset(spark, layout(base)["product_metrics"], schemas.PRODUCT_WINDOW_METRICS))
+    return _portable(read_parquet_dataset(spark, layout(base)["product_metrics"], schemas.PRODUCT_WINDOW_METRICS))
 
 
 def q_stream_catalog_enrich(spark, sf_dir):
@@ -413,7 +421,7 @@ def q_job_category_conversion(spark, sf_dir):
 
 def q_output_audit(spark, sf_dir):
     # Audit the stream outputs the job queries read.
-    return _ntz(jobs.output_audit_job(spark, _stream_outputs(spark, sf_dir)))
+    return _portable(jobs.output_audit_job(spark, _stream_outputs(spark, sf_dir)))
 
 
 def _in_utc(fn: Query) -> Query:
