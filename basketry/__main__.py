@@ -31,6 +31,12 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--alert-threshold", type=int, default=100)
     s.add_argument("--catalog", help="normalised catalog Parquet for a per-event lookup")
     s.add_argument("--available-now", action="store_true", help="process what is there, then stop")
+    s.add_argument("--trigger-interval", default=None, help="micro-batch interval, e.g. '10 seconds'")
+    s.add_argument("--max-files-per-trigger", type=int, default=None, help="file source only")
+    s.add_argument("--raw-writers", type=int, default=None,
+                   help="writers per (date, category) folder per micro-batch (salted shuffle)")
+    s.add_argument("--rates", action="store_true", help="add the conversion rate to category metrics")
+    s.add_argument("--rocksdb", action="store_true", help="keep window state in the RocksDB state store")
 
     for name in ("conversion-report", "segments", "top-products"):
         c = sub.add_parser(name)
@@ -49,7 +55,8 @@ def _parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     extra = scale_conf(args.input_bytes, args.cores) if args.input_bytes and args.cores else None
-    spark = build_session(args.master, app_name=f"basketry-{args.command}", extra_conf=extra)
+    spark = build_session(args.master, app_name=f"basketry-{args.command}", extra_conf=extra,
+                          rocksdb_state_store=getattr(args, "rocksdb", False))
     from basketry.plans import jobs
 
     if args.command == "stream":
@@ -58,12 +65,21 @@ def main(argv: list[str] | None = None) -> int:
 
         if args.kafka and not args.topic:
             raise SystemExit("--topic is required with --kafka")
-        messages = kafka_source(spark, args.kafka, args.topic) if args.kafka else text_source(spark, args.text_dir)
+        if args.kafka:
+            messages = kafka_source(spark, args.kafka, args.topic)
+        else:
+            messages = text_source(spark, args.text_dir, max_files_per_trigger=args.max_files_per_trigger)
         from basketry.schemas import CATALOG
 
         catalog = spark.read.schema(CATALOG).parquet(args.catalog) if args.catalog else None
+        if args.available_now:
+            trigger = {"availableNow": True}
+        elif args.trigger_interval:
+            trigger = {"processingTime": args.trigger_interval}
+        else:
+            trigger = None
         settings = StreamSettings(window=args.window, delay=args.delay, alert_threshold=args.alert_threshold,
-                                  trigger={"availableNow": True} if args.available_now else None)
+                                  trigger=trigger, raw_writers=args.raw_writers, with_rates=args.rates)
         queries = start_all(messages, args.base_dir, settings, catalog)
         try:
             if args.available_now:

@@ -59,7 +59,10 @@ def test_cli_stream_then_audit(spark, workdir):
         for minute in (1, 2, 20):
             f.write(_json.dumps({"user_id": "U1", "product_id": "P1", "category": "Toys", "event_type": "view",
                                  "timestamp": f"2026-01-01T00:{minute:02d}:00+00:00"}) + "\n")
-    assert main(["stream", "--base-dir", f"{workdir}/out", "--text-dir", src, "--available-now"]) == 0
+    assert main(["stream", "--base-dir", f"{workdir}/out", "--text-dir", src, "--available-now",
+                 "--raw-writers", "2", "--rates", "--max-files-per-trigger", "5"]) == 0
+    metrics = spark.read.parquet(f"{workdir}/out/processed/category_metrics")
+    assert "conversion_rate" in metrics.columns and metrics.count() == 1
     assert main(["audit", "--base-dir", f"{workdir}/out"]) == 0
     with pytest.raises(SystemExit):
         main(["stream", "--base-dir", f"{workdir}/out2", "--kafka", "broker:9092"])
