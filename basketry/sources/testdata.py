@@ -15,6 +15,7 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import threading
 
@@ -93,6 +94,7 @@ _WRITTEN: dict[tuple[str, str], str] = {}
 _WRITE_LOCK = threading.RLock()
 
 
+@functools.lru_cache(maxsize=1)
 def _code_version() -> str:
     """Digest of the package's code, so a table derived by older code (a
     different mapping, window rule or stream job) is never reused."""
@@ -115,7 +117,7 @@ def _hadoop_fs(spark: SparkSession, path: str):
 def _signature(spark: SparkSession, sf_dir: str) -> str:
     """Identity of the input tables (path, total bytes, file count and
     modification time, through the Hadoop file system so any storage scheme
-    works) and of the mapping code."""
+    works) and of the package's code."""
     parts = [sf_dir.rstrip("/"), _code_version()]
     for name in ("events", "part"):
         p, fs = _hadoop_fs(spark, table_path(sf_dir, name))
