@@ -134,10 +134,15 @@ def average_rate(report: DataFrame, rate: str = "conversion_rate", scale: int |
 
 
 def record_counts(events: DataFrame, keys: Sequence[str] = ("category",)) -> DataFrame:
-    """Loaded rows and rows kept by the null-key filter, in one pass."""
+    """Loaded rows, rows kept by the null-key filter and the number of groups
+    the report will have (groups with a view), in one pass."""
+    keys = list(keys)
+    kept = _keys_not_null(keys)
+    group = F.struct(*keys) if len(keys) > 1 else F.col(keys[0])
     return events.agg(
         F.count(F.lit(1)).alias("loaded_events"),
-        F.count_if(_keys_not_null(list(keys))).alias("retained_events"),
+        F.count_if(kept).alias("retained_events"),
+        F.count_distinct(F.when(kept & (F.col("event_type") == VIEW), group)).alias("report_groups"),
     )
 
 

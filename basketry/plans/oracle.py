@@ -143,7 +143,9 @@ ORACLE_SQL: dict[str, str] = {
     "shop_events": _q("SELECT * FROM shop"),
     "record_counts": _q(
         "SELECT count(*) AS loaded_events, "
-        "CAST(count_if(category IS NOT NULL) AS BIGINT) AS retained_events FROM shop"),
+        "CAST(count_if(category IS NOT NULL) AS BIGINT) AS retained_events, "
+        "count(DISTINCT category) FILTER (WHERE category IS NOT NULL AND event_type = 'view') AS report_groups "
+        "FROM shop"),
     "events_by_date": _q('SELECT CAST(CAST("timestamp" AS DATE) AS VARCHAR) AS event_date, count(*) AS events '
                          'FROM shop GROUP BY 1'),
     "event_union": _q(

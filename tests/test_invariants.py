@@ -38,3 +38,12 @@ def test_category_roll_up_preserves_product_sums(spark):
 def test_window_metrics_cover_every_event(spark):
     ev = raw_events(spark, SF_SMALL)
     assert category_window_metrics(ev).agg(F.sum("total_events")).collect()[0][0] == ev.count()
+
+
+def test_record_counts_predict_the_report_size(spark):
+    from basketry.operators import conversion_report, record_counts
+
+    ev = raw_events(spark, SF_SMALL)
+    counts = record_counts(ev).collect()[0]
+    assert counts.report_groups == conversion_report(ev).count()
+    assert counts.loaded_events == ev.count() >= counts.retained_events
