@@ -51,3 +51,16 @@ def test_queries_pin_utc_in_a_foreign_zone_session(spark):
         assert len(rows) == 30
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+@pytest.mark.parametrize("name", sorted(__import__("__spark_entry__").queries()))
+def test_result_columns_are_explicit_aliases(results, spark, name):
+    import re
+
+    import __spark_entry__ as contract
+
+    if name.startswith(("stream_", "job_")) or name == "output_audit":
+        pytest.skip("runs a stream; its columns come from the sink schemas")
+    cols = contract.queries()[name](spark, SF_SMALL).columns
+    assert all(re.fullmatch(r"[a-z][a-z0-9_]*", c) for c in cols), cols
+    assert len(cols) == len(set(cols))
