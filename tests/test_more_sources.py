@@ -66,3 +66,19 @@ def test_cli_stream_then_audit(spark, workdir):
     assert main(["audit", "--base-dir", f"{workdir}/out"]) == 0
     with pytest.raises(SystemExit):
         main(["stream", "--base-dir", f"{workdir}/out2", "--kafka", "broker:9092"])
+
+
+def test_other_read_errors_are_not_swallowed(spark):
+    from basketry.schemas import RAW_EVENT
+
+    with pytest.raises(Exception):
+        read_parquet_dataset(spark, "nosuchscheme://bucket/raw", RAW_EVENT).count()
+
+
+def test_daily_jobs_on_a_day_without_events(spark, workdir):
+    rows = [("u", "p", "a", "view", dt.datetime(2026, 1, 1, 10))]
+    write_raw_events(spark.createDataFrame(rows, SCHEMA), f"{workdir}/raw")
+    assert jobs.user_segmentation_job(spark, workdir, "2030-01-01").count() == 0
+    assert jobs.top_products_job(spark, workdir, "2030-01-01").count() == 0
+    seg = [f for f in os.listdir(f"{workdir}/reports/user_segments/run_date=2030-01-01") if f.endswith(".csv")]
+    assert seg  # header-only file
