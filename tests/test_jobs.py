@@ -55,3 +55,13 @@ def test_category_conversion_and_audit(spark, base):
 def test_audit_of_missing_output_fails(spark, workdir):
     with pytest.raises(FileNotFoundError):
         jobs.output_audit_job(spark, workdir)
+
+
+def test_catalog_job_normalises_a_csv_catalog(spark, workdir):
+    import os
+
+    os.makedirs(f"{workdir}/csv")
+    with open(f"{workdir}/csv/catalog.csv", "w") as f:
+        f.write("product_id,category,line_no\n p0001 ,Home ,1\nP0001,Toys,2\np0002, Sports,3\n")
+    out = jobs.catalog_job(spark, f"{workdir}/csv", workdir, with_line_numbers=True)
+    assert sorted(tuple(r) for r in out.collect()) == [("P0001", "Toys"), ("P0002", "Sports")]
