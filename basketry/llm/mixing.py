@@ -163,7 +163,7 @@ WITH d AS (
   WINDOW before AS (ORDER BY ceiling::DOUBLE / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
          rest AS (ORDER BY ceiling::DOUBLE / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
 ), t AS (
-  SELECT w.*, least(weight * (SELECT coalesce(min(level) FILTER (weight * level <= ceiling), max(level)) FROM f), ceiling::DOUBLE) AS target
+  SELECT w.*, least(weight * (SELECT coalesce(arg_min(level, ceiling::DOUBLE / weight) FILTER (weight * level <= ceiling), 0) FROM f), ceiling::DOUBLE) AS target
   FROM w
 ), r AS (
   SELECT d.doc_id, d.size, t.source, t.source_size, t.target, d.seeded,

@@ -147,11 +147,11 @@ def op7_top_k(spark, sf_dir: str) -> DataFrame:
 
 ORACLE_SQL = """
 WITH e AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), p AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(c.v) + 1), i -> q.v[i] * c.v[i]))::BIGINT AS score
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(c.v) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
   FROM e q JOIN e c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
 ), r AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM p
