@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from basketry.llm import langid, mixing, sp_codec, topk
+from basketry.llm import langid, mixing, near_dedup, quality_lm, site_quality, sp_codec, topk
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
     "op3_mix_sources": mixing.op3_mix_sources,
+    "op5_quality_rules": quality_lm.op5_quality_rules,
     "op6_sentencepiece": sp_codec.op6_sentencepiece,
     "op7_top_k": topk.op7_top_k,
+    "op8_site_quality": site_quality.op8_site_quality,
+    "op10_near_dedup": near_dedup.op10_near_dedup,
 }
 
 ORACLE_SQL = {
