@@ -112,3 +112,16 @@ class RollingHash:
 
     def windows(self, prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix64((prefix[end] - prefix[start]) * self.inverse[start])
+
+
+#: Estimated bytes up to which a counted table is broadcast; beyond it, joins shuffle both sides.
+BROADCAST_BYTES = 32 << 20
+
+
+def small_side(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` marked for broadcast if its counted rows times ``row_bytes`` stay within ``limit``, else ``df`` itself.
+
+    ``df`` should be materialised (it is counted).  The result of the join is the same either way."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if df.count() * row_bytes <= limit else df

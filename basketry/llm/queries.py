@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from basketry.llm import langid, mixing, near_dedup, quality_lm, site_quality, sp_codec, topk
+from basketry.llm import langid, line_dedup, mixing, near_dedup, quality_lm, site_quality, sp_codec, topk
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
@@ -11,6 +11,7 @@ QUERIES = {
     "op6_sentencepiece": sp_codec.op6_sentencepiece,
     "op7_top_k": topk.op7_top_k,
     "op8_site_quality": site_quality.op8_site_quality,
+    "op9_line_dedup": line_dedup.op9_line_dedup,
     "op10_near_dedup": near_dedup.op10_near_dedup,
 }
 
