@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from basketry.llm import langid, line_dedup, mixing, near_dedup, quality_lm, site_quality, sp_codec, topk
+from basketry.llm import fm_dedup, langid, line_dedup, mixing, near_dedup, quality_lm, site_quality, sp_codec, suffix_dedup, topk
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
+    "op2_suffix_dedup": suffix_dedup.op2_suffix_dedup,
     "op3_mix_sources": mixing.op3_mix_sources,
+    "op4_fm_dedup": fm_dedup.op4_fm_dedup,
     "op5_quality_rules": quality_lm.op5_quality_rules,
     "op6_sentencepiece": sp_codec.op6_sentencepiece,
     "op7_top_k": topk.op7_top_k,
