@@ -175,7 +175,7 @@ def line_classes(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS
 
 
 def removed_lines(docs: DataFrame, min_repeats: int = 2, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """``docs`` (all columns) with ``lines``, ``keep`` (a flag for each line, null: keep all), ``n_exact, n_near, n_links``.
+    """``row`` (all columns of ``docs``), ``lines, kept_lines, changed, n_exact, n_near, n_links``.
 
     Lines of classes of at least ``min_repeats`` occurrences go, but for the class's first occurrence (by doc_id, then place).
     ``n_exact`` counts lines that go as equal to an earlier one, ``n_near`` those that only resemble one."""
@@ -192,24 +192,23 @@ def removed_lines(docs: DataFrame, min_repeats: int = 2, edits: int = EDITS, min
         F.count_if(F.col("gone") & ~F.col("exact")).alias("n_near"), F.sum("n_links").alias("n_links"),
     )
     by_doc = materialize(by_doc, "lines-verdicts")
-    joined = split_lines(docs).join(small_side(by_doc, 96), "doc_id", "left")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
+    joined = split_lines(rows).join(small_side(by_doc, 96), "doc_id", "left")
     some = F.coalesce(F.size("gone_at") > 0, F.lit(False))
-    kept = lines_without("gone_at")
     zero = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("n_exact", "n_near", "n_links")]
-    return joined.select(*[F.col(c) for c in docs.columns], F.col("lines"), kept.alias("kept_lines"), some.alias("changed"), *zero)
+    return joined.select("row", "lines", lines_without("gone_at").alias("kept_lines"), some.alias("changed"), *zero)
 
 
 def dedup_lines(docs: DataFrame, min_repeats: int = 2, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """``docs`` with repeated lines taken out of the texts (``n_chars`` follows if present).
 
     A document that had words and has none left is dropped; untouched texts stay as they are."""
-    bare = docs.select(*[F.col(c) for c in docs.columns])
-    out = removed_lines(bare, min_repeats, edits, min_chars)
-    text = F.when(F.col("changed"), F.array_join("kept_lines", "\n")).otherwise(F.col("text"))
-    out = out.withColumn("text", text).where(~F.col("changed") | F.col("text").rlike(WORD_PATTERN))
+    out = removed_lines(docs, min_repeats, edits, min_chars).withColumn("left", F.array_join("kept_lines", "\n"))
+    row = F.col("row").withField("text", F.col("left"))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("changed"), F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        row = row.withField("n_chars", F.length("left").cast(docs.schema["n_chars"].dataType))
+    out = out.where(~F.col("changed") | F.col("left").rlike(WORD_PATTERN))
+    return out.select(F.when(F.col("changed"), row).otherwise(F.col("row")).alias("row")).select("row.*")
 
 
 def line_report(docs: DataFrame, min_repeats: int = 2, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -221,7 +220,7 @@ def line_report(docs: DataFrame, min_repeats: int = 2, edits: int = EDITS, min_c
     out = removed_lines(docs.select("doc_id", "text"), min_repeats, edits, min_chars)
     n_lines = F.size(F.filter("lines", lambda x: x.rlike(WORD_PATTERN)))
     return out.select(
-        "doc_id", n_lines.cast("long").alias("n_lines"), "n_exact", "n_near", (F.col("n_exact") + F.col("n_near")).alias("n_removed"), "n_links",
+        "row.doc_id", n_lines.cast("long").alias("n_lines"), "n_exact", "n_near", (F.col("n_exact") + F.col("n_near")).alias("n_removed"), "n_links",
         F.sha2(F.array_join("kept_lines", "\n").cast("binary"), 256).alias("kept_sha256"),
     )
 

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.llm.common import WORD_PATTERN, materialize, read_table
+from basketry.llm.common import WORD_PATTERN, materialize, read_table, small_side
 
 #: Documents in a sampling bucket, on average.
 BUCKET_DOCS = 256
@@ -117,29 +117,28 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     taken = (
         mix_sources(docs, **settings)
         .groupBy("doc_id", "source", "size")
-        .agg(F.min("whole").alias("mix_whole"), F.min("extra").alias("mix_extra"))
-        .where("mix_whole > 0 or mix_extra > 0")
-        .select(F.col("doc_id").alias("mix_id"), F.col("source").alias("mix_source"), F.col("size").alias("mix_size"), "mix_whole", "mix_extra")
+        .agg(F.min("whole").alias("whole"), F.min("extra").alias("extra"))
+        .where("whole > 0 or extra > 0")
+        .select(F.col("doc_id").alias("mix_id"), F.col("source").alias("mix_source"), "size", "whole", "extra")
     )
-    full = F.col("mix_extra") == F.col("mix_size")
-    times = F.col("mix_whole") + F.when(full, 1).otherwise(0)
-    part = F.when(~full & (F.col("mix_extra") > 0), F.col("mix_extra")).otherwise(0)
+    taken = materialize(taken, "mix-taken")
+    full = F.col("extra") == F.col("size")
+    times = F.col("whole") + F.when(full, 1).otherwise(0)
     # 0 stands for the whole text, another number for that many words of it.
+    none = F.array().cast("array<bigint>")
     copies = F.concat(
-        F.when(times > 0, F.array_repeat(F.lit(0).cast("long"), times.cast("int"))).otherwise(F.array().cast("array<bigint>")),
-        F.when(part > 0, F.array(part.cast("long"))).otherwise(F.array().cast("array<bigint>")),
-    )
-    joined = docs.withColumn("mix_words", word_count(F.col("text"))).join(
-        taken,
-        F.col("doc_id").eqNullSafe(F.col("mix_id")) & F.col("source").eqNullSafe(F.col("mix_source")) & (F.col("mix_words") == F.col("mix_size")),
-    )
-    words = F.regexp_extract_all("text", F.lit(f"({WORD_PATTERN})"))
-    out = joined.withColumn("mix_copy", F.explode(copies)).withColumn(
-        "text", F.when(F.col("mix_copy") == 0, F.col("text")).otherwise(F.array_join(F.slice(words, 1, F.greatest(F.col("mix_copy"), F.lit(1)).cast("int")), " "))
+        F.when(times > 0, F.array_repeat(F.lit(0).cast("long"), times.cast("int"))).otherwise(none),
+        F.when(~full & (F.col("extra") > 0), F.array("extra")).otherwise(none),
     )
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", F.col("source").alias("own_source"), word_count(F.col("text")).alias("words"))
+    same = F.col("doc_id").eqNullSafe(F.col("mix_id")) & F.col("own_source").eqNullSafe(F.col("mix_source")) & (F.col("words") == F.col("size"))
+    out = rows.join(small_side(taken, 64), same).select("row", F.explode(copies).alias("copy"))
+    words = F.regexp_extract_all("row.text", F.lit(f"({WORD_PATTERN})"))
+    part = F.array_join(F.slice(words, 1, F.greatest(F.col("copy"), F.lit(1)).cast("int")), " ")
+    row = F.col("row").withField("text", part)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("mix_copy") == 0, F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        row = row.withField("n_chars", F.length(part).cast(docs.schema["n_chars"].dataType))
+    return out.select(F.when(F.col("copy") == 0, F.col("row")).otherwise(row).alias("row")).select("row.*")
 
 
 def op3_mix_sources(spark, sf_dir: str) -> DataFrame:

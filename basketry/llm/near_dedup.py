@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import RollingHash, materialize, mix64, read_table, text_blocks, word_spans
+from basketry.llm.common import RollingHash, materialize, mix64, read_table, small_side, text_blocks, word_spans
 from basketry.llm.graph import connected_components
 
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
@@ -243,5 +243,11 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     )
 
 
+def keep_first(docs: DataFrame, **settings) -> DataFrame:
+    """The rows of ``docs`` that are the first of their class."""
+    gone = near_duplicates(docs, **settings).where("not kept").select(F.col("doc_id").alias("gone_id")).distinct()
+    return docs.join(small_side(materialize(gone, "near-gone"), 24), docs["doc_id"] == F.col("gone_id"), "left_anti")
+
+
 def op10_near_dedup(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
