@@ -15,6 +15,7 @@ BLOCK_BYTES = 4 << 20
 
 #: White space that separates words: space and U+0009..U+000D (fixed values of the contract).
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
+SPACES = " \t\n\x0b\x0c\r"
 IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 

@@ -109,7 +109,7 @@ def mix_sources(
 
 
 def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
-    """The documents themselves, repeated as the mix takes them, with the columns of ``docs``.
+    """The documents themselves, repeated as the mix takes them, with the columns of ``docs``; those without words aren't taken.
 
     A row appears ``whole`` times, once more for a full ``extra``, and once with its first
     ``extra`` words if the extra is a part (``n_chars`` follows if present).  Rows with equal ``doc_id``, source and size
@@ -118,7 +118,7 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
         mix_sources(docs, **settings)
         .groupBy("doc_id", "source", "size")
         .agg(F.min("whole").alias("whole"), F.min("extra").alias("extra"))
-        .where("whole > 0 or extra > 0")
+        .where("size > 0 and (whole > 0 or extra > 0)")
         .select(F.col("doc_id").alias("mix_id"), F.col("source").alias("mix_source"), "size", "whole", "extra")
     )
     taken = materialize(taken, "mix-taken")

@@ -1,0 +1,129 @@
+"""Near-duplicates, components and top-k search."""
+
+import duckdb
+import numpy as np
+import pyarrow as pa
+import pyarrow.dataset as ds
+from pyspark.sql import functions as F
+
+from basketry.llm import near_dedup, topk
+from basketry.llm.common import text_blocks
+from basketry.llm.graph import connected_components
+
+from . import brute
+from .conftest import SMALL, edge_rows
+
+
+def weighted_sets(texts):
+    """The operator's own weights on plain sets of shingles."""
+    shingler, sets, frequency = near_dedup.Shingler(), [], np.zeros(near_dedup.SLOTS, np.int64)
+    for _, _, data, bounds in text_blocks(pa.array(texts, pa.string()), 1 << 20):
+        owner, shingle, times = shingler(data, bounds)
+        frequency += np.bincount(near_dedup.slot(shingle), minlength=near_dedup.SLOTS)
+        cuts = np.searchsorted(owner, np.arange(len(bounds)))
+        sets += [(shingle[a:b], times[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    weights = near_dedup.slot_weights(frequency, sum(len(s) > 0 for s, _ in sets))
+    return [dict(zip(s.tolist(), (weights[near_dedup.slot(s)].astype(float) * t).tolist(), strict=True)) for s, t in sets]
+
+
+def want_classes(rows):
+    sets = weighted_sets([t for _, t in rows])
+    links = [(rows[a][0], rows[b][0]) for a, b in brute.similar_pairs(sets, 0.8)]
+    return brute.classes([i for i, _ in rows], links)
+
+
+def test_shingles_are_the_texts_own():
+    texts = ["a b c d e f a b c d e", "one two", "", "x " * 9, "a b c d e"]
+    sets = weighted_sets(texts)
+    for text, own in zip(texts, sets, strict=True):
+        w = text.split()
+        shingles = {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set())
+        assert len(own) == len(shingles)
+
+
+def test_whole_table(spark, small_docs):
+    rows = sorted((d["doc_id"], d["text"]) for d in small_docs)
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.op10_near_dedup(spark, SMALL).collect()}
+    assert got == want_classes(rows)
+
+
+def test_edges(edge_docs, no_docs):
+    got = near_dedup.near_duplicates(edge_docs).collect()
+    assert len(got) == len(edge_rows())
+    by = {r["doc_id"]: r for r in got}
+    assert by[7]["class_id"] == by[11]["class_id"] == 1 and not by[7]["kept"] and by[1]["kept"] and by[1]["n_copies"] == 3
+    assert all(by[i]["class_id"] == i and by[i]["kept"] for i in (2, 3, 4, 5, 6, 8, 9, 10, 13, 14))
+    assert by[None]["class_id"] is None and by[None]["kept"]
+    out = near_dedup.keep_first(edge_docs)
+    assert out.columns == edge_docs.columns and 7 not in [r["doc_id"] for r in out.collect()]
+    assert near_dedup.near_duplicates(no_docs).collect() == []
+
+
+def test_samples_agree_as_often_as_the_similarity():
+    draw = np.random.default_rng(5)
+    sampler = near_dedup.WeightedSampler()
+    agree, want = 0.0, 0.0
+    for _ in range(150):
+        base = np.unique(draw.integers(0, 1 << 44, 300).astype(np.uint64))
+        w = 1 + 0.25 * draw.random(len(base))
+        cut = draw.integers(20, 150)
+        a, b = (base[: len(base) - cut], w[: len(base) - cut]), (base[cut:], w[cut:])
+        shingle, weight = np.concatenate([a[0], b[0]]), np.concatenate([a[1], b[1]])
+        s = sampler(np.array([0, len(a[0])]), shingle, weight)
+        agree += (s[0] == s[1]).mean()
+        want += w[cut : len(base) - cut].sum() / w.sum()
+    assert abs(agree - want) / 150 < 0.03
+
+
+def test_components(spark):
+    links = [(i, i + 1) for i in range(1, 40)] + [(100, i) for i in range(101, 160)] + [(7, 7), (200, 201), (201, 200)]
+    df = spark.createDataFrame(links, "a long, b long")
+    got = {r["node"]: r["component"] for r in connected_components(df).collect()}
+    assert got == brute.classes({x for p in links for x in p}, links)
+    assert connected_components(df.limit(0)).collect() == []
+
+
+# -- top-k ------------------------------------------------------------------
+
+
+def top_brute(rows, k=10):
+    held = []
+    for n, (i, v) in enumerate(rows):
+        if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v):
+            held.append((i, n, [int(np.floor(1024 * float(x))) for x in v]))
+    out = []
+    for i, n, v in held:
+        if i % 100 == 0:
+            best = sorted((-sum(a * b for a, b in zip(v, w, strict=False)), j) for j, m, w in held if m != n)[:k]
+            out += [(i, r, j, -s) for r, (s, j) in enumerate(best, 1)]
+    return sorted(out)
+
+
+def test_top_k_sql(spark):
+    con = duckdb.connect()
+    con.register("embeddings", ds.dataset(f"{SMALL}/embeddings.parquet").to_table())
+    want = sorted(con.execute(topk.ORACLE_SQL).fetchall())
+    assert sorted(map(tuple, topk.op7_top_k(spark, SMALL).collect())) == want
+
+
+def test_top_k_edges(spark):
+    draw = np.random.default_rng(2)
+    rows = [(i, draw.normal(size=8).round(2).tolist()) for i in range(230)]
+    rows += [(300, None), (400, [1.0, None]), (500, [float("nan")]), (600, [float("inf")]), (None, [1.0]), (700, []), (800, [0.5] * 3)]
+    rows += [(100, rows[100][1]), (231, rows[5][1])]  # a repeated row, a tie
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("copy", F.lit("own")).withColumn("score", F.lit(1))
+    for settings in ({}, {"shard_rows": 50, "tile_queries": 2}):
+        got = sorted(map(tuple, topk.top_k(df, F.col("vec_id") % 100 == 0, **settings).collect()))
+        assert got == top_brute(rows)
+    few = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id long, embedding array<double>")
+    assert list(map(tuple, topk.top_k(few, F.col("vec_id") % 100 == 0).collect())) == [(0, 1, 1, 2048 * 1024)]
+    assert topk.top_k(few.limit(0), F.col("vec_id") % 100 == 0).collect() == []
+
+
+def test_top_k_large_components(spark):
+    rows = [(0, [1e9, 3.0]), (1, [1e9, 1.0]), (2, [-1e9, 1.0]), (3, [1e9, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    clip = lambda s: max(-(1 << 63), min((1 << 63) - 1, s))
+    got = {r["vec_id"]: r["score"] for r in topk.top_k(df, F.col("vec_id") == 0).collect()}
+    exact = lambda a, b: clip(sum(int(np.floor(1024 * x)) * int(np.floor(1024 * y)) for x, y in zip(a, b, strict=True)))
+    assert got == {i: exact(rows[0][1], v) for i, v in rows[1:]}
