@@ -142,7 +142,9 @@ class Cutter:
 
 def cut_by_shard(shard: np.ndarray) -> list[tuple[int, slice]]:
     """Runs of a sorted array of shards."""
-    heads = np.flatnonzero(np.append(True, shard[1:] != shard[:-1])) if len(shard) else np.zeros(0, np.int64)
+    if not len(shard):
+        return []
+    heads = np.flatnonzero(np.append(True, shard[1:] != shard[:-1]))
     return [(int(shard[a]), slice(int(a), int(b))) for a, b in zip(heads, np.append(heads[1:], len(shard)), strict=True)]
 
 

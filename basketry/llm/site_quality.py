@@ -107,7 +107,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, train_rows: in
 def url_levels(url: Column) -> tuple[Column, Column]:
     """Host and first path part of a URL."""
     path = F.try_parse_url(url, F.lit("PATH"))
-    return F.lower(F.try_parse_url(url, F.lit("HOST"))), F.try_element_at(F.split(F.ltrim(F.lit("/"), path), "/"), F.lit(1))
+    return F.lower(F.try_parse_url(url, F.lit("HOST"))), F.try_element_at(F.split(F.ltrim(path, F.lit("/")), "/"), F.lit(1))
 
 
 def document_evidence(docs: DataFrame, weights: np.ndarray, levels: list[str]) -> DataFrame:
