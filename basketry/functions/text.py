@@ -8,11 +8,6 @@ from pyspark.sql import functions as F
 
 def padded_id(prefix: str, number: Column | str, width: int = 4) -> Column:
     """``prefix`` + number zero-padded to ``width`` digits, never cut
-    (12345 -> ``U12345``; a bare ``lpad`` would truncate). Null stays null.
-
-    Numbers in ``[0, 10**width)`` take a cheap ``lpad`` path; the rest
-    (wider or negative) go through ``format_string``, with identical text."""
+    (12345 -> ``U12345``; a bare ``lpad`` would truncate). Null stays null."""
     num = F.col(number) if isinstance(number, str) else number
-    fast = F.concat(F.lit(prefix), F.lpad(num.cast("string"), width, "0"))
-    slow = F.format_string(f"{prefix}%0{width}d", num)
-    return F.when((num >= 0) & (num < 10**width), fast).when(num.isNotNull(), slow)
+    return F.when(num.isNotNull(), F.format_string(f"{prefix}%0{width}d", num))

@@ -3,11 +3,12 @@ the operator is streamable, on streaming frames unchanged."""
 
 from basketry.operators.audit import combine_audits, dataset_audit, validate_report
 from basketry.operators.catalog import (
-    bounded_broadcast,
     category_conversion,
+    category_conversion_of_events,
     enrich_with_catalog,
     fits_broadcast,
     normalize_catalog,
+    planned_bytes,
     product_category_map,
     salted_left_join,
 )

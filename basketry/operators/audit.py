@@ -56,15 +56,24 @@ def combine_audits(audits: Sequence[DataFrame]) -> DataFrame:
 def validate_report(report: DataFrame, expected: StructType, scale: int | None = 4) -> DataFrame:
     """Validation of a conversion report as ``(check, failures, passed)``.
 
-    Checks: schema equal to ``expected``, at least one row, no negative
-    count, no null or duplicate category, both rates equal to rates
-    recomputed from the counts (within 1e-9). One aggregation pass."""
-    schema_failures = 0 if [(f.name, f.dataType) for f in report.schema] == [(f.name, f.dataType) for f in expected] else 1
+    ``report`` is the report as it was written, every value text (see
+    :func:`basketry.sources.files.read_report_text`). Checks: the header's
+    names and their order, values that don't read as the expected type, at
+    least one row, no negative count, no null or duplicate category, both
+    rates equal to rates recomputed from the counts (within 1e-9). Columns
+    that the header lacks count as null. One aggregation pass."""
+    header_failures = 0 if report.columns == expected.fieldNames() else 1
+    held = set(report.columns)
+    text = [F.col(f.name) if f.name in held else F.lit(None).cast("string") for f in expected]
+    typed = [c.try_cast(f.dataType) for c, f in zip(text, expected)]
+    unreadable = reduce(lambda a, b: a + b, [(c.isNotNull() & t.isNull()).cast("int") for c, t in zip(text, typed)])
+    values = report.select(*[t.alias(f.name) for t, f in zip(typed, expected)], unreadable.alias("_unreadable"))
     negative = (F.col("views") < 0) | (F.col("purchases") < 0) | (F.col("cart_adds") < 0)
     bad_conv = F.abs(F.col("conversion_rate") - safe_rate("purchases", "views", scale)) > 1e-9
     bad_cart = F.abs(F.col("cart_to_purchase_rate") - safe_rate("purchases", "cart_adds", scale)) > 1e-9
-    stats = report.agg(
+    stats = values.agg(
         F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum("_unreadable"), F.lit(0)).alias("unreadable_values"),
         F.count_if(negative).alias("negative_counts"),
         F.count_if(F.col("category").isNull()).alias("null_category"),
         (F.count("category") - F.count_distinct("category")).alias("duplicate_category"),
@@ -72,8 +81,9 @@ def validate_report(report: DataFrame, expected: StructType, scale: int | None =
         F.count_if(F.coalesce(bad_cart, F.lit(True))).alias("cart_rate_mismatch"),
     )
     checks = stats.select(
-        F.lit(schema_failures).cast("long").alias("schema_matches"),
+        F.lit(header_failures).cast("long").alias("schema_matches"),
         F.when(F.col("rows") > 0, 0).otherwise(1).cast("long").alias("has_rows"),
+        "unreadable_values",
         "negative_counts",
         "null_category",
         "duplicate_category",

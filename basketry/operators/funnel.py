@@ -62,12 +62,15 @@ def funnel_counts(events: DataFrame, keys: Sequence[str] = ("category",), requir
 
 def funnel_join_form(events: DataFrame, keys: Sequence[str] = ("category",)) -> DataFrame:
     """Same as :func:`funnel_counts`, built as views LEFT JOIN purchases LEFT
-    JOIN cart adds on the keys with missing counts filled by 0."""
+    JOIN cart adds on the keys with missing counts filled by 0.
+
+    The three sides are slices of one table of counts in long form, whose
+    scan and shuffle they share; a group without a type is absent from its slice."""
     keys = list(keys)
-    views = type_counts(events, VIEW, "views", keys)
-    purchases = type_counts(events, PURCHASE, "purchases", keys)
-    carts = type_counts(events, ADD_TO_CART, "cart_adds", keys)
-    joined = views.join(purchases, keys, "left").join(carts, keys, "left")
+    counts = funnel_counts(events, keys, require_views=False)
+    long_form = counts.unpivot(keys, list(COUNT_COLUMNS), "kind", "events").filter(F.col("events") > 0)
+    sides = {name: long_form.filter(F.col("kind") == name).select(*keys, F.col("events").alias(name)) for name in COUNT_COLUMNS}
+    joined = sides["views"].join(sides["purchases"], keys, "left").join(sides["cart_adds"], keys, "left")
     return joined.fillna(0, subset=["purchases", "cart_adds"])
 
 

@@ -21,6 +21,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from basketry import schemas
 from basketry.operators.audit import combine_audits, dataset_audit, validate_report
@@ -29,7 +30,13 @@ from basketry.operators.funnel import average_rate, conversion_report, low_perfo
 from basketry.operators.ranking import top_products, top_products_lines
 from basketry.operators.segments import daily_events, segment_summary, user_segments
 from basketry.sinks.writers import write_csv, write_lines, write_segments
-from basketry.sources.files import read_catalog_csv, read_csv_report, read_parquet_dataset, read_raw_events
+from basketry.sources.files import (
+    read_catalog_csv,
+    read_csv_report,
+    read_parquet_dataset,
+    read_raw_events,
+    read_report_text,
+)
 from basketry.streaming.jobs import layout
 
 
@@ -63,31 +70,40 @@ def conversion_report_job(spark: SparkSession, base_dir: str, as_of: dt.date | s
 
 
 def validate_report_job(spark: SparkSession, base_dir: str, reports_to: str | None = None) -> DataFrame:
-    """Checks over the written conversion report (one row per check)."""
+    """Checks over the conversion report as it stands (one row per check). A
+    report that was never written is an error."""
     path = f"{reports_dir(base_dir, reports_to)}/conversion_rate_report"
-    return validate_report(read_csv_report(spark, path), schemas.CONVERSION_REPORT)
+    return validate_report(read_report_text(spark, path), schemas.CONVERSION_REPORT)
 
 
 def user_segmentation_job(spark: SparkSession, base_dir: str, as_of: dt.date | str | None = None,
                           reports_to: str | None = None, tolerant: bool = False) -> DataFrame:
     """Segments of the users active on ``as_of`` (default today, UTC),
     written per run date; returns the segment summary. ``tolerant`` skips
-    unreadable raw files instead of failing."""
+    unreadable raw files instead of failing. A day without events leaves what
+    was written for it alone and returns an empty summary."""
     day = _day(as_of)
     events = daily_events(read_raw_events(spark, layout(base_dir)["raw"], tolerant), day)
+    if events.isEmpty():
+        return segment_summary(spark.createDataFrame([], schemas.USER_SEGMENT))
     path = write_segments(user_segments(events), reports_dir(base_dir, reports_to), day)
     return segment_summary(read_csv_report(spark, path, schemas.USER_SEGMENT))
 
 
 def top_products_job(spark: SparkSession, base_dir: str, as_of: dt.date | str | None = None, k: int = 5,
                      reports_to: str | None = None, tolerant: bool = False) -> DataFrame:
-    """The ``k`` most viewed products of ``as_of`` as a text report.
-    ``tolerant`` skips unreadable raw files instead of failing."""
+    """The ``k`` most viewed products of ``as_of`` as a text report; returns
+    the report's lines (``line_no, line``) as they were written. ``tolerant``
+    skips unreadable raw files instead of failing. A day without events
+    leaves what was written for it alone and returns no lines."""
     day = _day(as_of)
     events = daily_events(read_raw_events(spark, layout(base_dir)["raw"], tolerant), day)
-    top = top_products(events, k)
-    write_lines(top_products_lines(top, day, k), f"{reports_dir(base_dir, reports_to)}/top_products/run_date={day}")
-    return top
+    if events.isEmpty():
+        return spark.createDataFrame([], "line_no int, line string")
+    path = f"{reports_dir(base_dir, reports_to)}/top_products/run_date={day}"
+    write_lines(top_products_lines(top_products(events, k), day, k), path)
+    # One small file, read by one task in order.
+    return spark.read.text(path).select((F.monotonically_increasing_id() + 1).cast("int").alias("line_no"), F.col("value").alias("line"))
 
 
 def category_conversion_job(spark: SparkSession, base_dir: str, reports_to: str | None = None) -> DataFrame:
@@ -100,15 +116,27 @@ def category_conversion_job(spark: SparkSession, base_dir: str, reports_to: str
     return read_csv_report(spark, out, schemas.CATEGORY_CONVERSION)
 
 
-def catalog_job(spark: SparkSession, catalog_csv: str, base_dir: str, with_line_numbers: bool = False) -> DataFrame:
-    """Normalised catalog (one row per product) stored as Parquet."""
-    catalog = normalize_catalog(read_catalog_csv(spark, catalog_csv, with_line_numbers),
-                                "line_no" if with_line_numbers else None)
-    out = f"{base_dir.rstrip('/')}/catalog"
-    catalog.write.mode("overwrite").parquet(out)
+def catalog_job(spark: SparkSession, catalog_csv: str, base_dir: str) -> DataFrame:
+    """Normalised catalog (one row per product) stored as Parquet, each time
+    as a new version below ``<base>/catalog``, so a stream that reads the
+    current one isn't disturbed; it takes up the new one when restarted."""
+    version = f"v{dt.datetime.now(dt.timezone.utc):%Y%m%d%H%M%S%f}"
+    out = f"{base_dir.rstrip('/')}/catalog/{version}"
+    normalize_catalog(read_catalog_csv(spark, catalog_csv)).write.parquet(out)
     return spark.read.schema(schemas.CATALOG).parquet(out)
 
 
+def latest_catalog(spark: SparkSession, path: str) -> DataFrame:
+    """The newest complete version below ``path`` (a catalog folder), or
+    ``path`` itself if it has none."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = sorted(s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory() and s.getPath().getName().startswith("v"))
+    done = [n for n in names if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))]
+    return spark.read.schema(schemas.CATALOG).parquet(f"{path.rstrip('/')}/{done[-1]}" if done else path)
+
+
 def output_audit_job(spark: SparkSession, base_dir: str) -> DataFrame:
     """Rows, files, bytes, time range and null keys of each stream output.
     A missing output folder is an error (the stream has not produced it)."""

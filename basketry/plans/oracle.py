@@ -2,7 +2,6 @@
 
 Written independently of the Spark code from the shop-event mapping of the
 generated tables; views ``events`` and ``part`` are expected to exist.
-``output_audit`` has none (file counts and sizes are not table data).
 """
 
 from __future__ import annotations
@@ -14,14 +13,16 @@ UNION_CUTOFF = "2024-01-16"
 
 SHOP = """
 cat AS (
-    SELECT p_partkey, upper(trim(p_type)) AS p_category FROM part WHERE p_partkey < 90
+    SELECT p_partkey, upper(trim(p_type)) AS p_category FROM part
 ),
 ev AS (
-    SELECT *, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events
+    SELECT *, CASE WHEN event_type NOT IN ('signup', 'error')
+                   THEN TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k
+    FROM events
 ),
 shop AS (
     SELECT printf('U%04d', ev.user_id) AS user_id,
-           printf('P%04d', ev.k) AS product_id,
+           CASE WHEN ev.k IS NOT NULL THEN printf('P%04d', ev.k) END AS product_id,
            coalesce(cat.p_category, 'UNKNOWN') AS category,
            CASE WHEN ev.event_type = 'click' THEN 'add_to_cart' ELSE ev.event_type END AS event_type,
            ev.ts AS "timestamp"
@@ -121,8 +122,8 @@ alerts AS (
 )"""
 
 # Append-mode streams emit a window once the watermark (latest event time
-# minus 5 minutes) has reached its end.
-CLOSED = "window_end <= (SELECT max(ts) FROM events) - INTERVAL '5 minutes'"
+# minus the delay, one slice of the messages) has reached its end.
+CLOSED = "window_end <= (SELECT max(ts) FROM events) - INTERVAL '5 days'"
 
 ISO = "strftime(\"timestamp\", '%Y-%m-%dT%H:%M:%S.%f+00:00')"
 
@@ -187,6 +188,7 @@ ORACLE_SQL: dict[str, str] = {
     "report_validation": _q(
         "SELECT 'schema_matches' AS \"check\", CAST(0 AS BIGINT) AS failures, true AS passed "
         "UNION ALL SELECT 'has_rows', CASE WHEN n > 0 THEN 0 ELSE 1 END, n > 0 FROM s "
+        "UNION ALL SELECT 'unreadable_values', CAST(0 AS BIGINT), true "
         "UNION ALL SELECT 'negative_counts', neg, neg = 0 FROM s "
         "UNION ALL SELECT 'null_category', nul, nul = 0 FROM s "
         "UNION ALL SELECT 'duplicate_category', dup, dup = 0 FROM s "
@@ -265,12 +267,38 @@ ORACLE_SQL: dict[str, str] = {
     "stream_product_alerts": _q(f"SELECT * FROM alerts WHERE {CLOSED}", ALERTS),
     "stream_product_metrics": _q(f"SELECT * FROM product_metrics WHERE {CLOSED}", PRODUCT_METRICS),
     "stream_catalog_enrich": _q(RAW),
+    "stream_disordered_raw": _q(
+        RAW + " UNION ALL " + RAW + " WHERE user_id LIKE '%7' AND \"timestamp\" < TIMESTAMP '2024-01-16'"
+        " UNION ALL SELECT user_id, product_id, event_type, NULL, NULL, category FROM shop WHERE user_id LIKE '%03'"
+        " UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL FROM shop WHERE user_id LIKE '%11'"),
+    "stream_disordered_metrics": _q(f"SELECT * FROM category_metrics WHERE {CLOSED}", CATEGORY_METRICS),
+    "output_audit": _q(
+        "SELECT 'raw' AS dataset, count(*) AS rows, count(*) > 0 AS has_files, min(\"timestamp\") AS first_time, "
+        "max(\"timestamp\") AS last_time, CAST(count_if(product_id IS NULL) AS BIGINT) AS null_key_rows FROM shop "
+        "UNION ALL SELECT 'category_metrics', count(*), count(*) > 0, min(window_start), max(window_start), 0 "
+        f"FROM category_metrics WHERE {CLOSED} "
+        "UNION ALL SELECT 'product_metrics', count(*), count(*) > 0, min(window_start), max(window_start), "
+        f"CAST(count_if(product_id IS NULL) AS BIGINT) FROM product_metrics WHERE {CLOSED} "
+        # An alert stream without alerts still writes header-only files.
+        "UNION ALL SELECT 'alerts', count(*), count(*) > 0, min(window_start), max(window_start), "
+        f"CAST(count_if(product_id IS NULL) AS BIGINT) FROM alerts WHERE {CLOSED}",
+        CATEGORY_METRICS, PRODUCT_METRICS, ALERTS),
     # Batch jobs over the stream outputs: raw keeps every event; the product
     # metrics hold closed windows only.
     "job_conversion_report": _q("SELECT * FROM report", FUNNEL, REPORT),
     "job_segment_summary": _q("SELECT segment, count(*) AS users FROM segments GROUP BY segment",
                               DAILY, USER_COUNTS),
-    "job_top_products": _q("SELECT * FROM top", DAILY, TOP),
+    "job_top_products": _q(
+        "SELECT CAST(line_no AS INTEGER) AS line_no, line FROM ("
+        "SELECT 1 AS line_no, repeat('=', 60) AS line "
+        f"UNION ALL SELECT 2, 'TOP 5 MOST VIEWED PRODUCTS - {AS_OF}' "
+        "UNION ALL SELECT 3, repeat('=', 60) "
+        "UNION ALL SELECT 4, '' "
+        "UNION ALL SELECT 4 * rank + 1, rank || '. Product ID: ' || product_id FROM top "
+        "UNION ALL SELECT 4 * rank + 2, '   Category: ' || category FROM top "
+        "UNION ALL SELECT 4 * rank + 3, '   Views: ' || views FROM top "
+        "UNION ALL SELECT 4 * rank + 4, '' FROM top)",
+        DAILY, TOP),
     "job_category_conversion": _q(
         "SELECT m.category, CAST(sum(pm.views) AS BIGINT) AS views, CAST(sum(pm.purchases) AS BIGINT) AS purchases, "
         "CASE WHEN sum(pm.views) > 0 THEN CAST(sum(pm.purchases) AS DOUBLE) / sum(pm.views) ELSE 0.0 END "

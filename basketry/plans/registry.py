@@ -28,7 +28,7 @@ from basketry import schemas
 from basketry.functions.codec import format_iso, parse_timestamp
 from basketry.operators import (
     average_rate,
-    category_conversion,
+    category_conversion_of_events,
     category_window_metrics,
     conversion_report,
     daily_events,
@@ -61,12 +61,19 @@ from basketry.operators import (
 from basketry.operators.vocab import ADD_TO_CART, PURCHASE, VIEW
 from basketry.session import fresh_dir
 from basketry.sinks.writers import write_csv
-from basketry.sources.files import read_catalog_csv, read_csv_report, read_parquet_dataset, read_raw_events
+from basketry.sources.files import (
+    read_catalog_csv,
+    read_csv_report,
+    read_parquet_dataset,
+    read_raw_events,
+    read_report_text,
+)
 from basketry.sources.streams import decode_events, encode_events, text_source
 from basketry.plans import jobs
 from basketry.sources.testdata import (
+    SLICE_SPAN,
     derived_table,
-    mark_committed,
+    disordered_folder,
     message_folder,
     part_catalog_rows,
     raw_events,
@@ -92,7 +99,11 @@ UNION_CUTOFF = "2024-01-16"
 ALERT_WINDOW = "1 day"
 ALERT_THRESHOLD = 5
 METRICS_WINDOW = "5 minutes"
-WATERMARK_DELAY = "5 minutes"
+# Messages are in no order inside a slice of event time, and a micro-batch may
+# end anywhere in a slice.
+WATERMARK_DELAY = SLICE_SPAN
+# Small, so that the test tables give several micro-batches.
+FILES_PER_TRIGGER = 1
 TOP_K = 5
 LOW_PERFORMER_MIN_VIEWS = 1
 
@@ -142,10 +153,11 @@ def q_events_by_date(spark, sf_dir):
 def q_event_union(spark, sf_dir):
     # Older events as written before the category column existed, newer ones
     # with it: a union by name leaves category null for the older set.
-    ev = _events(spark, sf_dir).drop("event_date")
-    cutoff = F.lit(UNION_CUTOFF).cast("timestamp")
-    older = ev.filter(F.col("timestamp") < cutoff).drop("category")
-    newer = ev.filter(F.col("timestamp") >= cutoff)
+    # The date predicates prune folders, so each date is opened once.
+    ev = _events(spark, sf_dir)
+    cutoff, day = F.lit(UNION_CUTOFF).cast("timestamp"), F.lit(UNION_CUTOFF).cast("date")
+    older = ev.filter((F.col("event_date") < day) & (F.col("timestamp") < cutoff)).drop("category", "event_date")
+    newer = ev.filter((F.col("event_date") >= day) & (F.col("timestamp") >= cutoff)).drop("event_date")
     return _portable(union_event_sets([older, newer]))
 
 
@@ -196,7 +208,7 @@ def q_report_csv_roundtrip(spark, sf_dir):
 def q_report_validation(spark, sf_dir):
     path = fresh_dir(spark, "conversion_report")
     write_csv(conversion_report(_events(spark, sf_dir)), path, single_file=True)
-    return validate_report(read_csv_report(spark, path), schemas.CONVERSION_REPORT)
+    return validate_report(read_report_text(spark, path), schemas.CONVERSION_REPORT)
 
 
 # --- daily segmentation and ranking ---------------------------------------
@@ -269,12 +281,11 @@ def q_product_category_map(spark, sf_dir):
 
 
 def q_category_conversion_report(spark, sf_dir):
-    ev = _events(spark, sf_dir)
-    return category_conversion(product_window_metrics(ev, METRICS_WINDOW), ev)
+    return category_conversion_of_events(_events(spark, sf_dir))
 
 
-def _write_catalog_csv(spark: SparkSession, lines: DataFrame) -> str:
-    path = fresh_dir(spark, "catalog")
+def _write_catalog_csv(spark: SparkSession, lines: DataFrame, path: str | None = None) -> str:
+    path = path or fresh_dir(spark, "catalog")
     (lines.write.mode("overwrite").option("header", "true")
      .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
      .csv(path))
@@ -282,21 +293,29 @@ def _write_catalog_csv(spark: SparkSession, lines: DataFrame) -> str:
 
 
 def q_catalog_normalize(spark, sf_dir):
-    # The whole part table as a hand-kept catalog file: ids lower-case and
-    # padded with blanks, categories padded; normalising restores them.
+    # The whole part table as a hand-kept catalog: ids lower-case and padded
+    # with blanks, categories padded, columns in another order, and every
+    # seventh product listed earlier with its brand instead of its type.
+    # Normalising restores ids and keeps each product's last line.
     part = read_part_table(spark, sf_dir)
-    lines = part.select(
-        F.concat(F.lit(" "), F.format_string("p%04d", "p_partkey"), F.lit(" ")).alias("product_id"),
-        F.concat(F.lit(" "), F.col("p_type"), F.lit(" ")).alias("category"),
-        F.col("p_partkey").alias("line_no"),
-    )
-    path = _write_catalog_csv(spark, lines)
-    return normalize_catalog(read_catalog_csv(spark, path, with_line_numbers=True), order_col="line_no")
+
+    def lines(rows, category):
+        return rows.select(
+            F.concat(F.lit(" "), F.col(category), F.lit(" ")).alias("category"),
+            F.col("p_brand").alias("note"),
+            F.concat(F.lit(" "), F.format_string("p%04d", "p_partkey"), F.lit(" ")).alias("product_id"),
+        )
+
+    # Lines stand in the order of file names: the earlier listing first.
+    path = fresh_dir(spark, "catalog")
+    _write_catalog_csv(spark, lines(part.filter(F.col("p_partkey") % 7 == 0), "p_brand"), f"{path}/part=1")
+    _write_catalog_csv(spark, lines(part, "p_type"), f"{path}/part=2")
+    return normalize_catalog(read_catalog_csv(spark, path))
 
 
 def q_catalog_enrich(spark, sf_dir):
-    path = _write_catalog_csv(spark, part_catalog_rows(spark, sf_dir))
-    catalog = normalize_catalog(read_catalog_csv(spark, path, with_line_numbers=True), order_col="line_no")
+    path = _write_catalog_csv(spark, part_catalog_rows(spark, sf_dir).drop("line_order"))
+    catalog = normalize_catalog(read_catalog_csv(spark, path))
     return _portable(enrich_with_catalog(uncategorized_events(spark, sf_dir), catalog))
 
 
@@ -328,7 +347,11 @@ def _run_stream(starter, events: DataFrame, base: str, settings: StreamSettings)
 
 
 def _stream_events(spark: SparkSession, sf_dir: str, categorized: bool = True) -> DataFrame:
-    return decode_events(text_source(spark, message_folder(spark, sf_dir, categorized)))
+    return decode_events(text_source(spark, message_folder(spark, sf_dir, categorized), FILES_PER_TRIGGER))
+
+
+def _disordered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decode_events(text_source(spark, disordered_folder(spark, sf_dir), FILES_PER_TRIGGER))
 
 
 _AVAILABLE_NOW = StreamSettings(
@@ -347,7 +370,7 @@ def _raw_columns(raw: DataFrame) -> DataFrame:
 def q_stream_raw_ingest(spark, sf_dir):
     base = fresh_dir(spark, "stream")
     _run_stream(start_raw_ingest, _stream_events(spark, sf_dir), base, _AVAILABLE_NOW)
-    return _raw_columns(read_raw_events(spark, layout(base)["raw"]))
+    return _raw_columns(read_raw_events(spark, layout(base)["raw"], missing_ok=False))
 
 
 def q_stream_category_metrics(spark, sf_dir):
@@ -375,14 +398,28 @@ def q_stream_product_metrics(spark, sf_dir):
     return _portable(read_parquet_dataset(spark, layout(base)["product_metrics"], schemas.PRODUCT_WINDOW_METRICS))
 
 
+def q_stream_disordered_raw(spark, sf_dir):
+    # Late copies, unreadable times and broken messages all reach raw.
+    base = fresh_dir(spark, "stream")
+    _run_stream(start_raw_ingest, _disordered_events(spark, sf_dir), base, _AVAILABLE_NOW)
+    return _raw_columns(read_raw_events(spark, layout(base)["raw"], missing_ok=False))
+
+
+def q_stream_disordered_metrics(spark, sf_dir):
+    # The windows are as if nothing had been late, broken or without a time.
+    base = fresh_dir(spark, "stream")
+    _run_stream(start_category_metrics, _disordered_events(spark, sf_dir), base, _AVAILABLE_NOW)
+    return _portable(read_parquet_dataset(spark, layout(base)["category_metrics"], schemas.CATEGORY_WINDOW_METRICS))
+
+
 def q_stream_catalog_enrich(spark, sf_dir):
     # Messages without a category; the stream looks it up in the catalog
     # (stream-static join) before writing raw.
     base = fresh_dir(spark, "stream")
-    catalog = normalize_catalog(part_catalog_rows(spark, sf_dir), order_col="line_no")
+    catalog = normalize_catalog(part_catalog_rows(spark, sf_dir))
     events = enrich_with_catalog(_stream_events(spark, sf_dir, categorized=False), catalog)
     _run_stream(start_raw_ingest, events, base, _AVAILABLE_NOW)
-    return _raw_columns(read_raw_events(spark, layout(base)["raw"]))
+    return _raw_columns(read_raw_events(spark, layout(base)["raw"], missing_ok=False))
 
 
 def _stream_outputs(spark: SparkSession, sf_dir: str) -> str:
@@ -390,8 +427,7 @@ def _stream_outputs(spark: SparkSession, sf_dir: str) -> str:
     produced once per input signature (like the other derived tables)."""
 
     def write(base: str) -> None:
-        run_available_now(text_source(spark, message_folder(spark, sf_dir)), base, _AVAILABLE_NOW)
-        mark_committed(spark, base)
+        run_available_now(text_source(spark, message_folder(spark, sf_dir), FILES_PER_TRIGGER), base, _AVAILABLE_NOW)
 
     return derived_table(spark, sf_dir, "stream-outputs", write)
 
@@ -420,8 +456,11 @@ def q_job_category_conversion(spark, sf_dir):
 
 
 def q_output_audit(spark, sf_dir):
-    # Audit the stream outputs the job queries read.
-    return _portable(jobs.output_audit_job(spark, _stream_outputs(spark, sf_dir)))
+    # Audit the stream outputs the job queries read. How many files and bytes
+    # they take depends on the writers; that there are some does not.
+    audit = jobs.output_audit_job(spark, _stream_outputs(spark, sf_dir))
+    has_files = ((F.col("files") > 0) & (F.col("bytes") > 0)).alias("has_files")
+    return _portable(audit.select("dataset", "rows", has_files, "first_time", "last_time", "null_key_rows"))
 
 
 def _in_utc(fn: Query) -> Query:
@@ -478,6 +517,8 @@ _QUERIES: dict[str, Query] = {
     "stream_product_alerts": q_stream_product_alerts,
     "stream_product_metrics": q_stream_product_metrics,
     "stream_catalog_enrich": q_stream_catalog_enrich,
+    "stream_disordered_raw": q_stream_disordered_raw,
+    "stream_disordered_metrics": q_stream_disordered_metrics,
     "output_audit": q_output_audit,
     "job_conversion_report": q_job_conversion_report,
     "job_segment_summary": q_job_segment_summary,

@@ -5,7 +5,6 @@ missing or empty input still yields a typed (possibly empty) frame.
 """
 
 from pyspark.sql.types import (
-    BooleanType,
     DateType,
     DoubleType,
     LongType,
@@ -104,9 +103,3 @@ USER_SEGMENT = _struct(
     ("user_id", StringType()),
     ("segment", StringType()),
 )
-
-CHECK_RESULT = _struct(
-    ("check", StringType()),
-    ("failures", LongType()),
-    ("passed", BooleanType()),
-)

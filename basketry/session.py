@@ -19,17 +19,22 @@ BASE_CONF = {
 }
 
 
-def scale_conf(input_bytes: int, total_cores: int, split_bytes: int = 256 << 20) -> dict[str, str]:
+def scale_conf(
+    input_bytes: int, total_cores: int, split_bytes: int = 256 << 20, shuffle_bytes: int | None = None
+) -> dict[str, str]:
     """Partition sizing for a scan of ``input_bytes`` on ``total_cores``.
 
     Scan splits of ``split_bytes`` (256 MB: a few hundred MB per task keeps
     decoded batches well inside an executor core's memory share and the
-    task count manageable: ~400k splits for 100 TB). Shuffle partitions start
-    at one per split of input, at least twice the cores; AQE then coalesces
-    small post-aggregation partitions towards 128 MB and splits skewed ones,
-    so aggregations whose partials are tiny do not pay for the count."""
-    splits = max(1, -(-input_bytes // split_bytes))
-    shuffle = max(2 * total_cores, splits)
+    task count manageable: ~400k splits for 100 TB). Shuffle partitions follow
+    what is shuffled, not what is scanned: ``shuffle_bytes`` (by default a
+    hundredth of the input, as every aggregate here sends partial counts) in
+    pieces of 256 MB, but three per core so that all cores work. AQE
+    then coalesces small partitions towards 128 MB and splits skewed ones. A
+    stream's state has its own setting (``state_partitions`` of
+    :func:`build_session`), as its number of stores is fixed for life."""
+    shuffled = input_bytes // 100 if shuffle_bytes is None else shuffle_bytes
+    shuffle = max(3 * total_cores, -(-shuffled // (256 << 20)), 1)
     return {
         "spark.sql.files.maxPartitionBytes": str(split_bytes),
         "spark.sql.shuffle.partitions": str(shuffle),
@@ -47,6 +52,7 @@ def build_session(
     shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
     rocksdb_state_store: bool = False,
+    state_partitions: int | None = None,
 ) -> SparkSession:
     """Create (or fetch) a session with the settings the operators assume.
 
@@ -56,7 +62,9 @@ def build_session(
     ``rocksdb_state_store`` keeps streaming state in RocksDB (off-heap,
     incremental checkpoints) instead of executor heap maps: use it when the
     number of (window, key) groups per batch is large. It applies to new
-    checkpoints only.
+    checkpoints only. ``state_partitions`` is the number of state stores (and
+    shuffle partitions) of a stream session: about one to three a core, fixed
+    with the first checkpoint; it goes before ``shuffle_partitions``.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -67,6 +75,8 @@ def build_session(
     if rocksdb_state_store:
         conf[STATE_STORE_PROVIDER_KEY] = ROCKSDB_PROVIDER
     conf.update(extra_conf or {})
+    if state_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(state_partitions)
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -79,13 +89,16 @@ def build_session(
 def shared_dir(spark: SparkSession) -> str:
     """Root folder for job outputs, stream checkpoints and lineage cuts.
 
-    Uses the cluster's ``spark.checkpoint.dir`` (shared storage). Only when
-    the session has none, as in local tests, a fresh local folder is created
-    and registered as the checkpoint directory.
+    Uses the cluster's ``spark.checkpoint.dir`` (shared storage). Only in
+    local mode, where one process runs every task, a fresh local folder
+    stands in for it; on a cluster without the setting this is an error, as
+    each executor would write to a disk of its own.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not root:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="basketry-"))
         root = sc.getCheckpointDir()
     return root.rstrip("/")

@@ -31,13 +31,14 @@ def write_segments(segments: DataFrame, base_dir: str, as_of: dt.date | str) ->
     return path
 
 
-def write_raw_events(events: DataFrame, path: str, mode: str = "append") -> None:
+def write_raw_events(events: DataFrame, path: str, mode: str = "replace_partitions") -> None:
     """Typed events as Parquet partitioned by event date and category, so a
     daily job reads one date folder.
 
-    ``mode="replace_partitions"`` rewrites only the (date, category) folders
-    present in ``events`` and keeps the others: re-running a day's ingest
-    after a failure or for a backfill neither duplicates nor loses rows."""
+    The default rewrites only the (date, category) folders present in
+    ``events`` and keeps the others: re-running a day's ingest after a
+    failure or for a backfill neither duplicates nor loses rows. Other modes
+    (``append``, ``overwrite``) are Spark's own."""
     out = events if "event_date" in events.columns else events.withColumn("event_date", F.to_date("timestamp"))
     writer = out.write.partitionBy("event_date", "category")
     if mode == "replace_partitions":

@@ -4,10 +4,11 @@
 ``part(p_partkey, p_type, ...)`` map to shop events as follows:
 
 * ``user_id``    = ``U`` + user number zero-padded to 4 digits
-* ``product_id`` = ``P`` + ``props.k`` zero-padded to 4 digits
-* ``category``   = catalog lookup of the product in ``part`` restricted to
-  ``p_partkey < 90`` (so some products miss the catalog), ``UNKNOWN`` when
-  absent; the catalog category is ``upper(trim(p_type))``
+* ``product_id`` = ``P`` + ``props.k`` zero-padded to 4 digits; null for
+  ``signup`` and ``error`` events, which concern no product
+* ``category``   = catalog lookup of the product in the whole ``part`` table,
+  ``UNKNOWN`` when absent (so for events without a product); the catalog
+  category is ``upper(trim(p_type))``
 * ``event_type`` = ``click`` becomes ``add_to_cart``, others unchanged
 * ``timestamp``  = ``ts`` read as a zone-aware timestamp (session zone UTC),
   which is what event-time watermarks require
@@ -31,8 +32,20 @@ from basketry.sources.files import read_raw_events
 from basketry.sources.streams import encode_events
 
 # Fixed values of the mapping.
-CATALOG_KEY_LIMIT = 90
 CLICK = "click"
+NO_PRODUCT_TYPES = ("signup", "error")
+
+# Messages are appended in slices of event time, oldest first, as a topic
+# would receive them; inside a slice they are in no order, so a stream over
+# them needs a watermark delay of one slice.
+SLICE_STARTS = ("2024-01-06", "2024-01-11", "2024-01-16", "2024-01-21", "2024-01-26")
+SLICE_SPAN = "5 days"
+# Disturbances of the disordered messages, by the user's id: copies of old
+# events that arrive after all slices, events with an unreadable time, and
+# messages that are no JSON.
+LATE_USERS, LATE_BEFORE = "%7", "2024-01-16"
+TIMELESS_USERS = "%03"
+BROKEN_USERS = "%11"
 
 EVENTS_SCHEMA = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
 PART_SCHEMA = "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
@@ -60,25 +73,24 @@ def uncategorized_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     event_type = F.when(F.col("event_type") == CLICK, F.lit(ADD_TO_CART)).otherwise(F.col("event_type"))
     return e.select(
         padded_id("U", "user_id").alias("user_id"),
-        padded_id("P", k).alias("product_id"),
+        F.when(~F.col("event_type").isin(*NO_PRODUCT_TYPES), padded_id("P", k)).alias("product_id"),
         event_type.alias("event_type"),
         F.col("ts").alias("timestamp"),
     )
 
 
 def part_catalog_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Catalog lines ``(product_id, category, line_no)`` from ``part``."""
-    part = read_part_table(spark, sf_dir)
-    return part.filter(F.col("p_partkey") < CATALOG_KEY_LIMIT).select(
+    """Catalog lines ``(product_id, category, line_order)`` from ``part``."""
+    return read_part_table(spark, sf_dir).select(
         padded_id("P", "p_partkey").alias("product_id"),
         F.upper(F.col("p_type")).alias("category"),
-        F.col("p_partkey").alias("line_no"),
+        F.col("p_partkey").alias("line_order"),
     )
 
 
 def part_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Normalised catalog, one row per product."""
-    return normalize_catalog(part_catalog_rows(spark, sf_dir), order_col="line_no")
+    return normalize_catalog(part_catalog_rows(spark, sf_dir))
 
 
 def shop_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,9 +100,7 @@ def shop_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enriched.select("user_id", "product_id", "category", "event_type", "timestamp")
 
 
-# Tables already written by this process: (kind, signature) -> path. The
-# lock keeps concurrent callers in one process from writing a table twice.
-_WRITTEN: dict[tuple[str, str], str] = {}
+# Keeps concurrent callers in one process from writing a table twice.
 _WRITE_LOCK = threading.RLock()
 
 
@@ -139,20 +149,45 @@ def mark_committed(spark: SparkSession, path: str) -> None:
     fs.create(marker, True).close()
 
 
+def _published(spark: SparkSession, pointer: str) -> str | None:
+    """The folder a pointer file names, if that folder is (still) complete."""
+    p, fs = _hadoop_fs(spark, pointer)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        path = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip()
+    finally:
+        stream.close()
+    return path if path and _committed(spark, path) else None
+
+
+def _publish(spark: SparkSession, pointer: str, path: str) -> None:
+    p, fs = _hadoop_fs(spark, pointer)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(path.encode()))
+    finally:
+        out.close()
+
+
 def derived_table(spark: SparkSession, sf_dir: str, kind: str, write, refresh: bool = False) -> str:
-    """Path of a table derived from the test tables, written once into the
-    shared folder by ``write(path)`` and found again by its signature (also
-    by later runs on the same shared folder). ``refresh`` writes a new copy
-    in a new folder, so a reader of the current one is never disturbed."""
-    key = (kind, _signature(spark, sf_dir))
+    """Path of a table derived from the test tables, written into the shared
+    folder by ``write(path)`` and found again by its signature.
+
+    Each write goes to a new folder; a small pointer file, written last,
+    names it, so readers only ever see complete folders and two processes
+    that derive the same table don't disturb each other (the later pointer
+    stays). A folder that has gone, or was never completed, is derived
+    anew. ``refresh`` writes a new copy in any case."""
+    pointer = f"{shared_dir(spark)}/{kind}-{_signature(spark, sf_dir)}.path"
     with _WRITE_LOCK:
-        path = _WRITTEN.get(key) or f"{shared_dir(spark)}/{kind}-{key[1]}"
-        if refresh:
-            path = fresh_dir(spark, f"{kind}-{key[1]}")
+        path = None if refresh else _published(spark, pointer)
+        if path is None:
+            path = fresh_dir(spark, kind)
             write(path)
-        elif key not in _WRITTEN and not _committed(spark, path):
-            write(path)
-        _WRITTEN[key] = path
+            mark_committed(spark, path)
+            _publish(spark, pointer, path)
     return path
 
 
@@ -176,22 +211,59 @@ def raw_dataset(spark: SparkSession, sf_dir: str, refresh: bool = False) -> str:
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ingested raw dataset with shop-event columns first and the
     ``event_date`` partition column kept for pruning."""
-    raw = read_raw_events(spark, raw_dataset(spark, sf_dir))
+    raw = read_raw_events(spark, raw_dataset(spark, sf_dir), missing_ok=False)
     return raw.select("user_id", "product_id", "category", "event_type", "timestamp", "event_date")
 
 
+def _slices(events: DataFrame):
+    """Events by slice of event time, oldest first."""
+    day = F.col("event_date") if "event_date" in events.columns else F.to_date("timestamp")
+    for start, end in zip((None, *SLICE_STARTS), (*SLICE_STARTS, None)):
+        inside = F.lit(True)
+        if start:
+            inside = inside & (day >= F.lit(start).cast("date"))
+        if end:
+            inside = inside & (day < F.lit(end).cast("date"))
+        yield events.filter(inside)
+
+
 def message_folder(spark: SparkSession, sf_dir: str, categorized: bool = True, refresh: bool = False) -> str:
     """Folder of JSON-lines messages, one per event: the retained topic the
-    streaming queries consume (a file-source stand-in for Kafka). Without
-    ``categorized`` the messages carry a null category, for streams that
-    look it up in the catalog."""
+    streaming queries consume (a file-source stand-in for Kafka), appended
+    slice by slice. Without ``categorized`` the messages carry a null
+    category, for streams that look it up in the catalog."""
 
     def write(path: str) -> None:
         if categorized:
             events = raw_events(spark, sf_dir)
         else:
             events = uncategorized_events(spark, sf_dir).withColumn("category", F.lit(None).cast("string"))
-        encode_events(events).write.mode("overwrite").text(path)
+        for part in _slices(events):
+            encode_events(part).write.mode("append").text(path)
 
     kind = "messages" if categorized else "messages-uncategorized"
     return derived_table(spark, sf_dir, kind, write, refresh)
+
+
+def late_copies(events: DataFrame) -> DataFrame:
+    """The old events that the disordered messages bring again, too late."""
+    return events.filter(F.col("user_id").like(LATE_USERS) & (F.col("timestamp") < F.lit(LATE_BEFORE).cast("timestamp")))
+
+
+def disordered_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The messages of :func:`message_folder` with disturbances derived from
+    the events: next to the first slice messages with an unreadable time
+    and messages that are no JSON, and after the last slice copies of
+    events whose windows are long closed."""
+
+    def write(path: str) -> None:
+        events = raw_events(spark, sf_dir)
+        timeless = F.regexp_replace("value", '"timestamp":"[^"]*"', '"timestamp":"soon"').alias("value")
+        encode_events(events.filter(F.col("user_id").like(TIMELESS_USERS))).select(timeless).write.mode("append").text(path)
+        broken = events.filter(F.col("user_id").like(BROKEN_USERS))
+        broken.select(F.concat(F.lit("{broken "), "user_id").alias("value")).write.mode("append").text(path)
+        for part in _slices(events):
+            encode_events(part).write.mode("append").text(path)
+        encode_events(late_copies(events)).write.mode("append").text(path)
+
+    return derived_table(spark, sf_dir, "messages-disordered", write)

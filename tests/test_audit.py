@@ -28,7 +28,8 @@ def test_validate_report_flags_problems(spark):
         SCHEMA,
     )
     good = conversion_report(events)
+    good = good.select(*[F.col(c).cast("string").alias(c) for c in good.columns])  # as it reads from the file
     assert all(r.passed for r in validate_report(good, schemas.CONVERSION_REPORT).collect())
-    bad = good.unionByName(good).withColumn("conversion_rate", F.lit(0.9))
+    bad = good.unionByName(good).withColumn("conversion_rate", F.lit("0.9"))
     failed = {r.check: r.failures for r in validate_report(bad, schemas.CONVERSION_REPORT).collect() if not r.passed}
     assert failed == {"duplicate_category": 1, "conversion_rate_mismatch": 2}

@@ -8,9 +8,10 @@ SCALES = {"0.001": "/root/testdata/sf0.001", "0.01": "/root/testdata/sf0.01", "0
 
 EXPECTED = {
     "shop_events": {"0.001": 1000, "0.01": 10000, "0.1": 100000},
-    "window_category_metrics": {"0.001": 992, "0.01": 9216, "0.1": 47595},
-    "window_product_alerts": {"0.001": 0, "0.01": 359, "0.1": 3000},
-    "funnel_counts": {"0.001": 7, "0.01": 7, "0.1": 7},
+    "window_category_metrics": {"0.001": 987, "0.01": 8879, "0.1": 43314},
+    "window_product_alerts": {"0.001": 30, "0.01": 87, "0.1": 3030},
+    "funnel_counts": {"0.001": 6, "0.01": 6, "0.1": 6},
+    "category_conversion_report": {"0.001": 7, "0.01": 7, "0.1": 7},
     "low_performers": {"0.001": 3, "0.01": 3, "0.1": 3},
     "user_segments": {"0.001": 14, "0.01": 133, "0.1": 1344},
 }
@@ -34,5 +35,5 @@ def test_segment_breakdown(spark, scale):
 
 
 def test_streaming_counts_at_sf001(spark):
-    assert QUERIES["stream_category_metrics"](spark, SCALES["0.01"]).count() == 9215
-    assert QUERIES["stream_product_alerts"](spark, SCALES["0.01"]).count() == 347
+    assert QUERIES["stream_category_metrics"](spark, SCALES["0.01"]).count() == 7397
+    assert QUERIES["stream_product_alerts"](spark, SCALES["0.01"]).count() == 72

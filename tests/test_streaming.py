@@ -147,9 +147,9 @@ def test_salted_catalog_lookup_on_a_stream(spark, workdir):
     lines = [_event(m % 60, product="P0001") for m in range(30)] + [_event(1, product="P0002"), _event(2, product="P0009")]
     with open(os.path.join(src, "a.json"), "w") as f:
         f.write("\n".join(lines) + "\n")
-    catalog = normalize_catalog(spark.createDataFrame([("P0001", "Toys"), ("P0002", "Home")],
-                                                      "product_id string, category string"))
-    events = enrich_with_catalog(decode_events(text_source(spark, src)), catalog, max_broadcast_rows=0)
+    catalog = normalize_catalog(spark.createDataFrame([("P0001", "Toys", 1), ("P0002", "Home", 2)],
+                                                      "product_id string, category string, line_order long"))
+    events = enrich_with_catalog(decode_events(text_source(spark, src)), catalog, max_broadcast_bytes=0)
     q = start_raw_ingest(events, base, StreamSettings(trigger={"availableNow": True}), name="salted")
     try:
         await_all([q])
@@ -180,3 +180,26 @@ def test_stream_aggregation_is_partial_before_the_state_store(spark, workdir, ca
         stop_all([q])
     assert plan.index("StateStoreSave") < plan.index("partial_count")  # partial is below the state store
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_registered_streams_run_over_many_batches_and_drop_what_is_planned(spark, workdir):
+    """The disordered messages at sf0.001: at least five micro-batches, and
+    the watermark drops exactly the windows of the late copies."""
+    from pyspark.sql import functions as F
+
+    from basketry.plans import registry
+    from basketry.sources.testdata import late_copies, raw_events
+    from basketry.streaming.jobs import await_all, start_category_metrics, stop_all
+    from tests.conftest import SF_SMALL
+
+    q = start_category_metrics(registry._disordered_events(spark, SF_SMALL), f"{workdir}/out", registry._AVAILABLE_NOW, name="disordered")
+    try:
+        await_all([q])
+        progress = list(q.recentProgress)
+    finally:
+        stop_all([q])
+    assert len([p for p in progress if p["numInputRows"] > 0]) >= 5
+    dropped = sum(op["numRowsDroppedByWatermark"] for p in progress for op in p["stateOperators"])
+    late = late_copies(raw_events(spark, SF_SMALL))
+    windows = late.groupBy(F.window("timestamp", registry.METRICS_WINDOW), "category").count().count()
+    assert late.count() > 0 and dropped == windows
