@@ -13,7 +13,9 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from basketry.plans.registry import QUERIES  # noqa: E402
+from basketry.operators import conversion_report  # noqa: E402
 from basketry.session import build_session  # noqa: E402
+from basketry.sources.testdata import raw_events  # noqa: E402
 
 
 def summarise(plan: str) -> dict:
@@ -40,7 +42,10 @@ def main() -> None:
     for name, fn in QUERIES.items():
         if name.startswith(("stream_", "job_")) or name == "output_audit":
             continue
-        df = fn(spark, sf_dir)
+        # For the queries that return a written report, the report's own plan.
+        report = name in ("report_csv_roundtrip", "report_validation")
+        df = conversion_report(raw_events(spark, sf_dir)) if report else fn(spark, sf_dir)
+        name += " (the report it writes)" if report else ""
         df._jdf.collectAsList()  # run this QueryExecution so AQE fixes its final plan (rows stay in the JVM)
         plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
         rows.append((name, summarise(plan)))
