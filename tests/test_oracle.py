@@ -56,7 +56,7 @@ def test_entry_runs(spark):
 
     df = contract.entry(spark)
     assert df.columns == ["category", "views", "purchases", "cart_adds", "conversion_rate", "cart_to_purchase_rate"]
-    assert df.count() == 7
+    assert df.count() == 6
 
 
 def test_queries_pin_utc_in_a_foreign_zone_session(spark):
