@@ -102,8 +102,9 @@ METRICS_WINDOW = "5 minutes"
 # Messages are in no order inside a slice of event time, and a micro-batch may
 # end anywhere in a slice.
 WATERMARK_DELAY = SLICE_SPAN
-# Small, so that the test tables give several micro-batches.
-FILES_PER_TRIGGER = 1
+# Few, so that the test tables give several micro-batches (the messages
+# without a category lie in fewer files).
+FILES_PER_TRIGGER, FEW_FILES_PER_TRIGGER = 6, 1
 TOP_K = 5
 LOW_PERFORMER_MIN_VIEWS = 1
 
@@ -347,7 +348,8 @@ def _run_stream(starter, events: DataFrame, base: str, settings: StreamSettings)
 
 
 def _stream_events(spark: SparkSession, sf_dir: str, categorized: bool = True) -> DataFrame:
-    return decode_events(text_source(spark, message_folder(spark, sf_dir, categorized), FILES_PER_TRIGGER))
+    limit = FILES_PER_TRIGGER if categorized else FEW_FILES_PER_TRIGGER
+    return decode_events(text_source(spark, message_folder(spark, sf_dir, categorized), limit))
 
 
 def _disordered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
