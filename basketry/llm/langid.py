@@ -29,7 +29,7 @@ SAMPLE_DOCS, SAMPLE_CHARS = 400, 30_000
 #: The most frequent labels that are learned.
 MAX_LANGS = 256
 #: Characters parsed as one piece, symbols of the alphabet (0: space), bytes of text in one block.
-PIECE, SYMBOLS, PARSE_BYTES = 256, 64, 2 << 20
+PIECE, SYMBOLS, PARSE_BYTES = 256, 64, 1 << 20
 UNDETERMINED = "und"
 
 

@@ -40,7 +40,7 @@ REFINE = (2, 5, 9)
 #: Entries of the tables of random variates.
 VARIATES = 1 << 16
 OWNER_BITS, HASH_BITS = 20, 44
-BLOCK = 2 << 20
+BLOCK = 1 << 20
 
 
 class Shingler:
