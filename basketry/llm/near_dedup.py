@@ -10,9 +10,11 @@ similarity of the two whole texts reaches the threshold.
 
 * Document frequencies are counted over all documents into 2**18 hashed slots (1 MB of weights, broadcast).
 * Texts that are equal are one node from the start; a hot group of copies is one row a task.
-* No pairs within a band's group: each text is compared with the least text of the
-  group, and with the least text of each finer group that shares further samples with it
-  (``REFINE``).  Minima with partial aggregation and joins with skew splitting; nothing is collected.
+* First each text is compared with the least text of its band's group, and with the least text of each finer
+  group that shares further samples with it (``REFINE``): this links groups of copies in linear work.
+* Then every two texts of a group that aren't in one class by then are compared.  Groups of up to ``PAIRED`` texts give
+  pairs; larger ones are dealt over tiles of two blocks each, a tile compared by matrix products.  Texts of the class
+  that most of a group belongs to meet only the others, so a group costs the others times its size.
 * Links are closed to classes by connected components.
 """
 
@@ -22,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm.common import RollingHash, materialize, mix64, read_table, small_side, text_blocks, word_spans
@@ -41,6 +43,8 @@ REFINE = (2, 5, 9)
 VARIATES = 1 << 16
 OWNER_BITS, HASH_BITS = 20, 44
 BLOCK = 1 << 20
+#: Texts of a group that is compared pair by pair; texts and bytes of a block of a larger one; columns multiplied at a time.
+PAIRED, BLOCK_ROWS, BLOCK_TEXT, COLUMNS = 8, 1024, 4 << 20, 4096
 
 
 class Shingler:
@@ -140,13 +144,13 @@ class WeightedSampler:
 
 
 def signatures(docs: DataFrame, weights: np.ndarray) -> DataFrame:
-    """``doc_id, text_key, signature`` (array of ``SAMPLES`` longs, null for texts without words)."""
+    """``doc_id, text_key, n_bytes, signature`` (array of ``SAMPLES`` longs, null for texts without words)."""
     shared = docs.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, sampler = Shingler(), WeightedSampler()
         for batch in batches:
-            for first, last, data, bounds in text_blocks(batch.column(2), BLOCK):
+            for first, last, data, bounds in text_blocks(batch.column(3), BLOCK):
                 owner, shingle, times = shingler(data, bounds)
                 held, starts = np.unique(owner, return_index=True)
                 found = sampler(starts, shingle, shared.value[slot(shingle)] * times)
@@ -155,17 +159,21 @@ def signatures(docs: DataFrame, weights: np.ndarray) -> DataFrame:
                 empty = np.ones(last - first, dtype=bool)
                 empty[held] = False
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(last - first + 1, dtype=np.int32) * SAMPLES), pa.array(full.reshape(-1)), mask=pa.array(empty))
-                kept = [batch.column(i).slice(first, last - first) for i in (0, 1)]
-                yield pa.RecordBatch.from_arrays([*kept, lists], names=["doc_id", "text_key", "signature"])
+                kept = [batch.column(i).slice(first, last - first) for i in (0, 1, 2)]
+                yield pa.RecordBatch.from_arrays([*kept, lists], names=["doc_id", "text_key", "n_bytes", "signature"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5(F.coalesce("text", F.lit(""))).alias("text_key"), "text")
-    return rows.mapInArrow(run, "doc_id long, text_key string, signature array<long>")
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5(text).alias("text_key"), F.octet_length(text).cast("long").alias("n_bytes"), "text")
+    return rows.mapInArrow(run, "doc_id long, text_key string, n_bytes long, signature array<long>")
+
+
+def band_keys() -> Column:
+    return F.array(*[F.xxhash64(F.lit(i), *[F.col("signature")[ROWS * i + j] for j in range(ROWS)]) for i in range(BANDS)])
 
 
 def candidate_pairs(nodes: DataFrame) -> DataFrame:
     """``a, b`` (a < b): each text of ``nodes`` (``node, signature``) and the least text of every group it shares."""
-    bands = F.array(*[F.xxhash64(F.lit(i), *[F.col("signature")[ROWS * i + j] for j in range(ROWS)]) for i in range(BANDS)])
-    rows = nodes.select("node", "signature", F.posexplode(bands).alias("band", "key"))
+    rows = nodes.select("node", "signature", F.posexplode(band_keys()).alias("band", "key"))
     shared = rows.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("a")).where("n > 1")
     rows = materialize(
         rows.join(shared, ["band", "key"]).select(
@@ -215,11 +223,140 @@ def verify_pairs(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, weights: n
     return rows.select("a", "b", "a_text", "b_text").mapInArrow(run, "a long, b long, similarity double")
 
 
+def unsettled_members(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """``node, n_bytes, keys, component, band, key, n, main, ...`` of the members of every group of three or more that
+    holds several classes of ``links``; ``main`` is the class most of the group is in, counted and weighed beside the rest."""
+    classes = connected_components(links).select("node", "component")
+    rows = nodes.select("node", "n_bytes", band_keys().alias("keys")).join(classes, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    rows = materialize(rows, "near-classes").select("*", F.posexplode("keys").alias("band", "key"))
+    parts = rows.groupBy("band", "key", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_bytes").alias("size"), F.min("node").alias("least"))
+    groups = parts.groupBy("band", "key").agg(
+        F.count(F.lit(1)).alias("n_classes"), F.sum("n").alias("n"), F.sum("size").alias("size"), F.min("least").alias("least"),
+        F.max(F.struct("n", "size", "component")).alias("top"),
+    )
+    groups = groups.where("n > 2 and n_classes > 1").select(
+        "band", "key", "n", "least", F.col("top.component").alias("main"), F.col("top.n").alias("n_main"), F.col("top.size").alias("main_size"),
+        (F.col("n") - F.col("top.n")).alias("n_rest"), (F.col("size") - F.col("top.size")).alias("rest_size"),
+    )
+    return rows.join(groups, ["band", "key"])
+
+
+def small_group_pairs(members: DataFrame, paired: int = PAIRED) -> DataFrame:
+    """``a, b`` (a < b): the pairs of different classes in groups of up to ``paired`` texts that the least text isn't in."""
+    few = members.where((F.col("n") <= paired) & (F.col("node") != F.col("least"))).select("band", "key", "node", "component")
+    one = few.withColumnsRenamed({"node": "a", "component": "a_class"})
+    two = few.withColumnsRenamed({"node": "b", "component": "b_class"})
+    return one.join(two, ["band", "key"]).where("a < b and a_class <> b_class").select("a", "b").distinct()
+
+
+def tile_members(members: DataFrame, paired: int = PAIRED, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """``band, key, i, j, block, node, component, keys``: members of larger groups dealt over tiles of blocks ``i <= j``.
+
+    The rest's blocks come first; every one of them meets itself, the rest's others and those of the main class."""
+    blocks = [F.greatest(F.ceil(F.col(n) / block_rows), F.ceil(F.col(size) / BLOCK_TEXT)).cast("int") for n, size in (("n_rest", "rest_size"), ("n_main", "main_size"))]
+    rows = members.where(F.col("n") > paired).withColumn("own", F.col("component") == F.col("main")).withColumn("rest", blocks[0]).withColumn("mains", blocks[1])
+    dealt = F.xxhash64("node")
+    rows = rows.withColumn("block", F.when(F.col("own"), F.col("rest") + F.pmod(dealt, F.col("mains"))).otherwise(F.pmod(dealt, F.col("rest"))).cast("int"))
+    others = F.sequence(F.lit(0), F.col("rest") - 1 + F.when(F.col("own"), 0).otherwise(F.col("mains")))
+    rows = rows.withColumn("other", F.explode(others))
+    return rows.select("band", "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "component", "keys")
+
+
+def common_weight(left: np.ndarray, right: np.ndarray, owner: np.ndarray, element: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Weight that each text of ``left`` has in common with each of ``right``: elements are in a text once."""
+    out = np.zeros((len(left), len(right)))
+    _, column, count = np.unique(element, return_inverse=True, return_counts=True)
+    met = np.cumsum(count > 1) - 1
+    held = count[column] > 1
+    owner, column, weight = owner[held], met[column[held]], weight[held]
+    order = np.argsort(column, kind="stable")
+    owner, column, weight = owner[order], column[order], weight[order]
+    n = int(owner.max(initial=-1)) + 1
+    places = [np.full(max(n, int(side.max(initial=-1)) + 1), -1) for side in (left, right)]
+    for place, side in zip(places, (left, right), strict=True):
+        place[side] = np.arange(len(side))
+    for first in range(0, int(column.max(initial=-1)) + 1, COLUMNS):
+        a, b = np.searchsorted(column, (first, first + COLUMNS))
+        parts = []
+        for place, side in zip(places, (left, right), strict=True):
+            row = place[owner[a:b]]
+            part = np.zeros((len(side), COLUMNS))
+            part[row[row >= 0], column[a:b][row >= 0] - first] = weight[a:b][row >= 0] if not parts else 1.0
+            parts.append(part)
+        out += parts[0] @ parts[1].T
+    return out
+
+
+def verify_tiles(tiles: DataFrame, docs: DataFrame, nodes: DataFrame, weights: np.ndarray, similarity: float = SIMILARITY) -> DataFrame:
+    """``a, b, similarity``: verified pairs that join the classes of each tile as far as its similar texts do.
+
+    Pairs of one class and pairs that meet in an earlier band already are left out; of the others, as many as join classes are told."""
+    shared = docs.sparkSession.sparkContext.broadcast(weights)
+    wanted = materialize(tiles.select("node").distinct(), "near-wanted").join(nodes.select("node", "text_key"), "node")
+    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").where("node is not null and text is not null")
+    texts = texts.join(wanted, "node").where(F.md5("text") == F.col("text_key")).select("node", "text")
+
+    def run(table: pa.Table) -> pa.Table:
+        empty = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "similarity": pa.array([], pa.float64())})
+        # A row may be repeated in the documents.
+        _, once = np.unique(table.column("node").to_numpy(), return_index=True)
+        table = table.take(pa.array(once)).combine_chunks()
+        node, component, block = (table.column(c).to_numpy() for c in ("node", "component", "block"))
+        keys = np.array(table.column("keys").to_pylist(), dtype=np.int64).reshape(len(node), BANDS)
+        band, i, j = (table.column(c)[0].as_py() for c in ("band", "i", "j"))
+        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        open_ = component[left][:, None] != component[right][None, :]
+        if i == j:
+            open_ &= left[:, None] < right[None, :]
+        for e in range(band):
+            open_ &= keys[left, e][:, None] != keys[right, e][None, :]
+        left, right, open_ = left[open_.any(axis=1)], right[open_.any(axis=0)], open_[open_.any(axis=1)][:, open_.any(axis=0)]
+        if not open_.any():
+            return empty
+        shingler, total, parts = Shingler(), np.zeros(len(node)), []
+        used = np.zeros(len(node), dtype=bool)
+        used[left] = used[right] = True
+        column = pa.array([x if u else None for x, u in zip(table.column("text").to_pylist(), used, strict=True)], pa.string())
+        for first, _, data, bounds in text_blocks(column, BLOCK):
+            owner, shingle, times = shingler(data, bounds)
+            # The k-th occurrence of a shingle is an element of its own, so the lesser count is what two texts share.
+            again = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            element = mix64(np.repeat(shingle, times) + again.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+            weight = np.repeat(shared.value[slot(shingle)].astype(np.float64), times)
+            owner = np.repeat(owner, times) + first
+            total += np.bincount(owner, weights=weight, minlength=len(node))
+            parts.append((owner, element, weight))
+        common = common_weight(left, right, *(np.concatenate(x) for x in zip(*parts, strict=True)))
+        near = common / np.maximum(total[left][:, None] + total[right][None, :] - common, 1e-12)
+        x, y = np.nonzero(open_ & (near >= similarity - 1e-9))
+        up: dict[int, int] = {}
+
+        def root(c: int) -> int:
+            while up.get(c, c) != c:
+                c = up[c]
+            return c
+
+        kept = []
+        for at, (p, q) in enumerate(zip(component[left[x]].tolist(), component[right[y]].tolist(), strict=True)):
+            p, q = root(p), root(q)
+            if p != q:
+                up[max(p, q)] = min(p, q)
+                kept.append(at)
+        if not kept:
+            return empty
+        x, y = x[kept], y[kept]
+        a, b = node[left[x]], node[right[y]]
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b), "similarity": near[x, y]})
+
+    rows = tiles.join(texts, "node")
+    return rows.groupBy("band", "key", "i", "j").applyInArrow(run, "a long, b long, similarity double")
+
+
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``doc_id, class_id, n_links, n_copies, kept`` for every row of ``docs`` (``doc_id, text``).
 
     ``class_id`` is the least ``doc_id`` of the class, ``n_links`` the verified links of the row's text to
-    other texts, ``n_copies`` the rows with exactly its text, ``kept`` whether the row is its class's first.
+    other texts (pairs that one class held already aren't compared), ``n_copies`` the rows with exactly its text, ``kept`` whether the row is its class's first.
     Texts without a word (null, empty, white space) and rows without an id are classes of their own.
     Rows with one id count as one document in the classes and share a verdict.  An empty
     table gives an empty result; other columns are ignored."""
@@ -227,9 +364,14 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     weights = slot_weights(frequency, n_docs)
     signed = materialize(signatures(docs, weights), "near-signatures")
     held = signed.where("signature is not null and doc_id is not null")
-    nodes = held.groupBy("text_key").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("n_copies"), F.first("signature").alias("signature"))
+    nodes = held.groupBy("text_key").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("n_copies"), F.first("n_bytes").alias("n_bytes"), F.first("signature").alias("signature"))
     nodes = materialize(nodes, "near-nodes")
     links = materialize(verify_pairs(candidate_pairs(nodes), docs, nodes, weights, similarity), "near-links").distinct()
+    members = materialize(unsettled_members(nodes, links), "near-unsettled")
+    few = materialize(small_group_pairs(members), "near-few")
+    links = links.union(materialize(verify_pairs(few, docs, nodes, weights, similarity), "near-few-links"))
+    tiles = materialize(tile_members(members), "near-tiles")
+    links = materialize(links.union(verify_tiles(tiles, docs, nodes, weights, similarity)).distinct(), "near-all-links")
     classes = connected_components(links).select(F.col("node"), "component")
     degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     known = nodes.select("text_key", "node", "n_copies").join(classes, "node", "left").join(degree, "node", "left")
