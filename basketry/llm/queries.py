@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from basketry.llm import fm_dedup, langid, line_dedup, mixing, near_dedup, quality_lm, site_quality, sp_codec, suffix_dedup, topk
+from basketry.llm import bpe_codec, fm_dedup, langid, line_dedup, mixing, near_dedup, quality_lm, site_quality, sp_codec, suffix_dedup, topk
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_site_quality": site_quality.op8_site_quality,
     "op9_line_dedup": line_dedup.op9_line_dedup,
     "op10_near_dedup": near_dedup.op10_near_dedup,
+    "op12_byte_bpe": bpe_codec.op12_byte_bpe,
 }
 
 ORACLE_SQL = {
