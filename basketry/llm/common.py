@@ -53,9 +53,9 @@ def text_blocks(column: pa.Array, block_bytes: int = BLOCK_BYTES) -> Iterator[tu
         at = to
 
 
-def word_spans(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end byte of every word, and the row each belongs to."""
-    inside = ~IS_SPACE[data]
+def word_spans(data: np.ndarray, bounds: np.ndarray, separates: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end byte of every word, and the row each belongs to; ``separates`` marks the bytes between words."""
+    inside = ~separates[data]
     start = inside.copy()
     start[1:] &= ~inside[:-1]
     end = inside.copy()
