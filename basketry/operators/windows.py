@@ -19,6 +19,16 @@ def with_watermark(events: DataFrame, delay: str | None, time_col: str = "timest
     return events.withWatermark(time_col, delay) if delay else events
 
 
+# Microseconds of the units that a window's length may be given in.
+UNITS = {"second": 10**6, "minute": 60 * 10**6, "hour": 3600 * 10**6, "day": 86400 * 10**6}
+
+
+def window_micros(duration: str) -> int:
+    """Length of a window such as ``5 minutes`` in microseconds."""
+    number, unit = duration.split()
+    return int(number) * UNITS[unit.rstrip("s")]
+
+
 def _window(time_col: str, duration: str) -> Column:
     return F.window(F.col(time_col), duration)
 

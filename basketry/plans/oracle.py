@@ -121,6 +121,49 @@ alerts AS (
     HAVING count(*) > 5
 )"""
 
+def _anomalies(closed: str, until: str) -> str:
+    """Counts a product and day against the median of its last 8 days with events (4 at least) within 15 days."""
+    return f"""
+counts AS (
+    SELECT * FROM (
+        SELECT {_windowed('1 day')}, product_id, category, count(*) AS event_count
+        FROM shop WHERE "timestamp" IS NOT NULL AND product_id IS NOT NULL GROUP BY ALL)
+    WHERE {closed}
+),
+held AS (
+    SELECT *, lead(window_start) OVER (PARTITION BY product_id, category ORDER BY window_start) AS following,
+           (list(event_count) OVER before)[-8:] AS past,
+           (list(event_count) OVER through)[-8:] AS upto
+    FROM counts
+    WINDOW before AS (PARTITION BY product_id, category ORDER BY window_start
+                      RANGE BETWEEN INTERVAL '15 days' PRECEDING AND INTERVAL '1 microsecond' PRECEDING),
+           through AS (PARTITION BY product_id, category ORDER BY window_start
+                       RANGE BETWEEN INTERVAL '15 days' PRECEDING AND CURRENT ROW)
+),
+middles AS (
+    SELECT *, list_aggregate(past, 'median')::DOUBLE AS past_middle, list_aggregate(upto, 'median')::DOUBLE AS upto_middle
+    FROM held
+),
+spreads AS (
+    SELECT *, list_aggregate(list_transform(past, lambda c: abs(c - past_middle)), 'median')::DOUBLE AS past_spread,
+           list_aggregate(list_transform(upto, lambda c: abs(c - upto_middle)), 'median')::DOUBLE AS upto_spread
+    FROM middles
+),
+anomalies AS (
+    SELECT window_start, window_end, product_id, category,
+           CASE WHEN event_count > past_middle THEN 'spike' ELSE 'drop' END AS kind, event_count,
+           past_middle AS baseline, past_spread AS spread, CAST(len(past) AS INTEGER) AS windows
+    FROM spreads
+    WHERE len(past) >= 4 AND abs(event_count - past_middle) > 2.0 * greatest(past_spread, 0.5)
+    UNION ALL
+    SELECT window_end, window_end + INTERVAL '3 days', product_id, category, 'silence', 0,
+           upto_middle, upto_spread, CAST(len(upto) AS INTEGER)
+    FROM spreads
+    WHERE len(upto) >= 4 AND upto_middle >= 1.0
+      AND CASE WHEN following IS NULL THEN {until} ELSE following >= window_end + INTERVAL '3 days' END
+)"""
+
+
 # Append-mode streams emit a window once the watermark (latest event time
 # minus the delay, one slice of the messages) has reached its end.
 CLOSED = "window_end <= (SELECT max(ts) FROM events) - INTERVAL '5 days'"
@@ -236,6 +279,10 @@ ORACLE_SQL: dict[str, str] = {
         "FROM shop WHERE \"timestamp\" IS NOT NULL GROUP BY ALL"),
     "window_product_alerts": _q("SELECT * FROM alerts", ALERTS),
     "window_product_metrics": _q("SELECT * FROM product_metrics", PRODUCT_METRICS),
+    "window_anomalies": _q("SELECT * FROM anomalies", _anomalies("true", "false")),
+    "stream_anomaly_alerts": _q(
+        "SELECT * FROM anomalies",
+        _anomalies(CLOSED, "window_end + INTERVAL '3 days' <= (SELECT max(ts) FROM events) - INTERVAL '5 days'")),
     "window_category_rates": _q(
         "SELECT *, CASE WHEN views > 0 THEN round(CAST(purchases AS DOUBLE) / views, 4) ELSE 0.0 END "
         "AS conversion_rate FROM category_metrics", CATEGORY_METRICS),

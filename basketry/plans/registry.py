@@ -58,6 +58,7 @@ from basketry.operators import (
     window_rates,
     with_event_date,
 )
+from basketry.operators.anomalies import AnomalyRule, product_counts, window_anomalies
 from basketry.operators.vocab import ADD_TO_CART, PURCHASE, VIEW
 from basketry.session import fresh_dir
 from basketry.sinks.writers import write_csv
@@ -81,6 +82,7 @@ from basketry.sources.testdata import (
     shop_events,
     uncategorized_events,
 )
+from basketry.streaming.anomalies import start_anomaly_alerts
 from basketry.streaming.jobs import (
     StreamSettings,
     await_all,
@@ -99,6 +101,8 @@ UNION_CUTOFF = "2024-01-16"
 ALERT_WINDOW = "1 day"
 ALERT_THRESHOLD = 5
 METRICS_WINDOW = "5 minutes"
+# A few events a product and day: short baselines of days.
+ANOMALY_RULE = AnomalyRule(history=8, min_history=4, horizon=15, silent=3, sensitivity=2.0, min_spread=0.5, min_baseline=1.0)
 # Messages are in no order inside a slice of event time, and a micro-batch may
 # end anywhere in a slice.
 WATERMARK_DELAY = SLICE_SPAN
@@ -271,6 +275,11 @@ def q_window_product_metrics(spark, sf_dir):
     return _portable(product_window_metrics(_events(spark, sf_dir), METRICS_WINDOW))
 
 
+def q_window_anomalies(spark, sf_dir):
+    counts = product_counts(_events(spark, sf_dir), ALERT_WINDOW)
+    return _portable(window_anomalies(counts, ALERT_WINDOW, ANOMALY_RULE))
+
+
 def q_window_category_rates(spark, sf_dir):
     return _portable(window_rates(category_window_metrics(_events(spark, sf_dir), METRICS_WINDOW)))
 
@@ -400,6 +409,16 @@ def q_stream_product_metrics(spark, sf_dir):
     return _portable(read_parquet_dataset(spark, layout(base)["product_metrics"], schemas.PRODUCT_WINDOW_METRICS))
 
 
+def q_stream_anomaly_alerts(spark, sf_dir):
+    base = fresh_dir(spark, "stream")
+
+    def start(events, base_dir, settings, name):
+        return start_anomaly_alerts(events, base_dir, settings, ANOMALY_RULE, name)
+
+    _run_stream(start, _stream_events(spark, sf_dir), base, _AVAILABLE_NOW)
+    return _portable(read_parquet_dataset(spark, layout(base)["anomalies"], schemas.ANOMALY))
+
+
 def q_stream_disordered_raw(spark, sf_dir):
     # Late copies, unreadable times and broken messages all reach raw.
     base = fresh_dir(spark, "stream")
@@ -506,6 +525,7 @@ _QUERIES: dict[str, Query] = {
     "window_product_alerts": q_window_product_alerts,
     "window_product_metrics": q_window_product_metrics,
     "window_category_rates": q_window_category_rates,
+    "window_anomalies": q_window_anomalies,
     "product_category_map": q_product_category_map,
     "category_conversion_report": q_category_conversion_report,
     "catalog_normalize": q_catalog_normalize,
@@ -518,6 +538,7 @@ _QUERIES: dict[str, Query] = {
     "stream_category_rates": q_stream_category_rates,
     "stream_product_alerts": q_stream_product_alerts,
     "stream_product_metrics": q_stream_product_metrics,
+    "stream_anomaly_alerts": q_stream_anomaly_alerts,
     "stream_catalog_enrich": q_stream_catalog_enrich,
     "stream_disordered_raw": q_stream_disordered_raw,
     "stream_disordered_metrics": q_stream_disordered_metrics,

@@ -7,6 +7,7 @@ missing or empty input still yields a typed (possibly empty) frame.
 from pyspark.sql.types import (
     DateType,
     DoubleType,
+    IntegerType,
     LongType,
     StringType,
     StructField,
@@ -69,6 +70,18 @@ PRODUCT_ALERT = _struct(
     ("event_count", LongType()),
 )
 
+ANOMALY = _struct(
+    ("window_start", TimestampType()),
+    ("window_end", TimestampType()),
+    ("product_id", StringType()),
+    ("category", StringType()),
+    ("kind", StringType()),
+    ("event_count", LongType()),
+    ("baseline", DoubleType()),
+    ("spread", DoubleType()),
+    ("windows", IntegerType()),
+)
+
 PRODUCT_WINDOW_METRICS = _struct(
     ("window_start", TimestampType()),
     ("window_end", TimestampType()),

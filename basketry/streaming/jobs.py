@@ -62,11 +62,12 @@ def layout(base_dir: str) -> dict[str, str]:
         "category_metrics": f"{base}/processed/category_metrics",
         "product_metrics": f"{base}/processed/product_metrics",
         "alerts": f"{base}/alerts",
+        "anomalies": f"{base}/processed/anomalies",
         "checkpoints": f"{base}/checkpoints",
     }
 
 
-def _start(df: DataFrame, fmt: str, path: str, checkpoint: str, name: str, trigger: dict | None,
+def start_output(df: DataFrame, fmt: str, path: str, checkpoint: str, name: str, trigger: dict | None,
            partition_by: tuple[str, ...] = (), options: dict | None = None) -> StreamingQuery:
     writer = (
         df.writeStream.format(fmt)
@@ -92,7 +93,7 @@ def start_raw_ingest(events: DataFrame, base_dir: str, settings: StreamSettings,
     if settings.raw_writers:
         salt = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(settings.raw_writers))
         rows = rows.repartition(F.col("event_date"), F.col("category"), salt)
-    return _start(rows, "parquet", paths["raw"], f"{paths['checkpoints']}/raw", name,
+    return start_output(rows, "parquet", paths["raw"], f"{paths['checkpoints']}/raw", name,
                   settings.trigger, partition_by=("event_date", "category"))
 
 
@@ -103,7 +104,7 @@ def start_category_metrics(events: DataFrame, base_dir: str, settings: StreamSet
                                       literal_counts=settings.literal_counts)
     if settings.with_rates:
         metrics = window_rates(metrics)
-    return _start(metrics, "parquet", paths["category_metrics"], f"{paths['checkpoints']}/category_metrics",
+    return start_output(metrics, "parquet", paths["category_metrics"], f"{paths['checkpoints']}/category_metrics",
                   name, settings.trigger)
 
 
@@ -111,7 +112,7 @@ def start_product_metrics(events: DataFrame, base_dir: str, settings: StreamSett
                           name: str = "product_metrics") -> StreamingQuery:
     paths = layout(base_dir)
     metrics = product_window_metrics(with_watermark(events, settings.delay), settings.window)
-    return _start(metrics, "parquet", paths["product_metrics"], f"{paths['checkpoints']}/product_metrics",
+    return start_output(metrics, "parquet", paths["product_metrics"], f"{paths['checkpoints']}/product_metrics",
                   name, settings.trigger)
 
 
@@ -120,7 +121,7 @@ def start_product_alerts(events: DataFrame, base_dir: str, settings: StreamSetti
     paths = layout(base_dir)
     alerts = product_alerts(with_watermark(events, settings.delay), settings.alert_window or settings.window,
                             settings.alert_threshold)
-    return _start(alerts, "csv", paths["alerts"], f"{paths['checkpoints']}/alerts", name, settings.trigger,
+    return start_output(alerts, "csv", paths["alerts"], f"{paths['checkpoints']}/alerts", name, settings.trigger,
                   options={"header": "true"})
 
 
