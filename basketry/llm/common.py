@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from basketry.session import fresh_dir
+from basketry.session import fresh_dir, ship_package
 
 #: Bytes of text that one Python task holds expanded at a time (a single longer text is one block).
 BLOCK_BYTES = 4 << 20
@@ -23,12 +23,14 @@ IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage through a new Parquet folder below the shared checkpoint folder."""
     spark = df.sparkSession
+    ship_package(spark)
     path = fresh_dir(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def read_table(spark, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)  # the operators' Python workers import it
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
