@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from basketry import schemas
 from basketry.operators.audit import combine_audits, dataset_audit, validate_report
 from basketry.operators.catalog import category_conversion, normalize_catalog
+from basketry.operators.hot_products import TRACKED, hot_products
 from basketry.operators.funnel import average_rate, conversion_report, low_performers, top_by_rate
 from basketry.operators.ranking import top_products, top_products_lines
 from basketry.operators.segments import daily_events, segment_summary, user_segments
@@ -116,6 +117,15 @@ def category_conversion_job(spark: SparkSession, base_dir: str, reports_to: str
     return read_csv_report(spark, out, schemas.CATEGORY_CONVERSION)
 
 
+def hot_products_job(spark: SparkSession, base_dir: str, window: str = "5 minutes", threshold: int = 100,
+                     tracked: int = TRACKED) -> DataFrame:
+    """Groups with more than ``threshold`` events, counted exactly in raw, from the stream's window sketches
+    (``window`` and ``tracked`` as the stream had them). No sketches yet gives an empty result."""
+    paths = layout(base_dir)
+    sketches = read_parquet_dataset(spark, paths["product_sketches"], schemas.PRODUCT_SKETCH)
+    return hot_products(sketches, read_raw_events(spark, paths["raw"]), window, threshold, tracked, date_col="event_date")
+
+
 def catalog_job(spark: SparkSession, catalog_csv: str, base_dir: str) -> DataFrame:
     """Normalised catalog (one row per product) stored as Parquet, each time
     as a new version below ``<base>/catalog``, so a stream that reads the

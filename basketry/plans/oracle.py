@@ -280,6 +280,11 @@ ORACLE_SQL: dict[str, str] = {
     "window_product_alerts": _q("SELECT * FROM alerts", ALERTS),
     "window_product_metrics": _q("SELECT * FROM product_metrics", PRODUCT_METRICS),
     "window_anomalies": _q("SELECT * FROM anomalies", _anomalies("true", "false")),
+    "hot_products": _q("SELECT * FROM alerts", ALERTS),
+    "stream_hot_products": _q(f"SELECT * FROM alerts WHERE {CLOSED}", ALERTS),
+    "stream_repeated_metrics": _q(
+        f"SELECT * FROM category_metrics WHERE {CLOSED}",
+        CATEGORY_METRICS.replace("FROM shop", "FROM (SELECT DISTINCT * FROM shop)")),
     "stream_anomaly_alerts": _q(
         "SELECT * FROM anomalies",
         _anomalies(CLOSED, "window_end + INTERVAL '3 days' <= (SELECT max(ts) FROM events) - INTERVAL '5 days'")),

@@ -59,6 +59,7 @@ from basketry.operators import (
     with_event_date,
 )
 from basketry.operators.anomalies import AnomalyRule, product_counts, window_anomalies
+from basketry.operators.hot_products import hot_products, product_sketches
 from basketry.operators.vocab import ADD_TO_CART, PURCHASE, VIEW
 from basketry.session import fresh_dir
 from basketry.sinks.writers import write_csv
@@ -78,6 +79,7 @@ from basketry.sources.testdata import (
     message_folder,
     part_catalog_rows,
     raw_events,
+    repeated_folder,
     read_part_table,
     shop_events,
     uncategorized_events,
@@ -91,6 +93,7 @@ from basketry.streaming.jobs import (
     start_category_metrics,
     start_product_alerts,
     start_product_metrics,
+    start_product_sketches,
     start_raw_ingest,
     stop_all,
 )
@@ -101,6 +104,7 @@ UNION_CUTOFF = "2024-01-16"
 ALERT_WINDOW = "1 day"
 ALERT_THRESHOLD = 5
 METRICS_WINDOW = "5 minutes"
+HOT_TRACKED = 64
 # A few events a product and day: short baselines of days.
 ANOMALY_RULE = AnomalyRule(history=8, min_history=4, horizon=15, silent=3, sensitivity=2.0, min_spread=0.5, min_baseline=1.0)
 # Messages are in no order inside a slice of event time, and a micro-batch may
@@ -419,6 +423,33 @@ def q_stream_anomaly_alerts(spark, sf_dir):
     return _portable(read_parquet_dataset(spark, layout(base)["anomalies"], schemas.ANOMALY))
 
 
+def q_hot_products(spark, sf_dir):
+    # Few counters: some days are counted from candidates, some whole.
+    events = _events(spark, sf_dir)
+    sketches = product_sketches(events, ALERT_WINDOW, HOT_TRACKED)
+    return _portable(hot_products(sketches, events, ALERT_WINDOW, ALERT_THRESHOLD, HOT_TRACKED, date_col="event_date"))
+
+
+def q_stream_hot_products(spark, sf_dir):
+    base = fresh_dir(spark, "stream")
+
+    def start(events, base_dir, settings, name):
+        return start_product_sketches(events, base_dir, settings, HOT_TRACKED, name)
+
+    _run_stream(start, _stream_events(spark, sf_dir), base, _AVAILABLE_NOW)
+    _run_stream(start_raw_ingest, _stream_events(spark, sf_dir), base, _AVAILABLE_NOW)
+    return _portable(jobs.hot_products_job(spark, base, ALERT_WINDOW, ALERT_THRESHOLD, HOT_TRACKED))
+
+
+def q_stream_repeated_metrics(spark, sf_dir):
+    # Messages sent two and three times count once.
+    base = fresh_dir(spark, "stream")
+    events = decode_events(text_source(spark, repeated_folder(spark, sf_dir), FILES_PER_TRIGGER))
+    settings = StreamSettings(**{**_AVAILABLE_NOW.__dict__, "drop_repeats": True})
+    _run_stream(start_category_metrics, events, base, settings)
+    return _portable(read_parquet_dataset(spark, layout(base)["category_metrics"], schemas.CATEGORY_WINDOW_METRICS))
+
+
 def q_stream_disordered_raw(spark, sf_dir):
     # Late copies, unreadable times and broken messages all reach raw.
     base = fresh_dir(spark, "stream")
@@ -526,6 +557,7 @@ _QUERIES: dict[str, Query] = {
     "window_product_metrics": q_window_product_metrics,
     "window_category_rates": q_window_category_rates,
     "window_anomalies": q_window_anomalies,
+    "hot_products": q_hot_products,
     "product_category_map": q_product_category_map,
     "category_conversion_report": q_category_conversion_report,
     "catalog_normalize": q_catalog_normalize,
@@ -539,6 +571,8 @@ _QUERIES: dict[str, Query] = {
     "stream_product_alerts": q_stream_product_alerts,
     "stream_product_metrics": q_stream_product_metrics,
     "stream_anomaly_alerts": q_stream_anomaly_alerts,
+    "stream_hot_products": q_stream_hot_products,
+    "stream_repeated_metrics": q_stream_repeated_metrics,
     "stream_catalog_enrich": q_stream_catalog_enrich,
     "stream_disordered_raw": q_stream_disordered_raw,
     "stream_disordered_metrics": q_stream_disordered_metrics,

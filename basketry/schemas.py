@@ -5,6 +5,7 @@ missing or empty input still yields a typed (possibly empty) frame.
 """
 
 from pyspark.sql.types import (
+    BinaryType,
     DateType,
     DoubleType,
     IntegerType,
@@ -70,6 +71,18 @@ PRODUCT_ALERT = _struct(
     ("event_count", LongType()),
 )
 
+PRODUCT_SKETCH = _struct(
+    ("window_start", TimestampType()),
+    ("window_end", TimestampType()),
+    ("total_events", LongType()),
+    ("sketch", _struct(
+        ("sketch", BinaryType()),
+        ("maxItemsTracked", IntegerType()),
+        ("itemDataType", StringType()),
+        ("itemDataTypeDDL", StringType()),
+    )),
+)
+
 ANOMALY = _struct(
     ("window_start", TimestampType()),
     ("window_end", TimestampType()),

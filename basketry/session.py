@@ -7,7 +7,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. Timestamps are read and written in UTC so
 # that day boundaries and window starts do not depend on the machine zone.
@@ -129,6 +129,13 @@ def shared_dir(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` through a new Parquet folder below :func:`shared_dir`: computed once, however often it is read."""
+    path = fresh_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new, unused sub-folder of :func:`shared_dir` for one run."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"

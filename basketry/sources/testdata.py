@@ -46,6 +46,8 @@ SLICE_SPAN = "5 days"
 LATE_USERS, LATE_BEFORE = "%7", "2024-01-16"
 TIMELESS_USERS = "%03"
 BROKEN_USERS = "%11"
+# Events that a producer sends again, at once and after the next slice.
+REPEATED_USERS = "%3"
 
 EVENTS_SCHEMA = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
 PART_SCHEMA = "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
@@ -267,3 +269,19 @@ def disordered_folder(spark: SparkSession, sf_dir: str) -> str:
         encode_events(late_copies(events)).write.mode("append").text(path)
 
     return derived_table(spark, sf_dir, "messages-disordered", write)
+
+
+def repeated_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The messages of :func:`message_folder` as a producer with retries sends
+    them: some events stand twice in their slice and once more after the next."""
+
+    def write(path: str) -> None:
+        before = None
+        for part in _slices(raw_events(spark, sf_dir)):
+            again = part.filter(F.col("user_id").like(REPEATED_USERS))
+            for rows in (part, again, before):
+                if rows is not None:
+                    encode_events(rows).write.mode("append").text(path)
+            before = again
+
+    return derived_table(spark, sf_dir, "messages-repeated", write)

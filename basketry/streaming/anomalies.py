@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from basketry.operators.anomalies import KEYS, AnomalyRule, anomaly_columns, product_counts
-from basketry.operators.windows import window_micros, with_watermark
+from basketry.operators.windows import window_micros
 from basketry.session import ROCKSDB_PROVIDER, STATE_STORE_PROVIDER_KEY, ship_package
-from basketry.streaming.jobs import StreamSettings, layout, start_output
+from basketry.streaming.jobs import StreamSettings, layout, start_output, timed_events
 
 _FOUND = "product_id string, category string, start long, end long, kind string, event_count long, baseline double, spread double, windows int"
 
@@ -131,6 +131,6 @@ def start_anomaly_alerts(events: DataFrame, base_dir: str, settings: StreamSetti
                          name: str = "anomalies") -> StreamingQuery:
     """Spikes, drops and silences of products as Parquet rows (windows of ``settings.alert_window`` or ``settings.window``)."""
     paths = layout(base_dir)
-    found = stream_anomalies(with_watermark(events, settings.delay), settings.alert_window or settings.window, rule)
+    found = stream_anomalies(timed_events(events, settings), settings.alert_window or settings.window, rule)
     with rocksdb_state(events.sparkSession):
         return start_output(found, "parquet", paths["anomalies"], f"{paths['checkpoints']}/anomalies", name, settings.trigger)

@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from basketry.operators.catalog import enrich_with_catalog
+from basketry.operators.hot_products import TRACKED, product_sketches
+from basketry.operators.repeats import drop_repeats
 from basketry.operators.windows import (
     category_window_metrics,
     product_alerts,
@@ -52,6 +54,9 @@ class StreamSettings:
     # Add the windowed conversion rate (purchases / views, 4 digits) to the
     # category metrics output (a stateless projection, valid in append mode).
     with_rates: bool = False
+    # Count repeated messages once in the windowed outputs (raw keeps them
+    # all). Costs a state entry an event for the length of the delay.
+    drop_repeats: bool = False
 
 
 def layout(base_dir: str) -> dict[str, str]:
@@ -63,6 +68,7 @@ def layout(base_dir: str) -> dict[str, str]:
         "product_metrics": f"{base}/processed/product_metrics",
         "alerts": f"{base}/alerts",
         "anomalies": f"{base}/processed/anomalies",
+        "product_sketches": f"{base}/processed/product_sketches",
         "checkpoints": f"{base}/checkpoints",
     }
 
@@ -85,6 +91,12 @@ def start_output(df: DataFrame, fmt: str, path: str, checkpoint: str, name: str,
     return writer.start()
 
 
+def timed_events(events: DataFrame, settings: StreamSettings) -> DataFrame:
+    """Events with the watermark, and without repeats if the settings say so."""
+    timed = with_watermark(events, settings.delay)
+    return drop_repeats(timed) if settings.drop_repeats else timed
+
+
 def start_raw_ingest(events: DataFrame, base_dir: str, settings: StreamSettings, name: str = "raw") -> StreamingQuery:
     """Every decoded event (late and malformed ones included) as Parquet
     partitioned by event date and category."""
@@ -100,7 +112,7 @@ def start_raw_ingest(events: DataFrame, base_dir: str, settings: StreamSettings,
 def start_category_metrics(events: DataFrame, base_dir: str, settings: StreamSettings,
                            name: str = "category_metrics") -> StreamingQuery:
     paths = layout(base_dir)
-    metrics = category_window_metrics(with_watermark(events, settings.delay), settings.window,
+    metrics = category_window_metrics(timed_events(events, settings), settings.window,
                                       literal_counts=settings.literal_counts)
     if settings.with_rates:
         metrics = window_rates(metrics)
@@ -111,7 +123,7 @@ def start_category_metrics(events: DataFrame, base_dir: str, settings: StreamSet
 def start_product_metrics(events: DataFrame, base_dir: str, settings: StreamSettings,
                           name: str = "product_metrics") -> StreamingQuery:
     paths = layout(base_dir)
-    metrics = product_window_metrics(with_watermark(events, settings.delay), settings.window)
+    metrics = product_window_metrics(timed_events(events, settings), settings.window)
     return start_output(metrics, "parquet", paths["product_metrics"], f"{paths['checkpoints']}/product_metrics",
                   name, settings.trigger)
 
@@ -119,12 +131,22 @@ def start_product_metrics(events: DataFrame, base_dir: str, settings: StreamSett
 def start_product_alerts(events: DataFrame, base_dir: str, settings: StreamSettings,
                          name: str = "alerts") -> StreamingQuery:
     paths = layout(base_dir)
-    alerts = product_alerts(with_watermark(events, settings.delay), settings.alert_window or settings.window,
+    alerts = product_alerts(timed_events(events, settings), settings.alert_window or settings.window,
                             settings.alert_threshold)
     return start_output(alerts, "csv", paths["alerts"], f"{paths['checkpoints']}/alerts", name, settings.trigger,
                   options={"header": "true"})
 
 
+def start_product_sketches(events: DataFrame, base_dir: str, settings: StreamSettings, tracked: int = TRACKED,
+                           name: str = "product_sketches") -> StreamingQuery:
+    """One heavy-hitter sketch a window (see :mod:`basketry.operators.hot_products`): state of fixed size,
+    however many products; ``hot_products_job`` reports from it and raw."""
+    paths = layout(base_dir)
+    sketches = product_sketches(timed_events(events, settings), settings.alert_window or settings.window, tracked)
+    return start_output(sketches, "parquet", paths["product_sketches"], f"{paths['checkpoints']}/product_sketches",
+                        name, settings.trigger)
+
+
 def start_all(messages: DataFrame, base_dir: str, settings: StreamSettings | None = None,
               catalog: DataFrame | None = None, name_prefix: str = "") -> list[StreamingQuery]:
     """Decode a message stream (``value`` column) and start all four
