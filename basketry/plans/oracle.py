@@ -282,6 +282,10 @@ ORACLE_SQL: dict[str, str] = {
     "window_anomalies": _q("SELECT * FROM anomalies", _anomalies("true", "false")),
     "hot_products": _q("SELECT * FROM alerts", ALERTS),
     "stream_hot_products": _q(f"SELECT * FROM alerts WHERE {CLOSED}", ALERTS),
+    "stream_repaired_metrics": _q(
+        f"SELECT * FROM category_metrics WHERE {CLOSED}",
+        CATEGORY_METRICS.replace("FROM shop", "FROM (SELECT * FROM shop UNION ALL SELECT * FROM shop "
+                                 "WHERE user_id LIKE '%7' AND \"timestamp\" < TIMESTAMP '2024-01-16')")),
     "stream_repeated_metrics": _q(
         f"SELECT * FROM category_metrics WHERE {CLOSED}",
         CATEGORY_METRICS.replace("FROM shop", "FROM (SELECT DISTINCT * FROM shop)")),

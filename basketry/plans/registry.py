@@ -97,6 +97,7 @@ from basketry.streaming.jobs import (
     start_raw_ingest,
     stop_all,
 )
+from basketry.streaming.repair import repaired_metrics, start_window_repair
 
 # Fixed parameters of the registered queries.
 AS_OF = "2024-01-30"
@@ -105,6 +106,8 @@ ALERT_WINDOW = "1 day"
 ALERT_THRESHOLD = 5
 METRICS_WINDOW = "5 minutes"
 HOT_TRACKED = 64
+# Raw has many small files here.
+REPAIR_FILES = 400
 # A few events a product and day: short baselines of days.
 ANOMALY_RULE = AnomalyRule(history=8, min_history=4, horizon=15, silent=3, sensitivity=2.0, min_spread=0.5, min_baseline=1.0)
 # Messages are in no order inside a slice of event time, and a micro-batch may
@@ -441,6 +444,19 @@ def q_stream_hot_products(spark, sf_dir):
     return _portable(jobs.hot_products_job(spark, base, ALERT_WINDOW, ALERT_THRESHOLD, HOT_TRACKED))
 
 
+def q_stream_repaired_metrics(spark, sf_dir):
+    # Late copies that the window stream dropped are counted after all.
+    base = fresh_dir(spark, "stream")
+    _run_stream(start_raw_ingest, _disordered_events(spark, sf_dir), base, _AVAILABLE_NOW)
+    _run_stream(start_category_metrics, _disordered_events(spark, sf_dir), base, _AVAILABLE_NOW)
+    repair = start_window_repair(spark, base, _AVAILABLE_NOW, max_files_per_trigger=REPAIR_FILES, name=f"repair-{base.rsplit('-', 1)[-1]}")
+    try:
+        await_all([repair])
+    finally:
+        stop_all([repair])
+    return _portable(repaired_metrics(spark, base))
+
+
 def q_stream_repeated_metrics(spark, sf_dir):
     # Messages sent two and three times count once.
     base = fresh_dir(spark, "stream")
@@ -573,6 +589,7 @@ _QUERIES: dict[str, Query] = {
     "stream_anomaly_alerts": q_stream_anomaly_alerts,
     "stream_hot_products": q_stream_hot_products,
     "stream_repeated_metrics": q_stream_repeated_metrics,
+    "stream_repaired_metrics": q_stream_repaired_metrics,
     "stream_catalog_enrich": q_stream_catalog_enrich,
     "stream_disordered_raw": q_stream_disordered_raw,
     "stream_disordered_metrics": q_stream_disordered_metrics,
