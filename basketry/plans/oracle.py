@@ -164,6 +164,19 @@ anomalies AS (
 )"""
 
 
+FOLLOWED = """
+followed AS (
+    SELECT v.user_id, v.product_id, v.category, v."timestamp" AS viewed_at, v.carted_at,
+           (SELECT min(p."timestamp") FROM shop p
+            WHERE p.user_id = v.user_id AND p.product_id = v.product_id AND p.event_type = 'purchase'
+              AND p."timestamp" > v.carted_at AND p."timestamp" <= v."timestamp" + INTERVAL '10 days') AS purchased_at
+    FROM (SELECT w.*, (SELECT min(c."timestamp") FROM shop c
+                       WHERE c.user_id = w.user_id AND c.product_id = w.product_id AND c.event_type = 'add_to_cart'
+                         AND c."timestamp" > w."timestamp" AND c."timestamp" <= w."timestamp" + INTERVAL '10 days') AS carted_at
+          FROM shop w WHERE w.event_type = 'view' AND w.user_id IS NOT NULL AND w.product_id IS NOT NULL) v
+)"""
+
+
 # Append-mode streams emit a window once the watermark (latest event time
 # minus the delay, one slice of the messages) has reached its end.
 CLOSED = "window_end <= (SELECT max(ts) FROM events) - INTERVAL '5 days'"
@@ -280,6 +293,18 @@ ORACLE_SQL: dict[str, str] = {
     "window_product_alerts": _q("SELECT * FROM alerts", ALERTS),
     "window_product_metrics": _q("SELECT * FROM product_metrics", PRODUCT_METRICS),
     "window_anomalies": _q("SELECT * FROM anomalies", _anomalies("true", "false")),
+    "catalog_as_of": _q(
+        "SELECT s.user_id, s.product_id, s.event_type, s.\"timestamp\", coalesce(v.category, 'UNKNOWN') AS category "
+        "FROM shop s ASOF LEFT JOIN versions v ON s.product_id = v.product_id AND s.\"timestamp\" >= v.valid_from",
+        "listed AS (SELECT *, TIMESTAMP '2024-01-04' + to_minutes(p_partkey * 37 % 5000) AS t FROM part)",
+        "versions AS (SELECT printf('P%04d', p_partkey) AS product_id, t AS valid_from, upper(p_brand) AS category FROM listed "
+        "UNION ALL SELECT printf('P%04d', p_partkey), t + INTERVAL '10 days', upper(p_type) FROM listed "
+        "UNION ALL SELECT printf('P%04d', p_partkey), t + INTERVAL '16 days', NULL FROM listed WHERE p_partkey % 5 = 0)"),
+    "follow_views": _q("SELECT * FROM followed", FOLLOWED),
+    "ordered_funnel": _q(
+        "SELECT *, round(carted::DOUBLE / views, 4) AS cart_rate, round(purchased::DOUBLE / views, 4) AS purchase_rate FROM ("
+        "SELECT category, count(*) AS views, count(carted_at) AS carted, count(purchased_at) AS purchased "
+        "FROM followed GROUP BY category)", FOLLOWED),
     "hot_products": _q("SELECT * FROM alerts", ALERTS),
     "stream_hot_products": _q(f"SELECT * FROM alerts WHERE {CLOSED}", ALERTS),
     "stream_repaired_metrics": _q(

@@ -59,7 +59,9 @@ from basketry.operators import (
     with_event_date,
 )
 from basketry.operators.anomalies import AnomalyRule, product_counts, window_anomalies
+from basketry.operators.as_of import catalog_as_of
 from basketry.operators.hot_products import hot_products, product_sketches
+from basketry.operators.ordered_funnel import follow_views, ordered_funnel
 from basketry.operators.vocab import ADD_TO_CART, PURCHASE, VIEW
 from basketry.session import fresh_dir
 from basketry.sinks.writers import write_csv
@@ -74,6 +76,7 @@ from basketry.sources.streams import decode_events, encode_events, text_source
 from basketry.plans import jobs
 from basketry.sources.testdata import (
     SLICE_SPAN,
+    catalog_versions,
     derived_table,
     disordered_folder,
     message_folder,
@@ -105,6 +108,8 @@ UNION_CUTOFF = "2024-01-16"
 ALERT_WINDOW = "1 day"
 ALERT_THRESHOLD = 5
 METRICS_WINDOW = "5 minutes"
+# A user sees a product again within days, not minutes.
+FUNNEL_HORIZON = "10 days"
 HOT_TRACKED = 64
 # Raw has many small files here.
 REPAIR_FILES = 400
@@ -426,6 +431,18 @@ def q_stream_anomaly_alerts(spark, sf_dir):
     return _portable(read_parquet_dataset(spark, layout(base)["anomalies"], schemas.ANOMALY))
 
 
+def q_catalog_as_of(spark, sf_dir):
+    return _portable(catalog_as_of(uncategorized_events(spark, sf_dir), catalog_versions(spark, sf_dir)))
+
+
+def q_ordered_funnel(spark, sf_dir):
+    return ordered_funnel(_events(spark, sf_dir), FUNNEL_HORIZON)
+
+
+def q_follow_views(spark, sf_dir):
+    return _portable(follow_views(_events(spark, sf_dir), FUNNEL_HORIZON))
+
+
 def q_hot_products(spark, sf_dir):
     # Few counters: some days are counted from candidates, some whole.
     events = _events(spark, sf_dir)
@@ -574,6 +591,9 @@ _QUERIES: dict[str, Query] = {
     "window_category_rates": q_window_category_rates,
     "window_anomalies": q_window_anomalies,
     "hot_products": q_hot_products,
+    "catalog_as_of": q_catalog_as_of,
+    "ordered_funnel": q_ordered_funnel,
+    "follow_views": q_follow_views,
     "product_category_map": q_product_category_map,
     "category_conversion_report": q_category_conversion_report,
     "catalog_normalize": q_catalog_normalize,

@@ -95,6 +95,19 @@ def part_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize_catalog(part_catalog_rows(spark, sf_dir))
 
 
+def catalog_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalog with a history, ``product_id, valid_from, category``: every product is listed at some minute
+    from 2024-01-04 on by its brand and ten days later by its type; every fifth goes without a category after six more."""
+    part = read_part_table(spark, sf_dir)
+    first = F.lit("2024-01-04").cast("timestamp") + F.make_dt_interval(mins=(F.col("p_partkey") * 37 % 5000).cast("int"))
+    id_ = padded_id("P", "p_partkey").alias("product_id")
+    listed = part.select(id_, first.alias("valid_from"), F.upper("p_brand").alias("category"))
+    typed = part.select(id_, (first + F.make_dt_interval(days=F.lit(10))).alias("valid_from"), F.upper("p_type").alias("category"))
+    dropped = part.filter(F.col("p_partkey") % 5 == 0)
+    gone = dropped.select(id_, (first + F.make_dt_interval(days=F.lit(16))).alias("valid_from"), F.lit(None).cast("string").alias("category"))
+    return listed.unionByName(typed).unionByName(gone)
+
+
 def shop_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``user_id, product_id, category, event_type, timestamp``."""
     events = uncategorized_events(spark, sf_dir)
