@@ -164,6 +164,40 @@ anomalies AS (
 )"""
 
 
+SESSIONS = """
+starts AS (
+    SELECT *, CASE WHEN "timestamp" <= lag("timestamp") OVER (PARTITION BY user_id ORDER BY "timestamp") + INTERVAL '6 hours'
+                   THEN 0 ELSE 1 END AS first
+    FROM shop WHERE user_id IS NOT NULL
+),
+numbered AS (
+    SELECT *, sum(first) OVER (PARTITION BY user_id ORDER BY "timestamp" RANGE UNBOUNDED PRECEDING) AS session FROM starts
+),
+sessions AS (
+    SELECT min("timestamp") AS session_start, max("timestamp") + INTERVAL '6 hours' AS session_end, user_id, count(*) AS events,
+           CAST(count_if(event_type = 'view') AS BIGINT) AS views,
+           CAST(count_if(event_type = 'purchase') AS BIGINT) AS purchases,
+           CAST(count_if(event_type = 'add_to_cart') AS BIGINT) AS cart_adds
+    FROM numbered GROUP BY user_id, session
+),
+labelled AS (
+    SELECT *, CASE WHEN purchases >= 1 THEN 'Buyer' WHEN cart_adds >= 1 THEN 'Cart_Abandoner'
+                   WHEN views > 0 THEN 'Window_Shopper' ELSE 'Unknown' END AS segment
+    FROM sessions
+)"""
+
+GRAINS = """
+grains AS (
+    SELECT CASE grouping(day, category, product_id) WHEN 1 THEN 'event_date,category' WHEN 3 THEN 'event_date'
+                WHEN 5 THEN 'category' WHEN 6 THEN 'product_id' ELSE 'total' END AS grain,
+           CAST(day AS VARCHAR) AS event_date, category, product_id, count(*) AS events,
+           CAST(count_if(event_type = 'view') AS BIGINT) AS views,
+           CAST(count_if(event_type = 'purchase') AS BIGINT) AS purchases,
+           CAST(count_if(event_type = 'add_to_cart') AS BIGINT) AS cart_adds
+    FROM (SELECT *, CAST("timestamp" AS DATE) AS day FROM shop)
+    GROUP BY GROUPING SETS ((day, category), (day), (category), (product_id), ())
+)"""
+
 FOLLOWED = """
 followed AS (
     SELECT v.user_id, v.product_id, v.category, v."timestamp" AS viewed_at, v.carted_at,
@@ -305,6 +339,13 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT *, round(carted::DOUBLE / views, 4) AS cart_rate, round(purchased::DOUBLE / views, 4) AS purchase_rate FROM ("
         "SELECT category, count(*) AS views, count(carted_at) AS carted, count(purchased_at) AS purchased "
         "FROM followed GROUP BY category)", FOLLOWED),
+    "user_sessions": _q("SELECT * FROM labelled", SESSIONS),
+    "stream_user_sessions": _q("SELECT * FROM labelled WHERE " + CLOSED.replace("window_end", "session_end"), SESSIONS),
+    "report_grains": _q(
+        "SELECT *, CASE WHEN views > 0 THEN round(CAST(purchases AS DOUBLE) / views, 4) ELSE 0.0 END AS conversion_rate, "
+        "CASE WHEN cart_adds > 0 THEN round(CAST(purchases AS DOUBLE) / cart_adds, 4) ELSE 0.0 END AS cart_to_purchase_rate "
+        "FROM grains", GRAINS),
+    "incremental_report": _q("SELECT * FROM report", FUNNEL, REPORT),
     "hot_products": _q("SELECT * FROM alerts", ALERTS),
     "stream_hot_products": _q(f"SELECT * FROM alerts WHERE {CLOSED}", ALERTS),
     "stream_repaired_metrics": _q(

@@ -60,11 +60,14 @@ from basketry.operators import (
 )
 from basketry.operators.anomalies import AnomalyRule, product_counts, window_anomalies
 from basketry.operators.as_of import catalog_as_of
+from basketry.operators.grains import partial_counts, report_grains
 from basketry.operators.hot_products import hot_products, product_sketches
 from basketry.operators.ordered_funnel import follow_views, ordered_funnel
+from basketry.operators.sessions import user_sessions
 from basketry.operators.vocab import ADD_TO_CART, PURCHASE, VIEW
-from basketry.session import fresh_dir
-from basketry.sinks.writers import write_csv
+from basketry.plans.incremental import incremental_report_job
+from basketry.session import fresh_dir, written
+from basketry.sinks.writers import write_csv, write_raw_events
 from basketry.sources.files import (
     read_catalog_csv,
     read_csv_report,
@@ -98,6 +101,7 @@ from basketry.streaming.jobs import (
     start_product_metrics,
     start_product_sketches,
     start_raw_ingest,
+    start_user_sessions,
     stop_all,
 )
 from basketry.streaming.repair import repaired_metrics, start_window_repair
@@ -110,6 +114,9 @@ ALERT_THRESHOLD = 5
 METRICS_WINDOW = "5 minutes"
 # A user sees a product again within days, not minutes.
 FUNNEL_HORIZON = "10 days"
+# Users come by a few times a day here.
+SESSION_GAP = "6 hours"
+REPORT_GRAINS = (("event_date", "category"), ("event_date",), ("category",), ("product_id",), ())
 HOT_TRACKED = 64
 # Raw has many small files here.
 REPAIR_FILES = 400
@@ -443,6 +450,34 @@ def q_follow_views(spark, sf_dir):
     return _portable(follow_views(_events(spark, sf_dir), FUNNEL_HORIZON))
 
 
+def q_user_sessions(spark, sf_dir):
+    return _portable(user_sessions(_events(spark, sf_dir), SESSION_GAP))
+
+
+def q_stream_user_sessions(spark, sf_dir):
+    base = fresh_dir(spark, "stream")
+
+    def start(events, base_dir, settings, name):
+        return start_user_sessions(events, base_dir, settings, SESSION_GAP, name)
+
+    _run_stream(start, _stream_events(spark, sf_dir), base, _AVAILABLE_NOW)
+    return _portable(read_parquet_dataset(spark, layout(base)["sessions"], schemas.USER_SESSION))
+
+
+def q_report_grains(spark, sf_dir):
+    return _portable(report_grains(written(partial_counts(_events(spark, sf_dir)), "partials"), REPORT_GRAINS))
+
+
+def q_incremental_report(spark, sf_dir):
+    # Raw grows in three steps: older days, newer days, and rows that change older days.
+    base, events = fresh_dir(spark, "incremental"), _events(spark, sf_dir)
+    cutoff, late = F.lit(UNION_CUTOFF).cast("timestamp"), F.col("user_id").like("%7")
+    for part in ((F.col("timestamp") < cutoff) & ~late, F.col("timestamp") >= cutoff, (F.col("timestamp") < cutoff) & late):
+        write_raw_events(events.filter(part), layout(base)["raw"], mode="append")
+        report = incremental_report_job(spark, base)
+    return report
+
+
 def q_hot_products(spark, sf_dir):
     # Few counters: some days are counted from candidates, some whole.
     events = _events(spark, sf_dir)
@@ -591,6 +626,9 @@ _QUERIES: dict[str, Query] = {
     "window_category_rates": q_window_category_rates,
     "window_anomalies": q_window_anomalies,
     "hot_products": q_hot_products,
+    "user_sessions": q_user_sessions,
+    "report_grains": q_report_grains,
+    "incremental_report": q_incremental_report,
     "catalog_as_of": q_catalog_as_of,
     "ordered_funnel": q_ordered_funnel,
     "follow_views": q_follow_views,
@@ -609,6 +647,7 @@ _QUERIES: dict[str, Query] = {
     "stream_anomaly_alerts": q_stream_anomaly_alerts,
     "stream_hot_products": q_stream_hot_products,
     "stream_repeated_metrics": q_stream_repeated_metrics,
+    "stream_user_sessions": q_stream_user_sessions,
     "stream_repaired_metrics": q_stream_repaired_metrics,
     "stream_catalog_enrich": q_stream_catalog_enrich,
     "stream_disordered_raw": q_stream_disordered_raw,

@@ -71,6 +71,17 @@ PRODUCT_ALERT = _struct(
     ("event_count", LongType()),
 )
 
+USER_SESSION = _struct(
+    ("session_start", TimestampType()),
+    ("session_end", TimestampType()),
+    ("user_id", StringType()),
+    ("events", LongType()),
+    ("views", LongType()),
+    ("purchases", LongType()),
+    ("cart_adds", LongType()),
+    ("segment", StringType()),
+)
+
 PRODUCT_SKETCH = _struct(
     ("window_start", TimestampType()),
     ("window_end", TimestampType()),

@@ -25,6 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from basketry.operators.catalog import enrich_with_catalog
 from basketry.operators.hot_products import TRACKED, product_sketches
 from basketry.operators.repeats import drop_repeats
+from basketry.operators.sessions import user_sessions
 from basketry.operators.windows import (
     category_window_metrics,
     product_alerts,
@@ -69,6 +70,7 @@ def layout(base_dir: str) -> dict[str, str]:
         "alerts": f"{base}/alerts",
         "anomalies": f"{base}/processed/anomalies",
         "product_sketches": f"{base}/processed/product_sketches",
+        "sessions": f"{base}/processed/sessions",
         "checkpoints": f"{base}/checkpoints",
     }
 
@@ -147,6 +149,14 @@ def start_product_sketches(events: DataFrame, base_dir: str, settings: StreamSet
                         name, settings.trigger)
 
 
+def start_user_sessions(events: DataFrame, base_dir: str, settings: StreamSettings, gap: str = "30 minutes",
+                        name: str = "sessions") -> StreamingQuery:
+    """Users' sessions, each written once when the watermark has passed its end."""
+    paths = layout(base_dir)
+    return start_output(user_sessions(timed_events(events, settings), gap), "parquet", paths["sessions"],
+                        f"{paths['checkpoints']}/sessions", name, settings.trigger)
+
+
 def start_all(messages: DataFrame, base_dir: str, settings: StreamSettings | None = None,
               catalog: DataFrame | None = None, name_prefix: str = "") -> list[StreamingQuery]:
     """Decode a message stream (``value`` column) and start all four
