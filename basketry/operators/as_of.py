@@ -47,7 +47,7 @@ def catalog_as_of(
     lookup = F.col("product_id").isNotNull() & F.col("micros").isNotNull()
 
     steps = versions.filter(F.col("product_id").isNotNull() & F.col("valid_from").isNotNull())
-    steps = steps.groupBy("product_id", F.unix_micros("valid_from").alias("micros")).agg(F.max("category").alias("category"))
+    steps = steps.groupBy("product_id", F.unix_micros("valid_from").alias("micros")).agg(F.array_max(F.collect_set("category")).alias("category"))
     steps = steps.select("product_id", "micros", F.struct("category").alias("version"))
 
     # What a (product, slice) starts with: by product, its versions and slices in order (no events).
