@@ -24,9 +24,13 @@ def planned_bytes(dim: DataFrame) -> int:
     return int(str(dim._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+#: For file sources the optimizer's size is that of the compressed files; in memory it may be several times that.
+FILE_EXPANSION = 8
+
+
 def fits_broadcast(dim: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
-    """Whether ``dim`` may be sent to every executor."""
-    return planned_bytes(dim) <= max_bytes
+    """Whether ``dim`` may be sent to every executor: ``max_bytes`` in memory, allowing for compressed files."""
+    return planned_bytes(dim) * FILE_EXPANSION <= max_bytes
 
 
 def salted_left_join(facts: DataFrame, dim: DataFrame, key: str, buckets: int = SALT_BUCKETS) -> DataFrame:

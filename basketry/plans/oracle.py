@@ -339,6 +339,14 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT *, round(carted::DOUBLE / views, 4) AS cart_rate, round(purchased::DOUBLE / views, 4) AS purchase_rate FROM ("
         "SELECT category, count(*) AS views, count(carted_at) AS carted, count(purchased_at) AS purchased "
         "FROM followed GROUP BY category)", FOLLOWED),
+    "stream_restarted_ingest": _q(RAW),
+    "tolerant_scan": _q('SELECT CAST(CAST("timestamp" AS DATE) AS VARCHAR) AS event_date, count(*) AS events FROM shop GROUP BY 1'),
+    "missing_input_report": _q("SELECT *, 'raw' AS source FROM report", FUNNEL, REPORT),
+    "job_quiet_day": _q(
+        f"SELECT segment, count(*) AS users, '{AS_OF}' AS day FROM segments GROUP BY segment "
+        f"UNION ALL SELECT 'report lines', 4 + 4 * count(*), '{AS_OF}' FROM top "
+        "UNION ALL SELECT 'report lines', 0, '2031-01-01'", DAILY, USER_COUNTS, TOP),
+    "segments_today": _q("SELECT * FROM segments", DAILY, USER_COUNTS),
     "user_sessions": _q("SELECT * FROM labelled", SESSIONS),
     "stream_user_sessions": _q("SELECT * FROM labelled WHERE " + CLOSED.replace("window_end", "session_end"), SESSIONS),
     "report_grains": _q(

@@ -18,7 +18,9 @@ engines and their client libraries.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -108,6 +110,7 @@ from basketry.streaming.repair import repaired_metrics, start_window_repair
 
 # Fixed parameters of the registered queries.
 AS_OF = "2024-01-30"
+QUIET_DAY = "2031-01-01"
 UNION_CUTOFF = "2024-01-16"
 ALERT_WINDOW = "1 day"
 ALERT_THRESHOLD = 5
@@ -532,6 +535,23 @@ def q_stream_disordered_metrics(spark, sf_dir):
     return _portable(read_parquet_dataset(spark, layout(base)["category_metrics"], schemas.CATEGORY_WINDOW_METRICS))
 
 
+def q_stream_restarted_ingest(spark, sf_dir):
+    # Stopped between batches, then started again on its checkpoint: every message once.
+    base, messages = fresh_dir(spark, "stream"), _stream_events(spark, sf_dir)
+    settings = StreamSettings(**{**_AVAILABLE_NOW.__dict__, "trigger": {"processingTime": "0 seconds"}})
+    query = start_raw_ingest(messages, base, settings, name=f"first-run-{base.rsplit('-', 1)[-1]}")
+    deadline = time.monotonic() + 120
+    try:
+        while query.exception() is None and time.monotonic() < deadline:
+            if sum(p["numInputRows"] > 0 for p in query.recentProgress) >= 2:
+                break
+            time.sleep(0.1)
+    finally:
+        stop_all([query])
+    _run_stream(start_raw_ingest, messages, base, _AVAILABLE_NOW)
+    return _raw_columns(read_raw_events(spark, layout(base)["raw"], missing_ok=False))
+
+
 def q_stream_catalog_enrich(spark, sf_dir):
     # Messages without a category; the stream looks it up in the catalog
     # (stream-static join) before writing raw.
@@ -575,6 +595,40 @@ def q_job_category_conversion(spark, sf_dir):
     return jobs.category_conversion_job(spark, base, reports_to=fresh_dir(spark, "reports"))
 
 
+def q_tolerant_scan(spark, sf_dir):
+    # Raw with a file that is no Parquet: skipped, its neighbours are read.
+    path = fresh_dir(spark, "damaged")
+    write_raw_events(_events(spark, sf_dir), path, mode="overwrite")
+    junk = spark.range(1).select(F.lit("no parquet").alias("value"))
+    junk.coalesce(1).write.text(f"{path}/event_date={AS_OF}/category=DAMAGED")
+    return _portable(events_by_date(read_raw_events(spark, path, tolerant=True, missing_ok=False).filter("timestamp is not null")))
+
+
+def q_missing_input_report(spark, sf_dir):
+    # Nothing has been ingested below the second folder: its report is empty, and typed like the first.
+    reports = [("raw", _events(spark, sf_dir)), ("missing", read_raw_events(spark, f"{fresh_dir(spark, 'nowhere')}/raw"))]
+    return reduce(DataFrame.unionByName, [conversion_report(e, ordered=False).withColumn("source", F.lit(name)) for name, e in reports])
+
+
+def q_quiet_day_jobs(spark, sf_dir):
+    # A day without events ends quietly, with no rows and no files in place of a report.
+    base, found = _stream_outputs(spark, sf_dir), []
+    for day in (AS_OF, QUIET_DAY):
+        to = fresh_dir(spark, "reports")
+        segments = jobs.user_segmentation_job(spark, base, day, reports_to=to).select("segment", "users")
+        lines = jobs.top_products_job(spark, base, day, TOP_K, reports_to=to).agg(F.count(F.lit(1)).alias("users"))
+        both = segments.unionByName(lines.select(F.lit("report lines").alias("segment"), "users"))
+        found.append(both.withColumn("day", F.lit(day)))
+    return found[0].unionByName(found[1])
+
+
+def q_segments_today(spark, sf_dir):
+    # The last day of data moved to today: the jobs' default day.
+    days = F.datediff(F.current_date(), F.lit(AS_OF).cast("date"))
+    moved = _events(spark, sf_dir).drop("event_date").withColumn("timestamp", F.col("timestamp") + F.make_dt_interval(days=days))
+    return user_segments(daily_events(moved))
+
+
 def q_output_audit(spark, sf_dir):
     # Audit the stream outputs the job queries read. How many files and bytes
     # they take depends on the writers; that there are some does not.
@@ -658,6 +712,11 @@ _QUERIES: dict[str, Query] = {
     "job_top_products": q_job_top_products,
     "job_category_conversion": q_job_category_conversion,
     "report_validation": q_report_validation,
+    "stream_restarted_ingest": q_stream_restarted_ingest,
+    "tolerant_scan": q_tolerant_scan,
+    "missing_input_report": q_missing_input_report,
+    "job_quiet_day": q_quiet_day_jobs,
+    "segments_today": q_segments_today,
 }
 
 QUERIES: dict[str, Query] = {name: _in_utc(fn) for name, fn in _QUERIES.items()}
