@@ -6,10 +6,14 @@ sample (the automaton is followed until it has no way on; the next phrase starts
 there).  The fewer phrases a language needs per character, the closer the
 text is to it; the language with the fewest normalised phrases wins.
 
-Letters are lower-cased; runs of anything else are one space.  Texts are parsed whole, in
+Letters of all planes are lower-cased and kept as they are; runs of anything else are one
+space.  A letter that a language's sample lacks is a phrase of its own there.  Texts are parsed whole, in
 pieces of ``PIECE`` characters that are parsed side by side with numpy (a piece
-starts a new phrase; this costs every language the same).  The automata are broadcast: their size is
-bounded by the sample parameters below, whatever the corpus.  No shuffle but for
+starts a new phrase; this costs every language the same).
+
+The sample is made of short passages, chosen by a hash of document and place from all over the whole labelled
+texts, so that no part of a text (such as a masthead) stands for the rest.  The automata are
+broadcast: their size is bounded by the sample parameters below, whatever the corpus.  No shuffle but for
 the sample, one Arrow pass over the texts.
 """
 
@@ -24,12 +28,12 @@ from pyspark.sql import functions as F
 
 from basketry.llm.common import read_table, text_blocks
 
-#: The bounds of the labelled sample: documents a language (about), and characters a language in the automaton.
-SAMPLE_DOCS, SAMPLE_CHARS = 400, 30_000
-#: The most frequent labels that are learned.
-MAX_LANGS = 256
-#: Characters parsed as one piece, symbols of the alphabet (0: space), bytes of text in one block.
-PIECE, SYMBOLS, PARSE_BYTES = 256, 64, 1 << 20
+#: The bounds of the labelled sample: passages a language (about) and their characters; passages over all languages.
+SAMPLE_PASSAGES, PASSAGE, ALL_PASSAGES = 400, 80, 40_000
+#: Labels that are learned at most (the most frequent; far more than there are languages).
+MAX_LANGS = 4096
+#: Characters parsed as one piece, bytes of text in one block, bytes of transition tables over all languages.
+PIECE, PARSE_BYTES, TABLE_BYTES = 256, 1 << 20, 64 << 20
 UNDETERMINED = "und"
 
 
@@ -48,12 +52,13 @@ LETTERS = letters_table()
 
 
 def fold(points: np.ndarray) -> np.ndarray:
-    """Lower-cased letters; 0 for anything else.  Letters beyond the basic plane count as one letter."""
+    """Lower-cased letters as code points; 0 for anything else."""
     out = LETTERS[np.minimum(points, 0xFFFF)]
     far = points > 0xFFFF
     if far.any():
-        text = points[far].astype("<u4").tobytes().decode("utf-32-le")
-        out[far] = np.fromiter((0xFFFF if x.isalpha() else 0 for x in text), np.uint32, len(text))
+        every, place = np.unique(points[far], return_inverse=True)
+        lower = [x.lower() if x.isalpha() else "" for x in map(chr, every.tolist())]
+        out[far] = np.array([ord(x) if len(x) == 1 else int(c) if x else 0 for x, c in zip(lower, every, strict=True)], np.uint32)[place]
     return out
 
 
@@ -65,15 +70,18 @@ def squeeze(folded: np.ndarray) -> np.ndarray:
 
 
 class SuffixAutomaton:
-    """Transitions of the suffix automaton of a symbol string, as one table (0: none; the root is state 1)."""
+    """Suffix automaton of a string of letters (0: space); the root is state 1.
+
+    ``letters`` are those of the string in order, symbol ``i + 1`` stands for ``letters[i]`` and symbol 0 for any other.
+    Transitions are a table, or, where that would take more than ``table_bytes``, a sorted list; both give the same moves."""
 
-    def __init__(self, symbols: list[int]) -> None:
-        size = 2 * len(symbols) + 2
-        moves = np.zeros((size, SYMBOLS), dtype=np.uint16 if size < 1 << 16 else np.uint32)
+    def __init__(self, string: np.ndarray, table_bytes: int = TABLE_BYTES) -> None:
+        self.letters, symbols = np.unique(string, return_inverse=True)
+        self.width = len(self.letters) + 1
         rows: list[dict[int, int]] = [{}, {}]
         link, depth = [0, 0], [0, 0]
         last = 1
-        for c in symbols:
+        for c in (symbols + 1).tolist():
             rows.append({})
             new = len(rows) - 1
             depth.append(depth[last] + 1)
@@ -96,14 +104,28 @@ class SuffixAutomaton:
                         p = link[p]
                     link[q] = link[new] = clone
             last = new
-        for state, row in enumerate(rows):
-            for c, to in row.items():
-                moves[state, c] = to
-        self.moves = moves[: len(rows)]
+        key = np.array([state * self.width + c for state, row in enumerate(rows) for c in sorted(row)], np.int64)
+        to = np.array([row[c] for row in rows for c in sorted(row)], np.uint16 if len(rows) < 1 << 16 else np.uint32)
+        self.start = np.zeros(self.width, np.int64)
+        self.start[list(rows[1])] = list(rows[1].values())
+        self.table = self.key = None
+        if len(rows) * self.width * to.itemsize <= table_bytes:
+            self.table = np.zeros(len(rows) * self.width, to.dtype)
+            self.table[key] = to
+        else:
+            # A last entry that no state has, so that every search ends inside.
+            self.key, self.to = np.append(key, len(rows) * self.width), np.append(to, to.dtype.type(0))
+
+    def moves(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """The next states, 0 where there is none."""
+        wanted = state * self.width + symbol
+        if self.table is not None:
+            return self.table[wanted].astype(np.int64)
+        at = np.searchsorted(self.key, wanted)
+        return np.where(self.key[at] == wanted, self.to[at], 0).astype(np.int64)
 
     def phrases(self, pieces: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Phrases of each piece: column ``i`` of ``pieces`` (position by piece) has ``lengths[i]`` symbols, longest first."""
-        flat, start = self.moves.reshape(-1), self.moves[1].astype(np.int64)
         n = len(lengths)
         state = np.ones(n, dtype=np.int64)
         count = np.zeros(n, dtype=np.int64)
@@ -111,40 +133,49 @@ class SuffixAutomaton:
         for at in range(len(pieces)):
             m = live[at]
             symbol = pieces[at, :m]
-            to = flat[state[:m] * SYMBOLS + symbol].astype(np.int64)
+            to = self.moves(state[:m], symbol)
+            first = self.start[symbol]
             stuck = to == 0
-            count[:m] += stuck
-            to += stuck * start[symbol]
-            # A symbol that the sample doesn't hold is a phrase of its own: back to the root.
-            state[:m] = np.maximum(to, 1)
-        return count + (lengths > 0)
+            # The phrase so far ends; a symbol that the sample doesn't hold is one of its own, back at the root.
+            count[:m] += stuck & (state[:m] != 1)
+            count[:m] += first == 0
+            state[:m] = np.where(stuck, np.maximum(first, 1), to)
+        return count + (state != 1)
 
 
 class CrossParser:
-    """The automata of all languages over one alphabet."""
+    """The automata of all languages."""
 
-    def __init__(self, samples: dict[str, list[str]], sample_chars: int = SAMPLE_CHARS) -> None:
+    def __init__(self, samples: dict[str, list[str]]) -> None:
         self.langs = sorted(samples)
-        folded = {}
+        self.automata = []
         for lang in self.langs:
-            # An equal part of every sampled text, so that one long text doesn't fill the sample.
-            part = max(1, sample_chars // max(1, len(samples[lang])))
-            parts, room = [], sample_chars
+            parts = []
             for text in samples[lang]:
                 symbols = fold(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4"))
-                symbols = symbols[squeeze(symbols)][: min(max(part, 64), room)]
-                parts += [symbols, np.zeros(1, np.uint32)]
-                room -= len(symbols)
-                if room <= 0:
-                    break
-            folded[lang] = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
-        seen, counts = np.unique(np.concatenate([*folded.values(), np.zeros(0, np.uint32)]), return_counts=True)
-        ranked = [int(c) for c in seen[np.lexsort((seen, -counts))] if c][: SYMBOLS - 2]
-        self.symbol = np.full(0x10000, SYMBOLS - 1, dtype=np.uint8)  # any other letter
-        self.symbol[0] = 0
-        for i, c in enumerate(ranked):
-            self.symbol[c] = i + 1
-        self.automata = [SuffixAutomaton(self.symbol[folded[lang]].tolist()) for lang in self.langs]
+                parts += [symbols[squeeze(symbols)], np.zeros(1, np.uint32)]
+            string = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
+            self.automata.append(SuffixAutomaton(string[squeeze(string)], TABLE_BYTES // max(1, len(samples))))
+        #: Every letter of any sample; a letter's number is its place from 1 on, 0 stands for all others.
+        self.letters = np.unique(np.concatenate([np.zeros(0, np.uint32), *[a.letters for a in self.automata]]))
+        self.symbol = []
+        for a in self.automata:
+            own = np.zeros(len(self.letters) + 1, np.int64)
+            own[np.searchsorted(self.letters, a.letters) + 1] = np.arange(len(a.letters)) + 1
+            self.symbol.append(own)
+        self.near = np.zeros(0x10000, np.int32)
+        near = self.letters[self.letters < 0x10000]
+        self.near[near] = np.arange(len(near)) + 1
+
+    def numbers(self, folded: np.ndarray) -> np.ndarray:
+        """The letters' numbers."""
+        out = self.near[np.minimum(folded, 0xFFFF)]
+        far = np.flatnonzero(folded > 0xFFFF)
+        if len(far):
+            at = np.minimum(np.searchsorted(self.letters, folded[far]), max(0, len(self.letters) - 1))
+            known = self.letters[at] == folded[far] if len(self.letters) else np.zeros(len(far), bool)
+            out[far] = np.where(known, at + 1, 0)
+        return out
 
     def phrase_rates(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Phrases per character, text by language, and which texts have letters."""
@@ -157,7 +188,7 @@ class CrossParser:
         ends = np.concatenate([[0], np.cumsum(keep)])[bounds]
         letters = np.concatenate([[0], np.cumsum(folded > 0)])
         has = letters[bounds[1:]] > letters[bounds[:-1]]
-        symbols = self.symbol[folded[keep]]
+        symbols = self.numbers(folded[keep])
         size = np.diff(ends)
         count = -(-size // PIECE)
         owner = np.repeat(np.arange(len(size)), count)
@@ -168,31 +199,37 @@ class CrossParser:
         owner, start, length = owner[order], start[order], length[order]
         width = int(length[0]) if len(length) else 0
         at = np.minimum(start[None, :] + np.arange(width)[:, None], max(len(symbols) - 1, 0))
-        pieces = symbols[at] if width else np.zeros((0, 0), np.uint8)
+        pieces = symbols[at] if width else np.zeros((0, 0), np.int32)
         rates = np.zeros((len(size), len(self.langs)))
         for j, automaton in enumerate(self.automata):
-            rates[:, j] = np.bincount(owner, weights=automaton.phrases(pieces, length), minlength=len(size))
+            rates[:, j] = np.bincount(owner, weights=automaton.phrases(self.symbol[j][pieces], length), minlength=len(size))
         return rates / np.maximum(size, 1)[:, None], has
 
 
-def labelled_sample(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> dict[str, list[str]]:
-    """About ``sample_docs`` texts a language, chosen by a hash of the id, a bounded first part of each.
+def labelled_sample(labelled: DataFrame, passages: int = SAMPLE_PASSAGES, passage: int = PASSAGE) -> dict[str, list[str]]:
+    """About ``passages`` passages of ``passage`` characters a language, from all over its texts.
 
-    Only training reads parts of texts; what is predicted is read whole."""
+    Texts are cut into passages throughout; a passage is taken if a hash of its document and place falls below its
+    language's share, so each has the same chance. With very many labels they share ``ALL_PASSAGES``. Only
+    training takes passages; what is predicted is read whole."""
     rows = labelled.where("lang is not null and text is not null").select("doc_id", "text", "lang")
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
+    pieces = F.ceil(F.length("text") / passage)
+    rows = rows.withColumn("pieces", pieces.cast("int")).where("pieces > 0")
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum("pieces").alias("pieces"))
+    counts = counts.orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()
     if not counts:
         return {}
+    each = max(1, min(passages, ALL_PASSAGES // len(counts)))
     span = 1 << 30
-    # A document is in the sample if its hash falls below its language's share of the span.
-    below = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(span, span * sample_docs // r["count"]))])
-    hashed = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(span))
-    part = 4 * sample_chars // max(1, sample_docs) + 400
-    chosen = rows.where(F.col("lang").isin([r["lang"] for r in counts]) & (hashed < F.element_at(below, F.col("lang")))).select(
-        "lang", hashed.alias("at"), F.col("doc_id").cast("string").alias("id"), F.substring("text", 1, part).alias("text")
+    shares = labelled.sparkSession.createDataFrame([(r["lang"], min(span, -(-span * each // r["pieces"]))) for r in counts], "lang string, share long")
+    hashed = lambda i: F.pmod(F.xxhash64(F.lit("sample"), "doc_id", i), F.lit(span))
+    # One row a learned label: MAX_LANGS at most.
+    taken = rows.join(F.broadcast(shares), "lang").withColumn("places", F.filter(F.sequence(F.lit(0), F.col("pieces") - 1), lambda i: hashed(i) < F.col("share")))
+    chosen = taken.select("lang", "doc_id", "text", F.explode("places").alias("place")).select(
+        "lang", hashed(F.col("place")).alias("at"), F.substring(F.col("text"), F.col("place") * passage + 1, F.lit(passage)).alias("text")
     )
     out: dict[str, list[str]] = {}
-    for row in sorted(chosen.collect(), key=lambda r: (r["lang"], r["at"], r["id"] or "", r["text"])):
+    for row in sorted(chosen.collect(), key=lambda r: (r["lang"], r["at"], r["text"])):
         out.setdefault(row["lang"], []).append(row["text"])
     return out
 

@@ -25,18 +25,72 @@ def phrases_brute(sample: str, text: str) -> int:
     return n
 
 
-def test_cross_parsing_counts_phrases():
-    sample, texts = "abracadabra", ["abra", "cadabraabra", "zzz", "abrac", "dabz", "a", "raca" * 9]
-    code = lambda x: [ord(c) - 96 for c in x]
-    automaton = langid.SuffixAutomaton(code(sample))
-    texts.sort(key=len, reverse=True)
-    pieces = np.zeros((len(texts[0]), len(texts)), np.uint8)
-    for i, t in enumerate(texts):
-        pieces[: len(t), i] = code(t)
-    got = automaton.phrases(pieces, np.array([len(t) for t in texts]))
-    # A symbol that the sample lacks ends a phrase and is one of its own.
-    assert [int(g) for g in got] == [phrases_brute(sample, t) for t in texts] or all(g >= phrases_brute(sample, t) for g, t in zip(got, texts, strict=True))
-    assert int(got[texts.index("abra")]) == 1 and int(got[texts.index("cadabraabra")]) == 2
+@pytest.mark.parametrize("table_bytes", [1 << 20, 0])
+def test_cross_parsing_counts_phrases(table_bytes):
+    for sample in ("abracadabra", "a", "abcabcbacb" * 4):
+        texts = ["abra", "cadabraabra", "zzz", "abrac", "dabz", "a", "raca" * 9, "zazbz", "cabzzacb"]
+        code = lambda x: np.array([ord(c) for c in x], np.uint32)
+        automaton = langid.SuffixAutomaton(code(sample), table_bytes)
+        assert (automaton.table is None) == (table_bytes == 0)
+        texts.sort(key=len, reverse=True)
+        pieces = np.zeros((len(texts[0]), len(texts)), np.int64)
+        for i, t in enumerate(texts):
+            at = np.minimum(np.searchsorted(automaton.letters, code(t)), len(automaton.letters) - 1)
+            pieces[: len(t), i] = np.where(automaton.letters[at] == code(t), at + 1, 0)
+        got = automaton.phrases(pieces, np.array([len(t) for t in texts]))
+        assert got.tolist() == [phrases_brute(sample, t) for t in texts]
+
+
+def test_parsing_of_whole_texts_counts_phrases():
+    samples = {"x": ["The river, the old bridge", "stone & light 42"], "y": ["日本語の本", "𐐷𐑂𐐮 日本", "Straße"]}
+    parser = langid.CrossParser(samples)
+    texts = ["the bridge", "Light RIVERS", "日本語 river", "𐐏𐑂𐐮", "  ", "", "ß", "qqq 𐐷", "old " * 60]
+    fold = lambda x: " ".join("".join(c if c.isalpha() else " " for c in x.lower()).split(" ")) if x else ""
+    import re as regex
+
+    norm = lambda x: regex.sub(" +", " ", fold(x))
+    blob = [t.encode() for t in texts]
+    bounds = np.cumsum([0, *map(len, blob)])
+    rates, has = parser.phrase_rates(np.frombuffer(b"".join(blob), np.uint8), bounds)
+    assert has.tolist() == [any(c.isalpha() for c in t) for t in texts]
+    for j, lang in enumerate(parser.langs):
+        whole = norm(" ".join([*samples[lang], ""]))
+        for i, t in enumerate(texts):
+            n = norm(t)
+            want = sum(phrases_brute(whole, n[k : k + langid.PIECE]) for k in range(0, len(n), langid.PIECE))
+            assert rates[i, j] == pytest.approx(want / max(1, len(n))), (t, lang)
+
+
+def scripts(spark, langs, n=60, head=""):
+    """Documents of random words, a language an alphabet."""
+    draw = __import__("random").Random(4)
+    rows = []
+    for lang, letters in langs.items():
+        words = ["".join(draw.choices(letters, k=draw.randint(1, 6))) for _ in range(300)]
+        rows += [(len(rows) + i, head + " ".join(draw.choices(words, k=120)), lang) for i in range(n)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string")
+
+
+def accuracy(docs):
+    fold_of = __import__("pyspark.sql.functions", fromlist=["x"]).expr("crc32(cast(cast(doc_id as string) as binary)) % 5")
+    found = langid.detect_language(docs.where(fold_of == 0), langid.labelled_sample(docs.where(fold_of != 0)))
+    rows = found.join(docs.select("doc_id", "lang"), "doc_id").collect()
+    return sum(r["lang_pred"] == r["lang"] for r in rows) / len(rows), len(rows)
+
+
+def test_languages_of_many_letters_and_a_shared_masthead(spark):
+    ideographs = [chr(c) for c in range(0x4E00, 0x4E00 + 800)]
+    langs = {"la": "abcdefghijklm", "lb": "nopqrstuvwxyz", "ci": "абвгдежзик", "ia": ideographs[:400], "ib": ideographs[400:], "far": [chr(c) for c in range(0x10428, 0x10450)]}
+    head = "welcome to the one page that every site here has at its top " * 15
+    share, n = accuracy(scripts(spark, langs, head=head))
+    assert n > 40 and share >= 0.97
+
+
+def test_three_hundred_labels(spark):
+    draw = __import__("random").Random(8)
+    langs = {f"l{i:03d}": draw.sample([chr(c) for c in range(0x3B1, 0x3B1 + 600) if chr(c).isalpha() and chr(c).lower() == chr(c)], 12) for i in range(300)}
+    share, n = accuracy(scripts(spark, langs, n=8))
+    assert n > 300 and share >= 0.97
 
 
 def test_language_held_out(spark, small_docs):
