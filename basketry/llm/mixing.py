@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 
 from basketry.llm.common import WORD_PATTERN, materialize, read_table, small_side
 
+#: The places between a word and the white space after it.
+AFTER_WORD = r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])"
 #: Documents in a sampling bucket, on average.
 BUCKET_DOCS = 256
 
@@ -111,8 +113,8 @@ def mix_sources(
 def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     """The documents themselves, repeated as the mix takes them, with the columns of ``docs``; those without words aren't taken.
 
-    A row appears ``whole`` times, once more for a full ``extra``, and once with its first
-    ``extra`` words if the extra is a part (``n_chars`` follows if present).  Rows with equal ``doc_id``, source and size
+    A row appears ``whole`` times, once more for a full ``extra``, and once with its text up to its
+    ``extra``-th word, white space as it stands, if the extra is a part (``n_chars`` follows if present).  Rows with equal ``doc_id``, source and size
     get the same number of repetitions (the least)."""
     taken = (
         mix_sources(docs, **settings)
@@ -133,8 +135,9 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", F.col("source").alias("own_source"), word_count(F.col("text")).alias("words"))
     same = F.col("doc_id").eqNullSafe(F.col("mix_id")) & F.col("own_source").eqNullSafe(F.col("mix_source")) & (F.col("words") == F.col("size"))
     out = rows.join(small_side(taken, 64), same).select("row", F.explode(copies).alias("copy"))
-    words = F.regexp_extract_all("row.text", F.lit(f"({WORD_PATTERN})"))
-    part = F.array_join(F.slice(words, 1, F.greatest(F.col("copy"), F.lit(1)).cast("int")), " ")
+    # Cut after each word: pieces are a word with the white space before it.
+    words = F.split("row.text", AFTER_WORD)
+    part = F.array_join(F.slice(words, 1, F.greatest(F.col("copy"), F.lit(1)).cast("int")), "")
     row = F.col("row").withField("text", part)
     if "n_chars" in docs.columns:
         row = row.withField("n_chars", F.length(part).cast(docs.schema["n_chars"].dataType))

@@ -50,6 +50,15 @@ def test_documents_follow_the_mix(edge_docs):
     assert got == {k: v for k, v in taken.items() if v}
 
 
+def test_parts_are_beginnings_of_texts(spark):
+    text = {i: "\n ".join(f"w{j}\t{i}  x" for j in range(20 + i)) + ("\n" if i % 2 else "") for i in range(12)}
+    docs = spark.createDataFrame([(i, t, f"s{i % 4}", len(t)) for i, t in text.items()], "doc_id long, text string, source string, n_chars long")
+    parts = [r for r in mixing.mixed_documents(docs).collect() if r["text"] != text[r["doc_id"]]]
+    assert parts and any("\n" in r["text"] for r in parts)
+    for r in parts:
+        assert text[r["doc_id"]].startswith(r["text"]) and r["n_chars"] == len(r["text"]) and not r["text"][-1].isspace()
+
+
 def test_empty(no_docs):
     assert mixing.mix_sources(no_docs).collect() == []
     assert mixing.mixed_documents(no_docs).collect() == []
