@@ -40,7 +40,7 @@ VOCABULARY_BYTES = 8 << 20
 SHARD_COUNTS, LEAST_SHARD_DOCS, TILE_ITEMS = 1 << 21, 2048, 256
 #: Numbers in one level of node maxima, documents and items in a leaf, documents scored at a time and terms
 #: multiplied at a time, candidates kept before they are cut.
-NODE_CELLS, LEAF_DOCS, LEAF_ITEMS, SCORED_DOCS, COLUMNS, CANDIDATES = 1 << 22, 16, 4, 256, 1 << 13, 1 << 20
+NODE_CELLS, LEAF_DOCS, LEAF_ITEMS, SCORED_DOCS, COLUMNS, CANDIDATES = 1 << 22, 4, 1, 256, 1 << 13, 1 << 20
 #: Steps of the power iteration behind a split.
 AXIS_STEPS = 3
 
