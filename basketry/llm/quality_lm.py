@@ -1,182 +1,233 @@
 """Quality rules with n-gram perplexity.
 
-A character 4-gram model per language is counted by Spark over every text of the
-corpus, smoothed by interpolated modified Kneser-Ney, and stored in sorted arrays of
-64-bit n-gram hashes with log probabilities and back-off weights.  Every document
-gets its perplexity under its own language's model; documents outside the
-language's band (median plus and minus a number of median absolute deviations of
-the log perplexity) are rejected, next to simple base rules.
-
-Characters are folded to 32 symbols by a fixed rule (``symbol_table``), so a model holds at most
-2**20 4-grams (12 MB) whatever the corpus; at most ``MODELS`` models are
-broadcast: the most frequent labels and one for all other labels and none; each label
-keeps a band of its own under the shared model.  A task counts into
-dense arrays and sends its non-zero counts, so a hot source or language costs one
-row a task and 4-gram.  Texts are never shuffled.
+A character 5-gram model per label is counted by Spark over every text of the corpus and smoothed by
+interpolated modified Kneser-Ney.  The alphabet is open (every code point is its own symbol) and nothing
+bounds the number of n-grams.  Every document gets its perplexity under its own label's model; documents
+outside the label's band (around the median, by robust deviations and the document's length) are
+rejected, next to simple base rules.
+
+An n-gram that only one distinct text of its label holds is no evidence for that text, so such n-grams
+count as unseen: junk does not become likely by being part of the corpus.
+
+How it runs:
+
+1. documents are packed as they lie in the input into compressed blocks of about ``PACK_BYTES`` of text;
+2. a task reduces a block to its distinct 5-grams with counts; Spark sums them by label and 5-gram;
+3. continuation counts, discounts and back-off weights are grouped sums over the n-grams, order by order,
+   and every 5-gram of the corpus gets its log probability by joins with its context and its suffix;
+4. each block gets the log probabilities of its own 5-grams as one sorted hash array and scores its texts.
+
+No model is broadcast or collected; what a task holds is bounded by a block (a longer text is one block).
+A common n-gram costs one row a block, whatever the share of its source or label.
 """
 
 from __future__ import annotations
 
-import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm.common import IS_SPACE, RollingHash, materialize, mix64, read_table, small_side, text_blocks, word_spans
 
-ORDER, BITS = 4, 5
-SYMBOLS, CODES = 1 << BITS, 1 << (BITS * ORDER)
-#: Models at most, the pooled one of rarer labels and no label included.
-MODELS = 16
-#: Half width of the band of log perplexities in median absolute deviations, and the extra room of short texts: nats times the square root of characters.
-BAND_MADS, SHORT_ROOM = 4.0, 2.5
-STATS_BYTES = 1 << 20
+ORDER = 5
+#: Room below and above the middle of a label's band, in units of its noise over the square root of words (see ``perplexity_bands``).
+#: Names, numbers and code make clean texts dearer, seldom cheaper: the upper side is wider.
+LOWER_NOISE, UPPER_NOISE = 4.0, 10.0
+#: Least noise of a label, for labels of a few documents.
+LEAST_NOISE = 0.3
+#: Steps of the histograms from which medians are taken.
+STEP = 1e-4
+STATS_BYTES, PACK_BYTES = 1 << 20, 24 << 20
 #: Characters counted as symbols (fixed values of the contract).
 SYMBOL_BYTES = np.zeros(256, dtype=bool)
 SYMBOL_BYTES[list(b"#*$%&|<>")] = True
 REPEAT_WORDS, LEAST_WORDS, REPEAT_PERCENT = 8, 20, 30
-CAPS, DIGIT, MARK, SIGN, FAR = 31, 27, 28, 29, 30
-
-
-def symbol_table() -> tuple[np.ndarray, np.ndarray]:
-    """Code point of the basic plane -> symbol, and whether it is an upper-case letter.
-
-    0: white space; 1 to 26: letters without accents and case (letters of other
-    scripts by their code point modulo 26); 27: digits; 28: punctuation; 29: other
-    signs; 30: beyond the basic plane.  A capital after a capital becomes 31."""
-    table, upper = np.full(0x10000, SIGN, dtype=np.uint8), np.zeros(0x10000, dtype=bool)
-    for c in range(0x10000):
-        x = chr(c)
-        kind = unicodedata.category(x)
-        if kind[0] in "LM":
-            base = unicodedata.normalize("NFKD", x)[0].lower()
-            table[c] = ord(base) - 96 if "a" <= base <= "z" else ord(base[0]) % 26 + 1
-            upper[c] = kind == "Lu"
-        elif kind[0] == "N":
-            table[c] = DIGIT
-        elif kind[0] == "Z" or c in (9, 10, 11, 12, 13):
-            table[c] = 0
-        elif x in ".,;:!?'\"()-":
-            table[c] = MARK
-    return table, upper
-
-
-class Symbols:
-    """Texts as symbol strings and their 4-gram codes."""
+SPACE, NO_CHARACTER = 0x20, 0xFFFD
+
+
+def text_grams(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(symbols, at, text)``: the symbols of all texts, the place of each symbol that ends a 5-gram, and its text.
+
+    A symbol is a code point; runs of white space are one space, none leads a text, and every text
+    begins after spaces.  U+0000 is read as U+FFFD."""
+    points = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), "<u4")
+    starts = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[bounds]
+    space = (points < 128) & IS_SPACE[np.minimum(points, 255)]
+    keep = ~space
+    keep[1:] |= ~space[:-1]
+    heads = starts[:-1][starts[:-1] < starts[1:]]
+    keep[heads] = ~space[heads]
+    text = np.repeat(np.arange(len(starts) - 1), np.diff(starts))[keep]
+    at = np.arange(len(text)) + (ORDER - 1) * (text + 1)
+    symbols = np.full(len(text) + (ORDER - 1) * len(starts), SPACE, dtype=np.uint32)
+    symbols[at] = np.where(space, SPACE, np.where(points == 0, NO_CHARACTER, points))[keep]
+    return symbols, at, text
+
+
+def gram_keys(symbols: np.ndarray, at: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """64-bit hash of (label, 5-gram) for every 5-gram; ``label`` is its label's hash."""
+    mixed = mix64(symbols.astype(np.uint64) + np.uint64(1))
+    rolled = mixed.copy()
+    for back in range(1, ORDER):
+        # the window's oldest symbols get the highest powers
+        rolled[back:] += mixed[:-back] * np.uint64(pow(RollingHash.BASE, back, 1 << 64))
+    return mix64(rolled[at] ^ mix64(label.view(np.uint64)))
+
+
+class GramCounts:
+    """Distinct 5-grams of one block: key, label, symbols, occurrences, least and greatest text hash."""
 
     def __init__(self) -> None:
-        self.table, self.upper = symbol_table()
-
-    def codes(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The 4-gram code ending at every symbol (texts begin after spaces), and the text each belongs to."""
-        points = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), "<u4")
-        starts = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[bounds]
-        near = np.minimum(points, 0xFFFF)
-        symbols, upper = self.table[near], self.upper[near]
-        symbols[points > 0xFFFF] = FAR
-        shout = upper.copy()
-        shout[1:] &= upper[:-1]
-        shout[:1] = False
-        symbols[shout] = CAPS
-        keep = symbols > 0
-        keep[1:] |= symbols[:-1] > 0
-        text = np.repeat(np.arange(len(starts) - 1), np.diff(starts))[keep]
-        symbols = symbols[keep]
-        at = np.arange(len(symbols)) + (ORDER - 1) * (text + 1)
-        padded = np.zeros(len(symbols) + (ORDER - 1) * len(starts), dtype=np.uint32)
-        padded[at] = symbols
-        code = np.zeros(len(symbols), dtype=np.uint32)
-        for back in range(ORDER):
-            code |= padded[at - back] << np.uint32(BITS * back)
-        return code, text
-
-
-class KneserNey:
-    """Modified Kneser-Ney model in sorted hash arrays.
-
-    ``keys`` are the sorted 64-bit hashes of (order, n-gram); beside them lie the log
-    probability of the n-gram and the back-off weight of the n-gram as a context."""
-
-    def __init__(self, keys: np.ndarray, logp: np.ndarray, backoff: np.ndarray) -> None:
-        self.keys, self.logp, self.backoff = keys, logp, backoff
-
-    @staticmethod
-    def hashed(order: int, code: np.ndarray) -> np.ndarray:
-        return mix64(code.astype(np.uint64) | np.uint64(order << 40))
-
-    @staticmethod
-    def discounts(counts: np.ndarray) -> np.ndarray:
-        """Discount of counts 0, 1, 2 and 3 or more."""
-        n1, n2, n3, n4 = (int((counts == k).sum()) for k in (1, 2, 3, 4))
-        if not n1 or not n2:
-            return np.array([0.0, 0.5, 0.5, 0.5])
-        y = n1 / (n1 + 2 * n2)
-        d = [0.0, 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3 if n3 else 0.5]
-        return np.array([max(0.0, min(x, k)) for k, x in enumerate(d)])
-
-    @classmethod
-    def fit(cls, codes: np.ndarray, counts: np.ndarray) -> KneserNey:
-        """From the counts of the highest order; lower orders use continuation counts."""
-        table = np.zeros(CODES, dtype=np.int64)
-        table[codes] = counts
-        levels = [table.reshape((SYMBOLS,) * ORDER)]
-        while levels[0].ndim > 1:
-            levels.insert(0, (levels[0] > 0).sum(axis=0))
-        lower: np.ndarray | float = 1.0 / SYMBOLS
-        keys, logp, backoff = [], [], []
-        gammas = []
-        probs = []
-        for c in levels:
-            d = cls.discounts(c)
-            total = c.sum(axis=-1, keepdims=True)
-            off = d[np.minimum(c, 3)]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                gamma = np.where(total > 0, off.sum(axis=-1, keepdims=True) / total, 1.0)
-                gamma = np.where(gamma > 0, gamma, 1e-9)
-                p = np.where(total > 0, (c - off) / total, 0.0) + gamma * lower
-            lower = p
-            probs.append(p)
-            gammas.append(gamma[..., 0])
-        for order, (c, p) in enumerate(zip(levels, probs, strict=True), 1):
-            # n-grams that were seen, and contexts that only began longer ones
-            code = np.flatnonzero((c > 0) | (levels[order].sum(axis=-1) > 0) if order < ORDER else c)
-            keys.append(cls.hashed(order, code))
-            logp.append(np.log(p.reshape(-1)[code]))
-            context = gammas[order] if order < ORDER else np.ones(c.shape)
-            backoff.append(np.log(context.reshape(-1)[code]))
-        # Order 0: the share that is spread over all symbols.
-        keys.append(cls.hashed(0, np.zeros(1, np.uint64)))
-        logp.append(np.log(np.array([1.0 / SYMBOLS])))
-        backoff.append(np.log(np.atleast_1d(gammas[0])))
-        k = np.concatenate(keys)
-        order = np.argsort(k)
-        return cls(k[order], np.concatenate(logp)[order].astype(np.float32), np.concatenate(backoff)[order].astype(np.float32))
-
-    def find(self, order: int, code: np.ndarray) -> np.ndarray:
-        """Place in the arrays, -1 if not held."""
-        hashed = self.hashed(order, code)
-        at = np.minimum(np.searchsorted(self.keys, hashed), len(self.keys) - 1)
-        return np.where(self.keys[at] == hashed, at, -1)
-
-    def score(self, code: np.ndarray) -> np.ndarray:
-        """Log probability of the last symbol of each 4-gram after the others."""
-        out = np.zeros(len(code), dtype=np.float64)
-        open_ = np.arange(len(code))
-        for order in range(ORDER, 0, -1):
-            own = code[open_] & np.uint32((1 << (BITS * order)) - 1)
-            at = self.find(order, own)
-            hit = at >= 0
-            out[open_[hit]] += self.logp[at[hit]]
-            open_, own = open_[~hit], own[~hit]
-            if not len(open_):
-                return out
-            context = self.find(order - 1, own >> np.uint32(BITS))
-            out[open_] += np.where(context >= 0, self.backoff[context], 0.0)
-        out[open_] -= np.log(SYMBOLS)
-        return out
+        self.parts: list[tuple[np.ndarray, ...]] = []
+
+    def add(self, symbols: np.ndarray, at: np.ndarray, label: np.ndarray, text_key: np.ndarray) -> None:
+        """The texts come in the order of their hashes."""
+        if not len(at):
+            return
+        code, key = pd.factorize(gram_keys(symbols, at, label))
+        place = np.arange(len(code))
+        first, last = np.empty(len(key), np.int64), np.empty(len(key), np.int64)
+        first[code[::-1]] = place[::-1]
+        last[code] = place
+        grams = symbols[at[first][:, None] + np.arange(1 - ORDER, 1)]
+        self.parts.append((key, label[first], grams, np.bincount(code), text_key[first], text_key[last]))
+
+    def merged(self) -> tuple[np.ndarray, ...]:
+        key, label, grams, n, least, most = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+        order = np.argsort(key)
+        key = key[order]
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        one = order[first]
+        return key[first], label[one], grams[one], np.add.reduceat(n[order], first), np.minimum.reduceat(least[order], first), np.maximum.reduceat(most[order], first)
+
+    def rows(self, block: int) -> Iterator[pa.RecordBatch]:
+        if not self.parts:
+            return
+        key, label, grams, n, least, most = self.merged()
+        text = np.ascontiguousarray(grams).view(f"<U{ORDER}")[:, 0]
+        for a in range(0, len(key), 1 << 17):
+            b = slice(a, a + (1 << 17))
+            columns = [
+                pa.array(np.full(len(key[b]), block, np.int64)),
+                pa.array(key[b].view(np.int64)),
+                pa.array(label[b]),
+                pa.array(text[b], pa.string()),
+                pa.array(n[b]),
+                pa.array(least[b], mask=least[b] != most[b]),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["block", "key", "label", "gram", "n", "only_text"])
+
+
+def pack_documents(docs: DataFrame, pack_bytes: int = PACK_BYTES, step_bytes: int = STATS_BYTES) -> DataFrame:
+    """``block, payload``: the documents as they lie in the input, in compressed blocks."""
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.xxhash64("text").alias("text_key"),
+        F.col("lang").cast("string").alias("lang"),
+        F.xxhash64(F.col("lang").cast("string")).alias("label"),
+        "text",
+    )
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, made, held, size = TaskContext.get().partitionId() << 32, 0, [], 0
+
+        def packed() -> pa.RecordBatch:
+            out = pa.BufferOutputStream()
+            with pa.ipc.new_stream(out, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+                for part in held:
+                    writer.write_batch(part)
+            return pa.RecordBatch.from_arrays([pa.array([first + made]), pa.array([out.getvalue().to_pybytes()], pa.binary())], names=["block", "payload"])
+
+        for batch in batches:
+            for a, b, data, _ in text_blocks(batch.column(4), step_bytes):
+                held.append(batch.slice(a, b - a))
+                size += len(data)
+                if size >= pack_bytes:
+                    yield packed()
+                    made, held, size = made + 1, [], 0
+        if held:
+            yield packed()
+
+    return materialize(rows.mapInArrow(pack, "block long, payload binary"), "quality-blocks")
+
+
+def unpacked(payload: bytes) -> Iterator[pa.RecordBatch]:
+    with pa.ipc.open_stream(payload) as reader:
+        yield from reader
+
+
+def count_grams(blocks: DataFrame, step_bytes: int = STATS_BYTES) -> DataFrame:
+    """``block, key, label, gram, n, only_text``: a block's distinct 5-grams; ``only_text`` is null for those of several texts."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, payload in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                counts = GramCounts()
+                for part in unpacked(payload.as_buffer()):
+                    part = part.take(pa.array(np.argsort(part.column(1).to_numpy())))
+                    text_key, label = part.column(1).to_numpy(), part.column(3).to_numpy()
+                    for first, last, data, bounds in text_blocks(part.column(4), step_bytes):
+                        symbols, at, text = text_grams(data, bounds)
+                        counts.add(symbols, at, label[first:last][text], text_key[first:last][text])
+                yield from counts.rows(block)
+
+    return materialize(blocks.mapInArrow(count, "block long, key long, label long, gram string, n long, only_text long"), "quality-counts")
+
+
+def gram_levels(counts: DataFrame) -> list[DataFrame]:
+    """``label, gram, n, c`` of every order from 1: ``n`` is the occurrences at the highest order and below it the number of
+    distinct left extensions; ``c`` is the same without n-grams of a single text.
+
+    The highest also has ``key``."""
+    several = (F.count_if(F.col("only_text").isNull()) > 0) | (F.min("only_text") != F.max("only_text"))
+    top = counts.groupBy("label", "gram", "key").agg(F.sum("n").alias("n"), F.when(several, F.sum("n")).otherwise(F.lit(0)).cast("long").alias("c"))
+    levels = [materialize(top, "quality-grams")]
+    while len(levels) < ORDER:
+        shorter = levels[0].groupBy("label", F.expr("substring(gram, 2)").alias("gram")).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("c") > 0).alias("c"))
+        levels.insert(0, materialize(shorter, "quality-grams"))
+    return levels
+
+
+def discounts(levels: list[DataFrame]) -> DataFrame:
+    """``order, label, d1, d2, d3``: modified Kneser-Ney discounts of counts 1, 2 and 3 or more, from the counts of all
+    n-grams; 0.5 where the formula gives none between 0 and the count."""
+    numbered = [x.select(F.lit(k).alias("order"), "label", "n") for k, x in enumerate(levels, 1)]
+    every = numbered[0]
+    for x in numbered[1:]:
+        every = every.unionByName(x)
+    n = every.groupBy("order", "label").agg(*[F.count_if(F.col("n") == k).cast("double").alias(f"n{k}") for k in (1, 2, 3, 4)])
+    y = F.expr("n1 / nullif(n1 + 2 * n2, 0)")
+
+    def within(value, k: int):
+        return F.when((value > 0) & (value <= k), value).otherwise(F.lit(0.5))
+
+    d = [within(k - (k + 1) * y * F.expr(f"n{k + 1} / nullif(n{k}, 0)"), k).alias(f"d{k}") for k in (1, 2, 3)]
+    return n.select("order", "label", *d)
+
+
+def smoothed(levels: list[DataFrame]) -> DataFrame:
+    """``key, logp``: the interpolated probability of the last symbol of every 5-gram of the corpus after the others.
+
+    What n-grams of a single text held goes to the lower order, with the discounts."""
+    d = small_side(materialize(discounts(levels), "quality-discounts"), 64)
+    # Below order 1: an equal share for each symbol of the label and one for all others.
+    lower = levels[0].groupBy("label").agg((1 / (F.count(F.lit(1)) + 1)).alias("p_lower")).withColumn("suffix", F.lit(""))
+    held = F.when(F.col("c") == 0, F.lit(0.0)).when(F.col("c") == 1, 1 - F.col("d1")).when(F.col("c") == 2, 2 - F.col("d2")).otherwise(F.col("c") - F.col("d3"))
+    for order, level in enumerate(levels, 1):
+        own = level.join(d.where(F.col("order") == order), "label").withColumn("held", held)
+        own = own.withColumn("context", F.substring("gram", 1, order - 1)).withColumn("suffix", F.expr("substring(gram, 2)"))
+        contexts = own.groupBy("label", "context").agg(F.sum("n").alias("total"), (1 - F.sum("held") / F.sum("n")).alias("backoff"))
+        joined = own.join(contexts, ["label", "context"]).join(lower, ["label", "suffix"])
+        p = F.col("held") / F.col("total") + F.col("backoff") * F.col("p_lower")
+        if order == len(levels):
+            return joined.select("key", F.log(p).alias("logp"))
+        lower = materialize(joined.select("label", F.col("gram").alias("suffix"), p.alias("p_lower")), "quality-model")
+    raise ValueError("no order")
 
 
 def text_stats(data: np.ndarray, bounds: np.ndarray, hasher: RollingHash) -> dict[str, np.ndarray]:
@@ -224,110 +275,81 @@ def text_stats(data: np.ndarray, bounds: np.ndarray, hasher: RollingHash) -> dic
     return out
 
 
-def corpus_labels(docs: DataFrame) -> list[str]:
-    """The labels that get a model of their own."""
-    return [r["lang"] for r in docs.where("lang is not null").groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MODELS - 1).collect()]
-
-
-def _model_index(labels: list[str]):
-    """Number of the model of a label; the last one for null and rarer labels."""
-    index = {x: i for i, x in enumerate(labels)}
-    return lambda column: np.array([index.get(x, len(labels)) for x in column.to_pylist()], dtype=np.int64)
-
-
-def fit_models(docs: DataFrame, labels: list[str]) -> list[KneserNey | None]:
-    """Counts every text's 4-grams by language and smooths them."""
-    number = _model_index(labels)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbols, tables = Symbols(), {}
-        for batch in batches:
-            model = number(batch.column(0))
-            for first, last, data, bounds in text_blocks(batch.column(1), STATS_BYTES):
-                code, text = symbols.codes(data, bounds)
-                own = model[first:last][text]
-                for k in np.unique(model[first:last]):
-                    table = tables.setdefault(int(k), np.zeros(CODES, dtype=np.int64))
-                    table += np.bincount(code[own == k], minlength=CODES)
-        for k, table in tables.items():
-            seen = np.flatnonzero(table)
-            for a in range(0, len(seen), 1 << 16):
-                part = seen[a : a + (1 << 16)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), k, np.int32)), pa.array(part.astype(np.int32)), pa.array(table[part])], names=["model", "code", "n"])
-
-    counts = docs.select("lang", "text").mapInArrow(count, "model int, code int, n long").groupBy("model", "code").agg(F.sum("n").alias("n")).toArrow()
-    model, code, n = (counts.column(c).to_numpy() for c in ("model", "code", "n"))
-    out: list[KneserNey | None] = []
-    for k in range(len(labels) + 1):
-        own = model == k
-        out.append(KneserNey.fit(code[own], n[own]) if own.any() else None)
+def score_documents(docs: DataFrame, pack_bytes: int = PACK_BYTES, step_bytes: int = STATS_BYTES) -> DataFrame:
+    """``doc_id, text_key, lang``, the base figures, ``n_read`` and ``log_perplexity`` (null for texts without characters)."""
+    blocks = pack_documents(docs, pack_bytes, step_bytes)
+    counts = count_grams(blocks, step_bytes)
+    model = counts.select("block", "key").join(smoothed(gram_levels(counts)), "key").select("block", "key", "logp")
+    schema = "doc_id long, text_key long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_read long, log_perplexity double"
+    names = [x.split()[0] for x in schema.split(", ")]
+
+    def score(packed: pa.Table, known: pa.Table) -> pa.Table:
+        keys, logp = known.column("key").to_numpy().view(np.uint64), known.column("logp").to_numpy()
+        order = np.argsort(keys)
+        keys, logp = keys[order], logp[order]
+        hasher, out = RollingHash(5), []
+        for payload in packed.column("payload"):
+            for part in unpacked(payload.as_buffer()):
+                label = part.column(3).to_numpy()
+                for first, last, data, bounds in text_blocks(part.column(4), step_bytes):
+                    stats = text_stats(data, bounds, hasher)
+                    symbols, at, text = text_grams(data, bounds)
+                    code, mine = pd.factorize(gram_keys(symbols, at, label[first:last][text]))
+                    found = logp[np.searchsorted(keys, mine)][code] if len(at) else np.zeros(0)
+                    size = np.bincount(text, minlength=last - first)
+                    value = -np.bincount(text, weights=found, minlength=last - first) / np.maximum(size, 1)
+                    columns = [part.column(i).slice(first, last - first) for i in (0, 1, 2)]
+                    columns += [pa.array(stats[c]) for c in names[3:8]]
+                    columns += [pa.array(size.astype(np.int64)), pa.array(value, mask=size == 0)]
+                    out.append(pa.RecordBatch.from_arrays(columns, names=names))
+        return pa.Table.from_batches(out)
+
+    return blocks.groupBy("block").cogroup(model.groupBy("block")).applyInArrow(score, schema)
+
+
+def medians(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``band_lang`` and the median of every column by label, exact on histograms of ``STEP``: the same however the rows are dealt."""
+    out = None
+    for c in columns:
+        steps = df.groupBy(F.col("lang").alias("band_lang"), F.round(F.col(c) / STEP).cast("long").alias("step")).agg(F.count(F.lit(1)).alias("n"))
+        one = steps.groupBy("band_lang").agg((F.percentile("step", 0.5, F.col("n")) * STEP).alias(c))
+        out = one if out is None else out.withColumnRenamed("band_lang", "other").join(one, F.col("other").eqNullSafe(F.col("band_lang"))).drop("other")
     return out
 
 
-def score_documents(docs: DataFrame, labels: list[str], models: list[KneserNey | None]) -> DataFrame:
-    """``doc_id, text_key, lang, model``, the base figures, ``n_read`` and ``log_perplexity`` (null for texts without characters)."""
-    shared = docs.sparkSession.sparkContext.broadcast(models)
-    number = _model_index(labels)
-    schema = (
-        "doc_id long, text_key long, lang string, model int, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-        "n_read long, log_perplexity double"
-    )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbols, hasher, known = Symbols(), RollingHash(5), {}
-        for batch in batches:
-            model = number(batch.column(2))
-            for first, last, data, bounds in text_blocks(batch.column(3), STATS_BYTES):
-                stats = text_stats(data, bounds, hasher)
-                code, text = symbols.codes(data, bounds)
-                own, logp = model[first:last][text], np.zeros(len(code))
-                for k in np.unique(own):
-                    memo = known.setdefault(int(k), np.full(CODES, np.nan, dtype=np.float32))
-                    mask = own == k
-                    mine = code[mask]
-                    new = np.unique(mine[np.isnan(memo[mine])])
-                    memo[new] = shared.value[k].score(new)
-                    logp[mask] = memo[mine]
-                size = np.bincount(text, minlength=last - first)
-                total = np.bincount(text, weights=logp, minlength=last - first)
-                value = -total / np.maximum(size, 1)
-                columns = [batch.column(i).slice(first, last - first) for i in (0, 1, 2)] + [pa.array(model[first:last].astype(np.int32))]
-                columns += [pa.array(stats[c]) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
-                columns += [pa.array(size.astype(np.int64)), pa.array(value, mask=size == 0)]
-                yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in schema.split(", ")])
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), F.col("lang").cast("string").alias("lang"), "text")
-    return rows.mapInArrow(run, schema)
-
-
 def perplexity_bands(scored: DataFrame) -> DataFrame:
-    """``band_lang, middle, mad``: median and median absolute deviation of the log perplexity of each label's documents
-    (base failures left out; null labels are one group), also of labels that share a model."""
-    fit = scored.where("not base_failed and log_perplexity is not null")
-    middle = fit.groupBy(F.col("lang").alias("band_lang")).agg(F.percentile_approx("log_perplexity", 0.5, 10000).alias("middle"))
-    middle = materialize(middle, "quality-middles")
-    off = fit.join(small_side(middle, 64), F.col("lang").eqNullSafe(F.col("band_lang"))).withColumn("off", F.abs(F.col("log_perplexity") - F.col("middle")))
-    return off.groupBy("band_lang").agg(F.first("middle").alias("middle"), F.percentile_approx("off", 0.5, 10000).alias("mad"))
+    """``band_lang, log_cost, spread, noise`` of each label's documents (base failures left out; null labels are one group).
+
+    ``log_cost``: median of the logarithm of nats a word; ``spread``: median absolute deviation from it;
+    ``noise``: median of the deviation times the square root of words (a document's mean over n words varies with 1/sqrt(n))."""
+    fit = scored.where("not base_failed and log_cost is not null")
+    middle = materialize(medians(fit, ["log_cost"]).withColumnRenamed("log_cost", "middle"), "quality-middles")
+    off = fit.join(small_side(middle, 64), F.col("lang").eqNullSafe(F.col("band_lang"))).withColumn("spread", F.abs(F.col("log_cost") - F.col("middle")))
+    off = materialize(off.select("lang", "spread", (F.col("spread") * F.sqrt("n_words")).alias("noise")), "quality-deviations")
+    widths = medians(off, ["spread", "noise"]).withColumnRenamed("band_lang", "width_lang")
+    return middle.join(widths, F.col("band_lang").eqNullSafe(F.col("width_lang"))).drop("width_lang")
 
 
-def judge_documents(docs: DataFrame, band_mads: float = BAND_MADS) -> DataFrame:
+def judge_documents(docs: DataFrame, lower_noise: float = LOWER_NOISE, upper_noise: float = UPPER_NOISE) -> DataFrame:
     """Base figures, perplexity and verdict of every row of ``docs`` (``doc_id, lang, text``).
 
-    Null texts are empty: no words, so the base rules fail.  Null and rare labels share
-    one model; every label has its own band.  Texts no longer than the context are judged like others.  Repeated rows are rows of
-    their own and count as such in the model.  An empty table gives an empty
-    result; other columns are ignored."""
-    labels = corpus_labels(docs)
-    scored = score_documents(docs, labels, fit_models(docs, labels))
+    ``perplexity`` is that of a word (the log probabilities of the characters summed over its letters and the space before
+    the next): marks added to words make them dearer, where an average over characters would fall.  Null texts
+    are empty: no words, so the base rules fail and there is no perplexity.  Every label has its own model and band; null is a
+    label of its own.  Texts no longer than the context are judged like others.  Repeated rows are rows of
+    their own and count as such in the model, but as one text where n-grams of a single text are told apart.  An empty
+    table gives an empty result; other columns are ignored."""
     base = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
-    scored = materialize(scored.withColumn("base_failed", base), "quality-scores")
+    cost = F.expr("log_perplexity * n_read / nullif(n_words, 0)")
+    scored = score_documents(docs).withColumns({"base_failed": base, "cost": cost}).withColumn("log_cost", F.log(F.greatest("cost", F.lit(1e-9))))
+    scored = materialize(scored.withColumn("log_cost", F.when(F.col("cost").isNotNull(), F.col("log_cost"))), "quality-scores")
     bands = materialize(perplexity_bands(scored), "quality-bands")
-    room = F.lit(band_mads) * F.col("mad") + F.lit(SHORT_ROOM) / F.sqrt(F.greatest(F.col("n_read"), F.lit(1)))
-    lower, upper = F.exp(F.col("middle") - room), F.exp(F.col("middle") + room)
-    perplexity = F.exp("log_perplexity")
-    judged = scored.join(small_side(bands, 64), F.col("lang").eqNullSafe(F.col("band_lang")), "left").withColumns({"perplexity": perplexity, "lower_band": lower, "upper_band": upper})
-    inside = F.coalesce(F.col("perplexity").between(F.col("lower_band"), F.col("upper_band")), F.lit(False))
-    return judged.withColumn("kept", ~F.col("base_failed") & inside).select(
+    unit = F.greatest(F.col("noise"), F.lit(LEAST_NOISE)) / F.sqrt(F.greatest(F.col("n_words"), F.lit(1)))
+    lower = F.col("middle") - F.col("spread") - F.lit(lower_noise) * unit
+    upper = F.col("middle") + F.col("spread") + F.lit(upper_noise) * unit
+    judged = scored.join(small_side(bands, 64), F.col("lang").eqNullSafe(F.col("band_lang")), "left")
+    inside = F.coalesce(F.col("log_cost").between(lower, upper), F.lit(False))
+    return judged.withColumns({"kept": ~F.col("base_failed") & inside, "perplexity": F.exp("cost"), "lower_band": F.exp(F.exp(lower)), "upper_band": F.exp(F.exp(upper))}).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "perplexity", "lower_band", "upper_band", "text_key"
     )
 

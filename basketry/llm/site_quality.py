@@ -26,7 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm.common import RollingHash, materialize, read_table, text_blocks
-from basketry.llm.quality_lm import BITS, Symbols, text_stats
+from basketry.llm.quality_lm import text_stats
+from basketry.llm.symbols import BITS, Symbols
 
 #: The bound of the labelled sample, and the regularisation of the classifier.
 TRAIN_ROWS, RIDGE, STEPS = 4000, 1.0, 12

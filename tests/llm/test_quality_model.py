@@ -1,0 +1,131 @@
+"""The n-gram model of the quality rules against a plain Python Kneser-Ney model."""
+
+import math
+import random
+import re
+from collections import Counter, defaultdict
+
+import pytest
+
+from basketry.llm import quality_lm
+
+from .conftest import CLASHES, prose
+
+ORDER = quality_lm.ORDER
+
+
+def grams(text):
+    line = " " * (ORDER - 1) + re.sub("[ \t\n\x0b\x0c\r]+", " ", text or "").lstrip(" ").replace("\0", "�")
+    return [line[i : i + ORDER] for i in range(len(line) - ORDER + 1)]
+
+
+class Model:
+    """Interpolated modified Kneser-Ney of one label's texts, straight from the definition."""
+
+    def __init__(self, texts):
+        n, holders = Counter(), defaultdict(set)
+        for t in texts:
+            for g in grams(t):
+                n[g] += 1
+                holders[g].add(t)
+        seen = {g: n[g] if len(holders[g]) > 1 else 0 for g in n}
+        self.levels = [(n, seen)]
+        while len(self.levels) < ORDER:
+            n, seen = self.levels[0]
+            self.levels.insert(0, (Counter(g[1:] for g in n), Counter(g[1:] for g in seen if seen[g])))
+        self.symbols = len(self.levels[0][0])
+        self.d, self.after = [], []
+        for n, seen in self.levels:
+            of = Counter(n.values())
+            d = [0.0]
+            for k in (1, 2, 3):
+                defined = of[k] and of[1] + 2 * of[2]
+                x = k - (k + 1) * of[1] / (of[1] + 2 * of[2]) * of[k + 1] / of[k] if defined else 0
+                d.append(x if 0 < x <= k else 0.5)
+            self.d.append(d)
+            after = defaultdict(list)
+            for g in n:
+                after[g[:-1]].append(g)
+            self.after.append(after)
+
+    def p(self, symbol, context):
+        if context is None:
+            return 1 / (self.symbols + 1)
+        k = len(context)
+        n, seen = self.levels[k]
+        lower = self.p(symbol, context[1:] if k else None)
+        total = sum(n[g] for g in self.after[k].get(context, []))
+        if not total:
+            return lower
+
+        def held(g):
+            return seen.get(g, 0) - self.d[k][min(seen.get(g, 0), 3)]
+
+        return held(context + symbol) / total + (1 - sum(held(g) for g in self.after[k][context]) / total) * lower
+
+
+def mixed_rows():
+    rows = [(i, prose(i, 40 + i), "en") for i in range(8)]
+    rows += [(20, rows[0][1], "en"), (21, rows[0][1], "en"), (22, rows[3][1].replace("river", "ríver"), "en")]
+    rows += [(30 + i, "日本語 テキスト 😀😀 " * (i + 1) + "東京\0x", "ja") for i in range(3)]
+    rows += [(40, prose(40, 30), None), (41, prose(41, 30), None), (42, "only one of its label", "xx"), (43, "", "en"), (44, None, "en"), (45, " \n\t ", "en"), (46, "a", "en")]
+    return rows
+
+
+@pytest.mark.parametrize("sizes", [(), (300, 200)])
+def test_perplexity_equals_brute_force(spark, sizes):
+    rows = mixed_rows()
+    df = spark.createDataFrame([(*r, *["x"] * len(CLASHES)) for r in rows], "doc_id long, text string, lang string, " + ", ".join(f"`{c}` string" for c in CLASHES))
+    got = {r["doc_id"]: r for r in quality_lm.score_documents(df.repartition(3), *sizes).collect()}
+    assert len(got) == len(rows)
+    models = {lang: Model([t or "" for _, t, x in rows if x == lang]) for lang in {r[2] for r in rows}}
+    for i, t, lang in rows:
+        own = grams(t)
+        assert got[i]["n_read"] == len(own)
+        want = -sum(math.log(models[lang].p(g[-1], g[:-1])) for g in own) / len(own) if own else None
+        assert got[i]["log_perplexity"] == (None if want is None else pytest.approx(want, abs=1e-9))
+
+
+def test_brute_force_model_sums_to_one():
+    model = Model([t or "" for _, t, x in mixed_rows() if x == "en"])
+    alphabet = [*model.levels[0][0], "￿"]
+    for context in ("    ", " the", "iver", "zzzz", "rive"):
+        assert sum(model.p(s, context) for s in alphabet) == pytest.approx(1)
+
+
+def test_every_label_has_its_own_model_and_band(spark):
+    """Eighteen labels, the last two rarer and in letters of their own."""
+    rows = [(100 * k + i, prose(100 * k + i, 80), f"l{k:02d}") for k in range(16) for i in range(20)]
+    draw = random.Random(3)
+    for first, label, letters in ((5000, "xa", "абвгдежз"), (6000, "xb", "αβγδεζηθ")):
+        words = ["".join(draw.choice(letters) for _ in range(5)) for _ in range(25)]
+        rows += [(first + i, " ".join(draw.choice(words) for _ in range(80)), label) for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r for r in quality_lm.judge_documents(df).collect()}
+    assert not any(r["base_failed"] for r in got.values())
+    kept = [i for i, r in got.items() if r["kept"]]
+    assert sum(i >= 5000 for i in kept) >= 22 and len(kept) >= 0.97 * len(rows)
+    assert len({(got[i]["lower_band"] * got[i]["upper_band"]) for i in (0, 5000, 6000)}) == 3
+
+
+def shifted(text, by):
+    return "".join(chr(ord(c) + by) if c.isalpha() else c for c in text)
+
+
+def test_shifted_letters_are_rejected(spark):
+    """Junk whose letters are those of good text moved by 26, or 26 * 37, code points."""
+    draw = random.Random(5)
+    cyrillic = ["".join(chr(draw.randrange(0x430, 0x450)) for _ in range(draw.randrange(2, 8))) for _ in range(60)]
+    han = ["".join(chr(draw.randrange(0x4E00, 0x4E60)) for _ in range(draw.randrange(2, 5))) for _ in range(60)]
+    rows = [(1000 * k + i, " ".join(draw.choice(v) for _ in range(150)), x) for k, (v, x) in enumerate(((cyrillic, "ru"), (han, "zh"))) for i in range(60)]
+    junk = [(9000, shifted(rows[3][1], 26), "ru"), (9001, shifted(rows[63][1], 26 * 37), "zh")]
+    df = spark.createDataFrame(rows + junk, "doc_id long, text string, lang string")
+    kept = {r["doc_id"] for r in quality_lm.judge_documents(df).where("kept").collect()}
+    assert not kept & {9000, 9001} and len(kept) >= 0.97 * len(rows)
+
+
+def test_bands_do_not_depend_on_partitions(spark):
+    df = spark.createDataFrame([(i, prose(i, 30 + i % 50), "ab"[i % 2]) for i in range(200)], "doc_id long, text string, lang string")
+    one, many = (sorted(quality_lm.judge_documents(d).select("doc_id", "kept", "lower_band", "upper_band").collect()) for d in (df.coalesce(1), df.repartition(7)))
+    assert [r["kept"] for r in one] == [r["kept"] for r in many]
+    assert all(a["upper_band"] == pytest.approx(b["upper_band"], rel=1e-3) for a, b in zip(one, many, strict=True))

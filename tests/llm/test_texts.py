@@ -138,17 +138,7 @@ def test_quality_keeps_clean_documents(spark):
     labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{docs}/labels.parquet").collect()}
     got = [r for r in quality_lm.op5_quality_rules(spark, docs).collect() if r["doc_id"] in labels and not r["base_failed"]]
     good, bad = ([r["kept"] for r in got if labels[r["doc_id"]] == q] for q in (1, 0))
-    assert sum(good) >= 0.97 * len(good) and sum(bad) <= 0.6 * len(bad)
-
-
-def test_kneser_ney_sums_to_one():
-    draw = np.random.default_rng(1)
-    codes = np.unique(draw.integers(0, quality_lm.CODES, 3000))
-    model = quality_lm.KneserNey.fit(codes, draw.integers(1, 6, len(codes)))
-    for context in (int(codes[0]) >> quality_lm.BITS, 12345):
-        every = (np.uint32(context) << np.uint32(quality_lm.BITS)) | np.arange(quality_lm.SYMBOLS, dtype=np.uint32)
-        assert abs(np.exp(model.score(every)).sum() - 1) < 1e-4
-    assert (np.diff(model.keys.astype(object)) > 0).all()
+    assert sum(good) >= 0.97 * len(good) and sum(bad) <= 0.5 * len(bad)
 
 
 def test_keep_good(edge_docs, no_docs):
