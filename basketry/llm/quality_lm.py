@@ -1,6 +1,6 @@
 """Quality rules with n-gram perplexity.
 
-A character 5-gram model per label is counted by Spark over every text of the corpus and smoothed by
+A character 4-gram model per label is counted by Spark over every text of the corpus and smoothed by
 interpolated modified Kneser-Ney.  The alphabet is open (every code point is its own symbol) and nothing
 bounds the number of n-grams.  Every document gets its perplexity under its own label's model; documents
 outside the label's band (around the median, by robust deviations and the document's length) are
@@ -12,10 +12,10 @@ count as unseen: junk does not become likely by being part of the corpus.
 How it runs:
 
 1. documents are packed as they lie in the input into compressed blocks of about ``PACK_BYTES`` of text;
-2. a task reduces a block to its distinct 5-grams with counts; Spark sums them by label and 5-gram;
+2. a task reduces a block to its distinct 4-grams with counts; Spark sums them by label and 4-gram;
 3. continuation counts, discounts and back-off weights are grouped sums over the n-grams, order by order,
-   and every 5-gram of the corpus gets its log probability by joins with its context and its suffix;
-4. each block gets the log probabilities of its own 5-grams as one sorted hash array and scores its texts.
+   and every 4-gram of the corpus gets its log probability by joins with its context and its suffix;
+4. each block gets the log probabilities of its own 4-grams as one sorted hash array and scores its texts.
 
 No model is broadcast or collected; what a task holds is bounded by a block (a longer text is one block).
 A common n-gram costs one row a block, whatever the share of its source or label.
@@ -34,15 +34,15 @@ from pyspark.sql import functions as F
 
 from basketry.llm.common import IS_SPACE, RollingHash, materialize, mix64, read_table, small_side, text_blocks, word_spans
 
-ORDER = 5
+ORDER = 4
 #: Room below and above the middle of a label's band, in units of its noise over the square root of words (see ``perplexity_bands``).
 #: Names, numbers and code make clean texts dearer, seldom cheaper: the upper side is wider.
-LOWER_NOISE, UPPER_NOISE = 4.0, 10.0
+LOWER_NOISE, UPPER_NOISE = 4.0, 8.0
 #: Least noise of a label, for labels of a few documents.
 LEAST_NOISE = 0.3
 #: Steps of the histograms from which medians are taken.
 STEP = 1e-4
-STATS_BYTES, PACK_BYTES = 1 << 20, 24 << 20
+STATS_BYTES, PACK_BYTES = 1 << 19, 24 << 20
 #: Characters counted as symbols (fixed values of the contract).
 SYMBOL_BYTES = np.zeros(256, dtype=bool)
 SYMBOL_BYTES[list(b"#*$%&|<>")] = True
@@ -51,7 +51,7 @@ SPACE, NO_CHARACTER = 0x20, 0xFFFD
 
 
 def text_grams(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(symbols, at, text)``: the symbols of all texts, the place of each symbol that ends a 5-gram, and its text.
+    """``(symbols, at, text)``: the symbols of all texts, the place of each symbol that ends a 4-gram, and its text.
 
     A symbol is a code point; runs of white space are one space, none leads a text, and every text
     begins after spaces.  U+0000 is read as U+FFFD."""
@@ -70,7 +70,7 @@ def text_grams(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def gram_keys(symbols: np.ndarray, at: np.ndarray, label: np.ndarray) -> np.ndarray:
-    """64-bit hash of (label, 5-gram) for every 5-gram; ``label`` is its label's hash."""
+    """64-bit hash of (label, 4-gram) for every 4-gram; ``label`` is its label's hash."""
     mixed = mix64(symbols.astype(np.uint64) + np.uint64(1))
     rolled = mixed.copy()
     for back in range(1, ORDER):
@@ -80,7 +80,7 @@ def gram_keys(symbols: np.ndarray, at: np.ndarray, label: np.ndarray) -> np.ndar
 
 
 class GramCounts:
-    """Distinct 5-grams of one block: key, label, symbols, occurrences, least and greatest text hash."""
+    """Distinct 4-grams of one block: key, label, symbols, occurrences, least and greatest text hash."""
 
     def __init__(self) -> None:
         self.parts: list[tuple[np.ndarray, ...]] = []
@@ -162,7 +162,7 @@ def unpacked(payload: bytes) -> Iterator[pa.RecordBatch]:
 
 
 def count_grams(blocks: DataFrame, step_bytes: int = STATS_BYTES) -> DataFrame:
-    """``block, key, label, gram, n, only_text``: a block's distinct 5-grams; ``only_text`` is null for those of several texts."""
+    """``block, key, label, gram, n, only_text``: a block's distinct 4-grams; ``only_text`` is null for those of several texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -211,7 +211,7 @@ def discounts(levels: list[DataFrame]) -> DataFrame:
 
 
 def smoothed(levels: list[DataFrame]) -> DataFrame:
-    """``key, logp``: the interpolated probability of the last symbol of every 5-gram of the corpus after the others.
+    """``key, logp``: the interpolated probability of the last symbol of every 4-gram of the corpus after the others.
 
     What n-grams of a single text held goes to the lower order, with the discounts."""
     d = small_side(materialize(discounts(levels), "quality-discounts"), 64)
