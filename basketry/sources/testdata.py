@@ -20,7 +20,7 @@ import functools
 import hashlib
 import threading
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.functions.text import padded_id
@@ -37,9 +37,16 @@ NO_PRODUCT_TYPES = ("signup", "error")
 
 # Messages are appended in slices of event time, oldest first, as a topic
 # would receive them; inside a slice they are in no order, so a stream over
-# them needs a watermark delay of one slice.
-SLICE_STARTS = ("2024-01-06", "2024-01-11", "2024-01-16", "2024-01-21", "2024-01-26")
-SLICE_SPAN = "5 days"
+# them needs a watermark delay of one slice. Slices are counted from the
+# origin, over whatever time the events span.
+SLICE_ORIGIN, SLICE_DAYS = "2024-01-01", 5
+SLICE_SPAN = f"{SLICE_DAYS} days"
+# A message file has this many messages, fewer where the events would not fill
+# the least number of files: a stream's micro-batches are counted in files, so
+# their number must follow the messages and not the folders or splits that the
+# events come in.
+MESSAGES_PER_FILE = 250_000
+LEAST_FILES, LEAST_FILES_UNCATEGORIZED = 40, 4
 # Disturbances of the disordered messages, by the user's id: copies of old
 # events that arrive after all slices, events with an unreadable time, and
 # messages that are no JSON.
@@ -230,16 +237,38 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.select("user_id", "product_id", "category", "event_type", "timestamp", "event_date")
 
 
-def _slices(events: DataFrame):
-    """Events by slice of event time, oldest first."""
+def _messages_per_file(total: int, least_files: int) -> int:
+    return max(1, min(MESSAGES_PER_FILE, total // least_files))
+
+
+def _slices(events: DataFrame, least_files: int = LEAST_FILES) -> list[tuple[DataFrame, int]]:
+    """Events by slice of event time, oldest first, each with the messages
+    that a file of it has.
+
+    Neighbouring slices that fit into one file together are taken as one: a
+    file is never divided among micro-batches. No events give one empty slice."""
     day = F.col("event_date") if "event_date" in events.columns else F.to_date("timestamp")
-    for start, end in zip((None, *SLICE_STARTS), (*SLICE_STARTS, None)):
-        inside = F.lit(True)
-        if start:
-            inside = inside & (day >= F.lit(start).cast("date"))
-        if end:
-            inside = inside & (day < F.lit(end).cast("date"))
-        yield events.filter(inside)
+    origin = F.lit(SLICE_ORIGIN).cast("date")
+    number = F.floor(F.datediff(day, origin) / SLICE_DAYS)
+    counted = events.filter(day.isNotNull()).groupBy(number.alias("slice")).agg(F.count(F.lit(1)).alias("rows")).orderBy("slice").collect()
+    per_file = _messages_per_file(sum(r["rows"] for r in counted), least_files)
+    spans: list[list[int]] = []
+    for r in counted:
+        if spans and spans[-1][2] + r["rows"] <= per_file:
+            spans[-1][1:] = [r["slice"], spans[-1][2] + r["rows"]]
+        else:
+            spans.append([r["slice"], r["slice"], r["rows"]])
+
+    def start(slice_: int) -> Column:
+        return F.date_add(origin, SLICE_DAYS * slice_)
+
+    parts = [(events.filter((day >= start(first)) & (day < start(last + 1))), per_file) for first, last, _ in spans]
+    return parts or [(events.filter(F.lit(False)), per_file)]
+
+
+def _append_messages(messages: DataFrame, path: str, per_file: int) -> None:
+    """Append a frame of message texts to a folder in as few files as ``per_file`` allows."""
+    messages.coalesce(max(1, -(-messages.count() // per_file))).write.mode("append").text(path)
 
 
 def message_folder(spark: SparkSession, sf_dir: str, categorized: bool = True, refresh: bool = False) -> str:
@@ -253,8 +282,8 @@ def message_folder(spark: SparkSession, sf_dir: str, categorized: bool = True, r
             events = raw_events(spark, sf_dir)
         else:
             events = uncategorized_events(spark, sf_dir).withColumn("category", F.lit(None).cast("string"))
-        for part in _slices(events):
-            encode_events(part).write.mode("append").text(path)
+        for part, per_file in _slices(events, LEAST_FILES if categorized else LEAST_FILES_UNCATEGORIZED):
+            _append_messages(encode_events(part), path, per_file)
 
     kind = "messages" if categorized else "messages-uncategorized"
     return derived_table(spark, sf_dir, kind, write, refresh)
@@ -273,13 +302,15 @@ def disordered_folder(spark: SparkSession, sf_dir: str) -> str:
 
     def write(path: str) -> None:
         events = raw_events(spark, sf_dir)
+        slices = _slices(events)
+        per_file = slices[0][1]
         timeless = F.regexp_replace("value", '"timestamp":"[^"]*"', '"timestamp":"soon"').alias("value")
-        encode_events(events.filter(F.col("user_id").like(TIMELESS_USERS))).select(timeless).write.mode("append").text(path)
+        _append_messages(encode_events(events.filter(F.col("user_id").like(TIMELESS_USERS))).select(timeless), path, per_file)
         broken = events.filter(F.col("user_id").like(BROKEN_USERS))
-        broken.select(F.concat(F.lit("{broken "), "user_id").alias("value")).write.mode("append").text(path)
-        for part in _slices(events):
-            encode_events(part).write.mode("append").text(path)
-        encode_events(late_copies(events)).write.mode("append").text(path)
+        _append_messages(broken.select(F.concat(F.lit("{broken "), "user_id").alias("value")), path, per_file)
+        for part, _ in slices:
+            _append_messages(encode_events(part), path, per_file)
+        _append_messages(encode_events(late_copies(events)), path, per_file)
 
     return derived_table(spark, sf_dir, "messages-disordered", write)
 
@@ -290,11 +321,11 @@ def repeated_folder(spark: SparkSession, sf_dir: str) -> str:
 
     def write(path: str) -> None:
         before = None
-        for part in _slices(raw_events(spark, sf_dir)):
+        for part, per_file in _slices(raw_events(spark, sf_dir)):
             again = part.filter(F.col("user_id").like(REPEATED_USERS))
             for rows in (part, again, before):
                 if rows is not None:
-                    encode_events(rows).write.mode("append").text(path)
+                    _append_messages(encode_events(rows), path, per_file)
             before = again
 
     return derived_table(spark, sf_dir, "messages-repeated", write)
