@@ -554,9 +554,10 @@ def q_stream_restarted_ingest(spark, sf_dir):
 
 def q_stream_catalog_enrich(spark, sf_dir):
     # Messages without a category; the stream looks it up in the catalog
-    # (stream-static join) before writing raw.
+    # (stream-static join) before writing raw. Every micro-batch reads the
+    # catalog again: it is normalised once, before.
     base = fresh_dir(spark, "stream")
-    catalog = normalize_catalog(part_catalog_rows(spark, sf_dir))
+    catalog = written(normalize_catalog(part_catalog_rows(spark, sf_dir)), "catalog")
     events = enrich_with_catalog(_stream_events(spark, sf_dir, categorized=False), catalog)
     _run_stream(start_raw_ingest, events, base, _AVAILABLE_NOW)
     return _raw_columns(read_raw_events(spark, layout(base)["raw"], missing_ok=False))

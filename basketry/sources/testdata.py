@@ -44,8 +44,8 @@ SLICE_SPAN = f"{SLICE_DAYS} days"
 # A message file has this many messages, fewer where the events would not fill
 # the least number of files: a stream's micro-batches are counted in files, so
 # their number must follow the messages and not the folders or splits that the
-# events come in.
-MESSAGES_PER_FILE = 250_000
+# events come in. Messages without a category come in fewer and larger files.
+MESSAGES_PER_FILE, MESSAGES_PER_FILE_UNCATEGORIZED = 250_000, 1_500_000
 LEAST_FILES, LEAST_FILES_UNCATEGORIZED = 40, 4
 # Disturbances of the disordered messages, by the user's id: copies of old
 # events that arrive after all slices, events with an unreadable time, and
@@ -237,11 +237,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.select("user_id", "product_id", "category", "event_type", "timestamp", "event_date")
 
 
-def _messages_per_file(total: int, least_files: int) -> int:
-    return max(1, min(MESSAGES_PER_FILE, total // least_files))
-
-
-def _slices(events: DataFrame, least_files: int = LEAST_FILES) -> list[tuple[DataFrame, int]]:
+def _slices(events: DataFrame, most: int = MESSAGES_PER_FILE, least_files: int = LEAST_FILES) -> list[tuple[DataFrame, int]]:
     """Events by slice of event time, oldest first, each with the messages
     that a file of it has.
 
@@ -251,7 +247,7 @@ def _slices(events: DataFrame, least_files: int = LEAST_FILES) -> list[tuple[Dat
     origin = F.lit(SLICE_ORIGIN).cast("date")
     number = F.floor(F.datediff(day, origin) / SLICE_DAYS)
     counted = events.filter(day.isNotNull()).groupBy(number.alias("slice")).agg(F.count(F.lit(1)).alias("rows")).orderBy("slice").collect()
-    per_file = _messages_per_file(sum(r["rows"] for r in counted), least_files)
+    per_file = max(1, min(most, sum(r["rows"] for r in counted) // least_files))
     spans: list[list[int]] = []
     for r in counted:
         if spans and spans[-1][2] + r["rows"] <= per_file:
@@ -279,10 +275,11 @@ def message_folder(spark: SparkSession, sf_dir: str, categorized: bool = True, r
 
     def write(path: str) -> None:
         if categorized:
-            events = raw_events(spark, sf_dir)
+            slices = _slices(raw_events(spark, sf_dir))
         else:
             events = uncategorized_events(spark, sf_dir).withColumn("category", F.lit(None).cast("string"))
-        for part, per_file in _slices(events, LEAST_FILES if categorized else LEAST_FILES_UNCATEGORIZED):
+            slices = _slices(events, MESSAGES_PER_FILE_UNCATEGORIZED, LEAST_FILES_UNCATEGORIZED)
+        for part, per_file in slices:
             _append_messages(encode_events(part), path, per_file)
 
     kind = "messages" if categorized else "messages-uncategorized"

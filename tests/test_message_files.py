@@ -51,3 +51,17 @@ def test_empty_events_give_an_empty_folder(spark, workdir):
     spark.createDataFrame([], EVENTS_SCHEMA).write.parquet(f"{workdir}/events.parquet")
     spark.createDataFrame([], PART_SCHEMA).write.parquet(f"{workdir}/part.parquet")
     assert spark.read.text(message_folder(spark, workdir, categorized=False)).count() == 0
+
+
+def test_stream_reads_a_catalog_normalised_once(spark, long_span, monkeypatch):
+    from basketry.plans import registry
+
+    seen = []
+    enrich = registry.enrich_with_catalog
+    monkeypatch.setattr(registry, "enrich_with_catalog", lambda events, catalog: seen.append(catalog) or enrich(events, catalog))
+    rows = QUERIES["stream_catalog_enrich"](spark, long_span)
+    assert rows.count() == 2 * DAYS
+    # A scan: no micro-batch groups the catalog's lines again.
+    assert "Aggregate" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    # One file a micro-batch: about four, whatever the span.
+    assert len(_files(message_folder(spark, long_span, categorized=False))) <= 6
