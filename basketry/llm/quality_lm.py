@@ -11,19 +11,21 @@ count as unseen: junk does not become likely by being part of the corpus.
 
 How it runs:
 
-1. documents are packed as they lie in the input into compressed blocks of about ``PACK_BYTES`` of text;
-2. a task reduces a block to its distinct 4-grams with counts; Spark sums them by label and 4-gram;
-3. continuation counts, discounts and back-off weights are grouped sums over the n-grams, order by order,
+1. the documents, as they lie in the input, are blocks of about ``PACK_BYTES`` of text; a task reduces each
+   to its distinct 4-grams with counts, and Spark sums them by label and 4-gram;
+2. continuation counts, discounts and back-off weights are grouped sums over the n-grams, order by order,
    and every 4-gram of the corpus gets its log probability by joins with its context and its suffix;
-4. each block gets the log probabilities of its own 4-grams as one sorted hash array and scores its texts.
+3. the documents are read again and scored from a sorted hash array of log probabilities: that of all
+   4-grams, broadcast, up to a checked size; else each block, compressed, meets those of its own 4-grams in a shuffle.
 
-No model is broadcast or collected; what a task holds is bounded by a block (a longer text is one block).
-A common n-gram costs one row a block, whatever the share of its source or label.
+Texts are never written, and only shuffled for a model that is too large to broadcast.  What a task holds is bounded by
+a block (a longer text is one block) and that size.  A common n-gram costs one row a block, whatever the share of its source or label.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -32,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import IS_SPACE, RollingHash, materialize, mix64, read_table, small_side, text_blocks, word_spans
+from basketry.llm.common import BROADCAST_BYTES, IS_SPACE, RollingHash, materialize, mix64, read_table, small_side, text_blocks, word_spans
 
 ORDER = 4
 #: Room below and above the middle of a label's band, in units of its noise over the square root of words (see ``perplexity_bands``).
@@ -43,6 +45,10 @@ LEAST_NOISE = 0.3
 #: Steps of the histograms from which medians are taken.
 STEP = 1e-4
 STATS_BYTES, PACK_BYTES = 1 << 19, 24 << 20
+#: Distinct 4-grams of single steps that a block's counts hold before they are merged.
+HELD_GRAMS = 1 << 18
+#: Compression of blocks that are shuffled, and bytes of a 4-gram in a broadcast model (hash and log probability).
+PACK_LEVEL, MODEL_BYTES = 6, 16
 #: Characters counted as symbols (fixed values of the contract).
 SYMBOL_BYTES = np.zeros(256, dtype=bool)
 SYMBOL_BYTES[list(b"#*$%&|<>")] = True
@@ -84,6 +90,7 @@ class GramCounts:
 
     def __init__(self) -> None:
         self.parts: list[tuple[np.ndarray, ...]] = []
+        self.held = 0
 
     def add(self, symbols: np.ndarray, at: np.ndarray, label: np.ndarray, text_key: np.ndarray) -> None:
         """The texts come in the order of their hashes."""
@@ -96,6 +103,9 @@ class GramCounts:
         last[code] = place
         grams = symbols[at[first][:, None] + np.arange(1 - ORDER, 1)]
         self.parts.append((key, label[first], grams, np.bincount(code), text_key[first], text_key[last]))
+        self.held += len(key)
+        if self.held > HELD_GRAMS:
+            self.parts, self.held = [self.merged()], 0
 
     def merged(self) -> tuple[np.ndarray, ...]:
         key, label, grams, n, least, most = (np.concatenate(x) for x in zip(*self.parts, strict=True))
@@ -123,37 +133,37 @@ class GramCounts:
             yield pa.RecordBatch.from_arrays(columns, names=["block", "key", "label", "gram", "n", "only_text"])
 
 
-def pack_documents(docs: DataFrame, pack_bytes: int = PACK_BYTES, step_bytes: int = STATS_BYTES) -> DataFrame:
-    """``block, payload``: the documents as they lie in the input, in compressed blocks."""
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.xxhash64("text").alias("text_key"),
-        F.col("lang").cast("string").alias("lang"),
-        F.xxhash64(F.col("lang").cast("string")).alias("label"),
-        "text",
-    )
+def text_rows(docs: DataFrame) -> DataFrame:
+    """``doc_id, text_key, lang, label, text``."""
+    lang = F.col("lang").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), lang.alias("lang"), F.xxhash64(lang).alias("label"), "text")
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, made, held, size = TaskContext.get().partitionId() << 32, 0, [], 0
 
-        def packed() -> pa.RecordBatch:
-            out = pa.BufferOutputStream()
-            with pa.ipc.new_stream(out, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
-                for part in held:
-                    writer.write_batch(part)
-            return pa.RecordBatch.from_arrays([pa.array([first + made]), pa.array([out.getvalue().to_pybytes()], pa.binary())], names=["block", "payload"])
+def block_parts(batches: Iterable[pa.RecordBatch], pack_bytes: int, step_bytes: int) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """``(block, part)``: the rows of a task as they come, about ``step_bytes`` of text a part and ``pack_bytes`` a block."""
+    block, size = TaskContext.get().partitionId() << 32, 0
+    for batch in batches:
+        for first, last, data, _ in text_blocks(batch.column(4), step_bytes):
+            yield block, batch.slice(first, last - first)
+            size += len(data)
+            if size >= pack_bytes:
+                block, size = block + 1, 0
+
 
-        for batch in batches:
-            for a, b, data, _ in text_blocks(batch.column(4), step_bytes):
-                held.append(batch.slice(a, b - a))
-                size += len(data)
-                if size >= pack_bytes:
-                    yield packed()
-                    made, held, size = made + 1, [], 0
-        if held:
-            yield packed()
+def pack_documents(rows: DataFrame, pack_bytes: int = PACK_BYTES, step_bytes: int = STATS_BYTES) -> DataFrame:
+    """``block, payload``: the documents (see ``text_rows``) as they lie in the input, in compressed blocks."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=PACK_LEVEL))
+        for block, parts in groupby(block_parts(batches, pack_bytes, step_bytes), lambda x: x[0]):
+            out, writer = pa.BufferOutputStream(), None
+            for _, part in parts:
+                writer = writer or pa.ipc.new_stream(out, part.schema, options=options)
+                writer.write_batch(part)
+            writer.close()
+            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([out.getvalue().to_pybytes()], pa.binary())], names=["block", "payload"])
 
-    return materialize(rows.mapInArrow(pack, "block long, payload binary"), "quality-blocks")
+    return rows.mapInArrow(pack, "block long, payload binary")
 
 
 def unpacked(payload: bytes) -> Iterator[pa.RecordBatch]:
@@ -161,22 +171,21 @@ def unpacked(payload: bytes) -> Iterator[pa.RecordBatch]:
         yield from reader
 
 
-def count_grams(blocks: DataFrame, step_bytes: int = STATS_BYTES) -> DataFrame:
+def count_grams(rows: DataFrame, pack_bytes: int = PACK_BYTES, step_bytes: int = STATS_BYTES) -> DataFrame:
     """``block, key, label, gram, n, only_text``: a block's distinct 4-grams; ``only_text`` is null for those of several texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block, payload in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                counts = GramCounts()
-                for part in unpacked(payload.as_buffer()):
-                    part = part.take(pa.array(np.argsort(part.column(1).to_numpy())))
-                    text_key, label = part.column(1).to_numpy(), part.column(3).to_numpy()
-                    for first, last, data, bounds in text_blocks(part.column(4), step_bytes):
-                        symbols, at, text = text_grams(data, bounds)
-                        counts.add(symbols, at, label[first:last][text], text_key[first:last][text])
-                yield from counts.rows(block)
+        for block, parts in groupby(block_parts(batches, pack_bytes, step_bytes), lambda x: x[0]):
+            counts = GramCounts()
+            for _, part in parts:
+                part = part.take(pa.array(np.argsort(part.column(1).to_numpy())))
+                text_key, label = part.column(1).to_numpy(), part.column(3).to_numpy()
+                for first, last, data, bounds in text_blocks(part.column(4), step_bytes):
+                    symbols, at, text = text_grams(data, bounds)
+                    counts.add(symbols, at, label[first:last][text], text_key[first:last][text])
+            yield from counts.rows(block)
 
-    return materialize(blocks.mapInArrow(count, "block long, key long, label long, gram string, n long, only_text long"), "quality-counts")
+    return materialize(rows.mapInArrow(count, "block long, key long, label long, gram string, n long, only_text long"), "quality-counts")
 
 
 def gram_levels(counts: DataFrame) -> list[DataFrame]:
@@ -275,36 +284,60 @@ def text_stats(data: np.ndarray, bounds: np.ndarray, hasher: RollingHash) -> dic
     return out
 
 
-def score_documents(docs: DataFrame, pack_bytes: int = PACK_BYTES, step_bytes: int = STATS_BYTES) -> DataFrame:
-    """``doc_id, text_key, lang``, the base figures, ``n_read`` and ``log_perplexity`` (null for texts without characters)."""
-    blocks = pack_documents(docs, pack_bytes, step_bytes)
-    counts = count_grams(blocks, step_bytes)
-    model = counts.select("block", "key").join(smoothed(gram_levels(counts)), "key").select("block", "key", "logp")
-    schema = "doc_id long, text_key long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_read long, log_perplexity double"
-    names = [x.split()[0] for x in schema.split(", ")]
-
-    def score(packed: pa.Table, known: pa.Table) -> pa.Table:
-        keys, logp = known.column("key").to_numpy().view(np.uint64), known.column("logp").to_numpy()
-        order = np.argsort(keys)
-        keys, logp = keys[order], logp[order]
-        hasher, out = RollingHash(5), []
-        for payload in packed.column("payload"):
-            for part in unpacked(payload.as_buffer()):
-                label = part.column(3).to_numpy()
-                for first, last, data, bounds in text_blocks(part.column(4), step_bytes):
-                    stats = text_stats(data, bounds, hasher)
-                    symbols, at, text = text_grams(data, bounds)
-                    code, mine = pd.factorize(gram_keys(symbols, at, label[first:last][text]))
-                    found = logp[np.searchsorted(keys, mine)][code] if len(at) else np.zeros(0)
-                    size = np.bincount(text, minlength=last - first)
-                    value = -np.bincount(text, weights=found, minlength=last - first) / np.maximum(size, 1)
-                    columns = [part.column(i).slice(first, last - first) for i in (0, 1, 2)]
-                    columns += [pa.array(stats[c]) for c in names[3:8]]
-                    columns += [pa.array(size.astype(np.int64)), pa.array(value, mask=size == 0)]
-                    out.append(pa.RecordBatch.from_arrays(columns, names=names))
-        return pa.Table.from_batches(out)
-
-    return blocks.groupBy("block").cogroup(model.groupBy("block")).applyInArrow(score, schema)
+SCORES = "doc_id long, text_key long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_read long, log_perplexity double"
+
+
+def sorted_model(known: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """``(keys, logp)`` of a table ``key, logp``, by key."""
+    keys, logp = known.column("key").to_numpy().view(np.uint64), known.column("logp").to_numpy()
+    order = np.argsort(keys)
+    return keys[order], logp[order]
+
+
+def score_part(part: pa.RecordBatch, keys: np.ndarray, logp: np.ndarray, hasher: RollingHash, step_bytes: int) -> Iterator[pa.RecordBatch]:
+    """The columns of ``SCORES`` for rows of ``text_rows``."""
+    names = [x.split()[0] for x in SCORES.split(", ")]
+    label = part.column(3).to_numpy()
+    for first, last, data, bounds in text_blocks(part.column(4), step_bytes):
+        stats = text_stats(data, bounds, hasher)
+        symbols, at, text = text_grams(data, bounds)
+        code, mine = pd.factorize(gram_keys(symbols, at, label[first:last][text]))
+        place = np.searchsorted(keys, mine)
+        if len(mine) and (not len(keys) or (keys[np.minimum(place, len(keys) - 1)] != mine).any()):
+            raise RuntimeError("a text has n-grams that were not counted: the documents, or how they are dealt to tasks, changed between two reads")
+        found = logp[place][code] if len(at) else np.zeros(0)
+        size = np.bincount(text, minlength=last - first)
+        value = -np.bincount(text, weights=found, minlength=last - first) / np.maximum(size, 1)
+        columns = [part.column(i).slice(first, last - first) for i in (0, 1, 2)]
+        columns += [pa.array(stats[c]) for c in names[3:8]]
+        columns += [pa.array(size.astype(np.int64)), pa.array(value, mask=size == 0)]
+        yield pa.RecordBatch.from_arrays(columns, names=names)
+
+
+def score_documents(docs: DataFrame, pack_bytes: int = PACK_BYTES, step_bytes: int = STATS_BYTES, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``doc_id, text_key, lang``, the base figures, ``n_read`` and ``log_perplexity`` (null for texts without characters).
+
+    A model of more than ``broadcast_bytes`` isn't broadcast; the result is the same either way."""
+    rows = text_rows(docs)
+    counts = count_grams(rows, pack_bytes, step_bytes)
+    model = materialize(smoothed(gram_levels(counts)), "quality-model")
+    if model.count() * MODEL_BYTES <= broadcast_bytes:
+        shared = docs.sparkSession.sparkContext.broadcast(sorted_model(model.toArrow().combine_chunks()))
+
+        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            (keys, logp), hasher = shared.value, RollingHash(5)
+            for batch in batches:
+                yield from score_part(batch, keys, logp, hasher, step_bytes)
+
+        return rows.mapInArrow(score, SCORES)
+
+    def score_block(packed: pa.Table, known: pa.Table) -> pa.Table:
+        (keys, logp), hasher = sorted_model(known), RollingHash(5)
+        parts = (part for payload in packed.column("payload") for part in unpacked(payload.as_buffer()))
+        return pa.Table.from_batches([scored for part in parts for scored in score_part(part, keys, logp, hasher, step_bytes)])
+
+    of_block = counts.select("block", "key").join(model, "key").select("block", "key", "logp")
+    return pack_documents(rows, pack_bytes, step_bytes).groupBy("block").cogroup(of_block.groupBy("block")).applyInArrow(score_block, SCORES)
 
 
 def medians(df: DataFrame, columns: list[str]) -> DataFrame:
