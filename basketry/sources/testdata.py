@@ -45,7 +45,7 @@ SLICE_SPAN = f"{SLICE_DAYS} days"
 # the least number of files: a stream's micro-batches are counted in files, so
 # their number must follow the messages and not the folders or splits that the
 # events come in. Messages without a category come in fewer and larger files.
-MESSAGES_PER_FILE, MESSAGES_PER_FILE_UNCATEGORIZED = 250_000, 1_500_000
+MESSAGES_PER_FILE, MESSAGES_PER_FILE_UNCATEGORIZED = 1_000_000, 1_500_000
 LEAST_FILES, LEAST_FILES_UNCATEGORIZED = 40, 4
 # Disturbances of the disordered messages, by the user's id: copies of old
 # events that arrive after all slices, events with an unreadable time, and

@@ -4,9 +4,10 @@ import datetime as dt
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from basketry.plans.registry import QUERIES
-from basketry.sources.testdata import EVENTS_SCHEMA, LEAST_FILES, PART_SCHEMA, disordered_folder, message_folder, repeated_folder
+from basketry.sources.testdata import EVENTS_SCHEMA, LEAST_FILES, PART_SCHEMA, _slices, disordered_folder, message_folder, repeated_folder
 
 DAYS = 200
 
@@ -65,3 +66,11 @@ def test_stream_reads_a_catalog_normalised_once(spark, long_span, monkeypatch):
     assert "Aggregate" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()
     # One file a micro-batch: about four, whatever the span.
     assert len(_files(message_folder(spark, long_span, categorized=False))) <= 6
+
+
+def test_many_messages_give_few_micro_batches(spark):
+    # 36 million events, 360 times those of sf0.1 over as many days: every state partition of every micro-batch costs the driver 33 KB.
+    second = F.lit(1704067200) + F.col("id") % F.lit(30 * 86400)
+    parts = _slices(spark.range(36_000_000).select(F.timestamp_seconds(second).alias("timestamp")))
+    files = sum(-(-part.count() // per_file) for part, per_file in parts)
+    assert LEAST_FILES <= files <= LEAST_FILES + len(parts)
